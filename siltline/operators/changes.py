@@ -11,9 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from ..sources.schemas import envelope_schema
+from ..sources.schemas import RowSpec, envelope_schema
 from .latest import latest_per_key
 
 # Operation letters of change events.
@@ -30,14 +29,14 @@ class ChangeFeed:
     to expressions over the event (``before``, ``after``, ``op`` and the source's own columns).
     """
 
-    row: StructType
+    row: RowSpec
     keys: Sequence[str]
     upsert: Mapping[str, str]
     delete: Mapping[str, str]
     sequence: Mapping[str, str] = field(default_factory=dict)
 
 
-def parse_events(events: DataFrame, row: StructType, text: str = "value") -> DataFrame:
+def parse_events(events: DataFrame, row: RowSpec, text: str = "value") -> DataFrame:
     """JSON events to ``before``, ``after``, ``op``, next to the source's other columns.
 
     Events without an operation, malformed ones among them, are left out; see
@@ -50,7 +49,7 @@ def parse_events(events: DataFrame, row: StructType, text: str = "value") -> Dat
     )
 
 
-def rejected_events(events: DataFrame, row: StructType, text: str = "value") -> DataFrame:
+def rejected_events(events: DataFrame, row: RowSpec, text: str = "value") -> DataFrame:
     """The texts that :func:`parse_events` leaves out."""
     parsed = F.from_json(F.col(text).cast("string"), envelope_schema(row))
     return events.where(parsed["op"].isNull())

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from ..operators.changes import ChangeFeed
-from ..sources.schemas import row_schema
 
 # Table columns, event columns, accepted statuses.
 SILVER_SCHEMA = (
@@ -27,7 +26,7 @@ SEQUENCE = ["_seq_time", "_seq_id"]
 
 # The order of changes comes from the feed: the source position where there is one.
 TRANSACTION_FEED = ChangeFeed(
-    row=row_schema(EVENT_ROW),
+    row=EVENT_ROW,
     keys=TRANSACTION_KEYS,
     upsert={
         "transaction_id": "src.transaction_id",

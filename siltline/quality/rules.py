@@ -78,10 +78,15 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     raise TypeError(f"not a rule: {rule!r}")
 
 
+def _named(name: str, options: dict) -> dict:
+    """The options of a rule, with a name where none is given."""
+    return {"name": name, **options}
+
+
 # -- row rules ------------------------------------------------------------------------------------
 
 def not_null(column: str, **options) -> RowRule:
-    return RowRule(name=f"not_null_{column}", fails=as_column(column).isNull(), **options)
+    return RowRule(fails=as_column(column).isNull(), **_named(f"not_null_{column}", options))
 
 
 def accepted_range(
@@ -98,19 +103,22 @@ def accepted_range(
         fails = fails | ~(value >= bound(low) if inclusive else value > bound(low))
     if high is not None:
         fails = fails | ~(value <= bound(high) if inclusive else value < bound(high))
-    return RowRule(name=f"accepted_range_{column}", fails=fails, **options)
+    return RowRule(fails=fails, **_named(f"accepted_range_{column}", options))
 
 
 def expression_is_true(expression: str, column: str | None = None, **options) -> RowRule:
     """Expression, or its continuation after ``column``, is false; NULL passes."""
     whole = expression if column is None else f"{column} {expression}"
-    return RowRule(name=f"expression_is_true_{whole}", fails=~F.expr(f"({whole})"), **options)
+    return RowRule(
+        fails=~F.expr(f"({whole})"), **_named(f"expression_is_true_{whole}", options)
+    )
 
 
 def not_empty_string(column: str, trim: bool = True, **options) -> RowRule:
     value = as_column(column)
     return RowRule(
-        name=f"not_empty_string_{column}", fails=(F.trim(value) if trim else value) == "", **options
+        fails=(F.trim(value) if trim else value) == "",
+        **_named(f"not_empty_string_{column}", options),
     )
 
 
@@ -118,8 +126,10 @@ def assert_equal(actual: ColumnLike, expected: ColumnLike, null_safe: bool = Fal
                  ) -> RowRule:
     """Two columns differ; a NULL on either side passes unless ``null_safe``."""
     a, b = as_column(actual), as_column(expected)
-    name = options.pop("name", f"assert_equal_{actual}_{expected}")
-    return RowRule(name=name, fails=~a.eqNullSafe(b) if null_safe else a != b, **options)
+    return RowRule(
+        fails=~a.eqNullSafe(b) if null_safe else a != b,
+        **_named(f"assert_equal_{actual}_{expected}", options),
+    )
 
 
 # -- group rules ----------------------------------------------------------------------------------
@@ -127,50 +137,49 @@ def assert_equal(actual: ColumnLike, expected: ColumnLike, null_safe: bool = Fal
 def unique(column: str, **options) -> GroupRule:
     """Non-NULL value on more than one row."""
     return GroupRule(
-        name=f"unique_{column}", keys=[column], measures={"n_records": F.count("*")},
-        fails=lambda m: m[column].isNotNull() & (m["n_records"] > 1), **options,
+        **_named(f"unique_{column}", options), keys=[column], measures={"n_records": F.count("*")},
+        fails=lambda m: m[column].isNotNull() & (m["n_records"] > 1),
     )
 
 
 def unique_combination(columns: Sequence[str], **options) -> GroupRule:
     """Combination on more than one row, NULLs counting as equal."""
     return GroupRule(
-        name=f"unique_combination_{'_'.join(columns)}", keys=list(columns),
-        measures={"n_records": F.count("*")}, fails=lambda m: m["n_records"] > 1, **options,
+        **_named(f"unique_combination_{'_'.join(columns)}", options), keys=list(columns),
+        measures={"n_records": F.count("*")}, fails=lambda m: m["n_records"] > 1,
     )
 
 
 def accepted_values(column: str, values: Sequence, **options) -> GroupRule:
     """Value outside the list; NULL passes. One violation per value."""
     return GroupRule(
-        name=f"accepted_values_{column}", keys=[column], measures={"n_records": F.count("*")},
-        fails=lambda m: ~m[column].isin(*values), **options,
+        **_named(f"accepted_values_{column}", options), keys=[column], measures={"n_records": F.count("*")},
+        fails=lambda m: ~m[column].isin(*values),
     )
 
 
 def not_accepted_values(column: str, values: Sequence, **options) -> GroupRule:
     """Value that is in the list. One violation per value."""
     return GroupRule(
-        name=f"not_accepted_values_{column}", keys=[column], measures={"n_records": F.count("*")},
-        fails=lambda m: m[column].isin(*values), **options,
+        **_named(f"not_accepted_values_{column}", options), keys=[column], measures={"n_records": F.count("*")},
+        fails=lambda m: m[column].isin(*values),
     )
 
 
 def at_least_one(column: str, by: Sequence[str] = (), **options) -> GroupRule:
     """Group without any non-NULL value; an empty table fails."""
     return GroupRule(
-        name=f"at_least_one_{column}", keys=list(by),
+        **_named(f"at_least_one_{column}", options), keys=list(by),
         measures={"n_present": F.count(as_column(column))}, fails=lambda m: m["n_present"] == 0,
-        **options,
     )
 
 
 def not_constant(column: str, by: Sequence[str] = (), **options) -> GroupRule:
     """Group with exactly one distinct non-NULL value."""
     return GroupRule(
-        name=f"not_constant_{column}", keys=list(by),
+        **_named(f"not_constant_{column}", options), keys=list(by),
         measures={"lowest": F.min(as_column(column)), "highest": F.max(as_column(column))},
-        fails=lambda m: m["lowest"] == m["highest"], **options,
+        fails=lambda m: m["lowest"] == m["highest"],
     )
 
 
@@ -180,10 +189,9 @@ def not_null_proportion(
     """Share of non-NULL values outside the bounds."""
     share = F.try_divide(F.count(as_column(column)), F.count("*"))
     return GroupRule(
-        name=f"not_null_proportion_{column}", keys=list(by),
+        **_named(f"not_null_proportion_{column}", options), keys=list(by),
         measures={"not_null_proportion": share},
         fails=lambda m: (m["not_null_proportion"] < at_least) | (m["not_null_proportion"] > at_most),
-        **options,
     )
 
 
@@ -198,6 +206,6 @@ def recency(
     if ignore_time:
         newest, threshold = newest.cast("date"), threshold.cast("date")
     return GroupRule(
-        name=f"recency_{column}", keys=list(by), measures={"most_recent": newest},
-        fails=lambda m: (m["most_recent"] < threshold) | m["most_recent"].isNull(), **options,
+        **_named(f"recency_{column}", options), keys=list(by), measures={"most_recent": newest},
+        fails=lambda m: (m["most_recent"] < threshold) | m["most_recent"].isNull(),
     )

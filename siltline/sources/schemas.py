@@ -17,8 +17,13 @@ TYPE_NAMES: dict[str, DataType] = {
 }
 
 
-def row_schema(fields: str | Iterable[Mapping[str, str]]) -> StructType:
+RowSpec = StructType | str | Iterable[Mapping[str, str]]
+
+
+def row_schema(fields: RowSpec) -> StructType:
     """Schema from a DDL string or from ``{"name", "type"}`` entries; unknown types raise."""
+    if isinstance(fields, StructType):
+        return fields
     if isinstance(fields, str):
         return StructType.fromDDL(fields)
     out = []
@@ -30,8 +35,9 @@ def row_schema(fields: str | Iterable[Mapping[str, str]]) -> StructType:
     return StructType(out)
 
 
-def envelope_schema(row: StructType) -> StructType:
+def envelope_schema(row: RowSpec) -> StructType:
     """Schema of one change event: row before, row after, operation letter."""
+    row = row_schema(row)
     return StructType([
         StructField("before", row), StructField("after", row), StructField("op", StringType()),
     ])
