@@ -239,5 +239,5 @@ def results_as_lists(df: DataFrame, order: Sequence[str], max_rows: int = 10_000
         raise ValueError(f"more than {max_rows} rows")
     rows = F.array_sort(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("_row"))))
     return df.agg(rows.alias("_rows")).select(*[
-        F.transform("_rows", lambda r, c=c: r.getField("_row").getField(c)).alias(c) for c in df.columns
+        F.col("_rows._row").getField(c).alias(c) for c in df.columns
     ])

@@ -32,7 +32,7 @@ class Suite:
             raise ValueError(f"rules need different names: {', '.join(repeated)}")
 
     def failures(self) -> DataFrame:
-        """``check``, ``failures``: one row per rule."""
+        """``rule``, ``failures``: one row per rule."""
         frames = []
         numbered = list(enumerate(self.rules))
         whole = [
@@ -49,7 +49,7 @@ class Suite:
         frames += [self._grouped(rules) for rules in groups.values()]
         frames += [
             violations(self.df, r).agg(r.failures.cast("bigint").alias("failures"))
-            .select(F.lit(r.name).alias("check"), "failures")
+            .select(F.lit(r.name).alias("rule"), "failures")
             for r in self.rules if isinstance(r, FrameRule)
         ]
         return reduce(DataFrame.unionByName, frames)
@@ -62,19 +62,19 @@ class Suite:
             test = F.lit(None).cast("boolean")
             for name, limits in thresholds.items():
                 test = F.when(
-                    F.col("check") == name, F.expr(f"failures {limits[which]}")
+                    F.col("rule") == name, F.expr(f"failures {limits[which]}")
                 ).otherwise(test)
             return test
 
         status = F.when(F.col("should_error"), "error").when(F.col("should_warn"), "warn")
         return self.failures().select(
-            "check", "failures", judged(0).alias("should_warn"), judged(1).alias("should_error")
+            "rule", "failures", judged(0).alias("should_warn"), judged(1).alias("should_error")
         ).withColumn("status", status.otherwise("pass"))
 
     def enforce(self) -> list:
         """Run the suite and raise if a rule is in error; the report's rows otherwise."""
         rows = self.report().collect()  # one row per rule
-        failed = [f"{r.check}: {r.failures}" for r in rows if r.status == "error"]
+        failed = [f"{r.rule}: {r.failures}" for r in rows if r.status == "error"]
         if failed:
             raise CheckFailed("; ".join(failed))
         return rows
@@ -123,7 +123,7 @@ class Suite:
     @staticmethod
     def _rows(totals: DataFrame, counts: list[tuple[str, Column]]) -> DataFrame:
         lines = [
-            F.struct(F.lit(name).alias("check"), n.cast("bigint").alias("failures"))
+            F.struct(F.lit(name).alias("rule"), n.cast("bigint").alias("failures"))
             for name, n in counts
         ]
         return totals.select(F.inline(F.array(*lines)))

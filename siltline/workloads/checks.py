@@ -356,7 +356,7 @@ def transaction_suite(raw: DataFrame, parts: DataFrame) -> dq.Suite:
 
 @work.add("dq_suite_fused", f"""
 WITH {RAW_SQL}, found AS (
-  SELECT 'not_null_transaction_id' AS check, count(*) AS failures FROM raw
+  SELECT 'not_null_transaction_id' AS rule, count(*) AS failures FROM raw
   WHERE transaction_id IS NULL
   UNION ALL SELECT 'accepted_range_amount', count(*) FROM raw
   WHERE NOT amount >= 1000 OR NOT amount <= 100000
@@ -386,9 +386,9 @@ WITH {RAW_SQL}, found AS (
     SELECT product_id, lag(product_id) OVER (ORDER BY product_id) AS previous FROM raw)
   WHERE NOT product_id = previous + 1),
 judged AS (
-  SELECT *, CASE check WHEN 'quantity_when_new' THEN failures > 10
+  SELECT *, CASE rule WHEN 'quantity_when_new' THEN failures > 10
       WHEN 'not_accepted_values_status' THEN failures > 5 ELSE failures <> 0 END AS should_warn,
-    CASE check WHEN 'quantity_when_new' THEN failures > 100000000
+    CASE rule WHEN 'quantity_when_new' THEN failures > 100000000
       ELSE failures <> 0 END AS should_error
   FROM found)
 SELECT *, CASE WHEN should_error THEN 'error' WHEN should_warn THEN 'warn' ELSE 'pass' END AS status
