@@ -1,0 +1,192 @@
+import pytest
+from pyspark.sql import functions as F
+
+from siltline import quality as dq
+from siltline.plans import gold, silver
+from siltline.plans.medallion import run_batch
+from siltline.quality.suite import CheckFailed
+from siltline.sources import databases, discovery, files, staging, topics
+from siltline.sources.layer_table import LayerTable
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return LayerTable(spark, str(tmp_path / "t"), "id INT, at TIMESTAMP", "at").create()
+
+
+def days(spark, *pairs):
+    return spark.createDataFrame(
+        [(i, f"2024-01-{d:02d} 05:00:00" if d else None) for i, d in pairs], "id INT, at STRING"
+    ).withColumn("at", F.col("at").cast("timestamp"))
+
+
+def ids(table, slots=None):
+    return sorted(r.id for r in table.read(slots).collect())
+
+
+def test_create_keeps_what_is_there(spark, table):
+    assert table.version() == 1 and ids(table) == [] and table.read().columns == ["id", "at"]
+    table.replace(days(spark, (1, 1)))
+    assert ids(table.create()) == [1]
+
+
+def test_rewrite_replaces_touched_slots_only(spark, table):
+    table.replace(days(spark, (1, 1), (2, 2), (3, 3), (4, None)))
+    before = table.version()
+    assert sorted(table.slots()) == ["2024-01-01", "2024-01-02", "2024-01-03", "none"]
+    kept = table.slots()["2024-01-03"]
+    # Row 1 moves to day 2 and day 1 is left without rows.
+    table.rewrite(days(spark, (1, 2), (2, 2)), ["2024-01-01", "2024-01-02"], ("w", 7))
+    assert ids(table) == [1, 2, 3, 4]
+    assert sorted(table.slots()) == ["2024-01-02", "2024-01-03", "none"]
+    assert table.slots()["2024-01-03"] == kept
+    assert table.changed_slots(before) == ["2024-01-01", "2024-01-02"]
+    assert table.last_batch("w") == 7 and table.last_batch("other") == -1
+    assert ids(table, ["2024-01-02", "no such day"]) == [1, 2]
+
+
+def test_table_may_be_read_while_it_is_replaced(spark, table):
+    table.replace(days(spark, (1, 1), (2, 2)))
+    old = table.read()
+    table.replace(table.read().where("id = 2"))
+    assert ids(table) == [2]
+    assert old.count() == 2  # a reader keeps the version it opened
+
+
+def test_append_and_compact(spark, table):
+    table.replace(days(spark, (1, 1)))
+    table.append(days(spark, (2, 1), (3, 2)))
+    assert ids(table) == [1, 2, 3] and "," in table.slots()["2024-01-01"]
+    table.compact()
+    assert ids(table) == [1, 2, 3] and "," not in table.slots()["2024-01-01"]
+
+
+def test_failed_write_publishes_nothing(spark, table):
+    table.replace(days(spark, (1, 1)))
+    version = table.version()
+    broken = days(spark, (2, 2)).withColumn("id", F.raise_error(F.lit("stop")).cast("int"))
+    with pytest.raises(Exception, match="stop"):
+        table.replace(broken)
+    assert table.version() == version and ids(table) == [1]
+
+
+def test_failed_check_publishes_nothing(spark, table):
+    table.replace(days(spark, (1, 1)))
+    with pytest.raises(CheckFailed):
+        table.replace(days(spark, (2, 1), (2, 2)),
+                      lambda df: dq.Suite(df, [dq.unique("id")]).enforce())
+    assert ids(table) == [1]
+
+
+def test_two_writers_cannot_publish_the_same_version(spark, table):
+    other = LayerTable(spark, table.root, table.schema, "at")
+    base = table.version()
+    other._publish(base, {})
+    with pytest.raises(Exception, match="(?i)exist"):
+        table._publish(base, {})
+
+
+def test_staged_tables_lie_in_the_shared_folder(spark):
+    folder = staging.shared_folder(spark)
+    df = staged = staging.staged(spark.range(5), "t")
+    assert df.count() == 5 and all(folder in f for f in staged.inputFiles())
+
+
+def test_seed(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text("id,name,at\n1,a,2020-01-01\n2,,\n")
+    df = files.read_seed(spark, str(path), "id INT, name STRING, at DATE")
+    assert [(r.id, r.name, str(r.at)) for r in df.collect()] == [
+        (1, "a", "2020-01-01"), (2, None, "None")]
+    path.write_text("id,name,at\nx,a,2020-01-01\n")
+    with pytest.raises(Exception):
+        files.read_seed(spark, str(path), "id INT, name STRING, at DATE").collect()
+
+
+def test_database_options():
+    db = databases.Database("jdbc:postgresql://host/db", "me", "secret")
+    assert "secret" not in repr(db)
+    plain = db.read_options("sales.orders")
+    assert plain["dbtable"] == "sales.orders" and "numPartitions" not in plain
+    split = db.read_options("t", databases.KeySplit("id", 1, 1000, 16))
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"],
+            split["numPartitions"]) == ("id", "1", "1000", "16")
+    with pytest.raises(ValueError):
+        db.read_options("t", databases.KeySplit("id", 1, 2, 0))
+
+
+def test_topic_options():
+    options = topics.topic_options("a:1,b:2", "changes", max_per_trigger=500)
+    assert options == {
+        "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "changes",
+        "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500"}
+
+
+def test_discovery_in_catalog_and_folders(spark, tmp_path):
+    for name in ("ev_a", "ev_b", "EV_old", "other"):
+        spark.range(1).createOrReplaceTempView(name)
+    assert discovery.catalog_tables(spark, "EV%", exclude="%old") == ["ev_a", "ev_b"]
+    assert discovery.catalog_tables(spark, "o_her") == ["other"]
+    for name in ("s1/ev_a", "s1/ev_b", "s2/ev_c", "s2/xev"):
+        spark.range(1).write.parquet(str(tmp_path / name))
+    found = discovery.folder_tables(spark, str(tmp_path), "EV\\_%".replace("\\", ""), "s%", "%_b")
+    assert list(found) == ["s1.ev_a", "s2.ev_c"]
+    assert list(discovery.tables_with_prefix(spark, str(tmp_path), "s1", "ev_")) == ["s1.ev_a", "s1.ev_b"]
+
+
+@pytest.fixture
+def dimensions(spark):
+    def blank(types, **given):
+        return [F.lit(given.get(n)).cast(t).alias(n) for n, t in types.items()]
+
+    customers = spark.range(1).select(*blank(
+        silver.CUSTOMER_TYPES, customer_id=1, full_name="Ann", country="AZ", city="Baku"))
+    products = spark.range(1).select(*blank(
+        silver.PRODUCT_TYPES, product_id=5, product_name="pen", unit_price="1.5"))
+    return {"customers": customers, "products": products}
+
+
+def sales(spark):
+    return spark.createDataFrame(
+        [(1, 1, 5, 2, "10.00", "2024-01-01 10:00:00", "NEW"),
+         (2, 1, 6, 1, "20.01", "2024-01-01 11:00:00", "pending"),
+         (3, 9, 5, 1, "5.00", "2024-01-03 00:00:00", "Cancelled")],
+        "transaction_id BIGINT, customer_id INT, product_id INT, quantity INT, amount STRING, "
+        "transaction_date STRING, status STRING",
+    ).withColumns({"amount": F.col("amount").cast("decimal(10,2)"),
+                   "transaction_date": F.col("transaction_date").cast("timestamp")})
+
+
+def test_metrics(spark, dimensions, rows):
+    txn = silver.with_net_amount(sales(spark))
+    daily = gold.daily_summary(txn).select(
+        "total_transactions", F.col("total_revenue").cast("double"), "total_quantity",
+        "cancelled_count", "pending_count", F.col("avg_order_value").cast("double"))
+    assert rows(daily) == [(1, 0.0, 1, 1, 0, 0.0), (2, 30.01, 3, 0, 1, 15.01)]
+    dense = {str(r.metric_date): r for r in gold.dense_daily_summary(txn).collect()}
+    assert sorted(dense) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert dense["2024-01-02"].total_transactions == 0
+    assert dense["2024-01-02"].avg_order_value is None
+    metrics = gold.customer_metrics(txn, dimensions["customers"])
+    assert {r.customer_id: (r.full_name, r.total_orders) for r in metrics.collect()} == {
+        1: ("Ann", 2), 9: (None, 1)}
+    products = gold.product_performance(txn, dimensions["products"])
+    assert {r.product_id: (r.product_name, r.total_quantity_sold) for r in products.collect()} == {
+        5: ("pen", 3), 6: (None, 1)}
+    fact = gold.fact_transactions(txn, dimensions["customers"], dimensions["products"])
+    assert {r.transaction_id: (r.customer_name, r.product_name) for r in fact.collect()} == {
+        1: ("Ann", "pen"), 2: ("Ann", None), 3: (None, "pen")}
+    assert gold.dense_daily_summary(txn.limit(0)).count() == 0
+
+
+def test_batch_job(spark, tmp_path, dimensions):
+    txn = silver.with_net_amount(sales(spark))
+    done = run_batch(spark, dimensions.__getitem__, txn, str(tmp_path))
+    assert done["daily_summary"].read().count() == 2
+    assert done["customer_metrics"].read().where("full_name = 'Ann'").count() == 1
+    # A later run replaces, and a failing check stops it before anything depends on the table.
+    run_batch(spark, dimensions.__getitem__, txn.where("transaction_id < 3"), str(tmp_path))
+    assert done["daily_summary"].read().count() == 1
+    with pytest.raises(CheckFailed):
+        run_batch(spark, dimensions.__getitem__, txn.unionAll(txn), str(tmp_path))
+    assert done["daily_summary"].read().count() == 1
