@@ -40,16 +40,17 @@ def _in_values(column: Column, values: list) -> Column:
 
 def lookup(
     facts: DataFrame, dimension: DataFrame, key: str, max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int = SALTS, keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``facts`` with a table that has one row per ``key``.
 
     A dimension counted as small is broadcast. Otherwise the join shuffles, and the rows of heavy
-    keys are spread over ``salts`` sub-keys, for which the dimension's row is repeated.
+    keys are spread over ``salts`` sub-keys, for which the dimension's row is repeated. The heavy
+    keys are counted in ``keys_of``, a cheaper frame with the same keys, where there is one.
     """
     if is_small(dimension, max_rows):
         return facts.join(F.broadcast(dimension), key, "left")
-    heavy = heavy_keys(facts, key)
+    heavy = heavy_keys(facts if keys_of is None else keys_of, key)
     if not heavy:
         return facts.join(dimension, key, "left")
     others = [F.col(f"`{c}`") for c in facts.columns if c != key]

@@ -3,6 +3,7 @@
 A window per group puts the whole group on one task. Here the rows are range-partitioned over
 (group, order) instead, so a heavy group is cut into many slices; each slice finds its own
 neighbours, and the one row at the edge of a slice takes its neighbour from the adjoining slice.
+Where the groups were counted and none is heavy, a plain window costs less.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from ..sources.staging import staged
 
 SLICE = "_slice"
+# Groups of at most this many rows may be windowed whole.
+WINDOW_ROWS = 1_000_000
 
 
 def _same_group(by: Sequence[str], edge: str) -> Column:
@@ -23,6 +26,14 @@ def _same_group(by: Sequence[str], edge: str) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def groups_are_small(df: DataFrame, by: Sequence[str], max_rows: int = WINDOW_ROWS) -> bool:
+    """Whether no group of ``df`` has more than ``max_rows`` rows; reads the group columns only."""
+    if not by:
+        return False
+    heaviest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (heaviest or 0) <= max_rows
+
+
 def with_neighbour(
     df: DataFrame,
     by: Sequence[str],
@@ -30,19 +41,23 @@ def with_neighbour(
     take: str,
     name: str,
     following: bool = False,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Add ``name``: column ``take`` of the previous (or following) row of the same group.
 
     Rows are ordered by ``order`` within the groups ``by``. (by, order) must be unique per row and
-    ``take`` must not be NULL: group equal rows first and carry their number.
+    ``take`` must not be NULL: group equal rows first and carry their number. ``small_groups`` says
+    that the groups were counted, see :func:`groups_are_small`.
     """
+    step = F.lead if following else F.lag
+    if small_groups:
+        return df.withColumn(name, step(take).over(Window.partitionBy(*by).orderBy(*order)))
     keys = [*by, *order]
     # The slices depend on sampled bounds, so they are written once and read from there.
     sliced = staged(
         df.repartitionByRange(*keys).withColumn(SLICE, F.spark_partition_id()), "slices"
     )
     window = Window.partitionBy(SLICE, *by).orderBy(*order)
-    step = F.lead if following else F.lag
     pick = F.min if following else F.max
     # One row per slice: its last row (first row, looking forward) as a struct.
     edges = sliced.groupBy(SLICE).agg(pick(F.struct(*keys)).alias("_edge"))

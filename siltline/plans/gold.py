@@ -85,7 +85,7 @@ def fact_transactions(
     )
     with_product = lookup(
         with_customer, products.select("product_id", "product_name", "category", "brand"),
-        "product_id",
+        "product_id", keys_of=transactions,
     )
     return with_product.select(
         "transaction_id", "transaction_date", "customer_id", "customer_name", "country", "city",

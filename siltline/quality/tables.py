@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions import as_column
-from ..operators.neighbours import with_neighbour
+from ..operators.neighbours import groups_are_small, with_neighbour
 from ..operators.series import check_part
 from ..operators.shape import other_columns, quoted
 from .rules import FrameRule
@@ -142,12 +142,12 @@ def relationships_where(
 ) -> FrameRule:
     """Ids without a match, with the number of rows that have them.
 
-    Ids are counted before the join, so an id on very many rows is one row there.
+    Both sides are reduced to one row per id before the join, however often an id occurs.
     """
     ids = model.where(from_condition).groupBy(as_column(column).alias("id")).agg(
         F.count("*").alias("n_rows")
     ).where("id IS NOT NULL")
-    known = other.where(to_condition).select(as_column(field).alias("id"))
+    known = other.where(to_condition).select(as_column(field).alias("id")).distinct()
     return FrameRule(
         name=options.pop("name", f"relationships_{column}"), frame=ids.join(known, "id", "left_anti"),
         failures=F.coalesce(F.sum("n_rows"), F.lit(0)), **options,
@@ -166,7 +166,9 @@ def sequential_values(
     rows = df.where(as_column(column).isNotNull()).groupBy(
         *by, as_column(column).alias("value")
     ).agg(F.count("*").alias("_n"))
-    found = with_neighbour(rows, by, ["value"], "value", "previous")
+    found = with_neighbour(
+        rows, by, ["value"], "value", "previous", small_groups=groups_are_small(df, by)
+    )
 
     def out_of_step(previous: Column) -> Column:
         if part is None:
@@ -212,7 +214,7 @@ def mutually_exclusive_ranges(
     )
     following = with_neighbour(
         bounded, by, ["lower_bound", "_open", "upper_bound"], "lower_bound", "next_lower_bound",
-        following=True,
+        following=True, small_groups=groups_are_small(df, by),
     ).drop("_open")
     # Of equal rows, all but the last are followed by their own bound.
     each = F.array(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -36,3 +38,27 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, as the file system names them."""
     fs, path = file_system(spark, pattern)
     return [str(status.getPath().toString()) for status in (fs.globStatus(path) or [])]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    fs, hadoop_path = file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears whole or not at all; an existing one is an error."""
+    fs, final = file_system(spark, path)
+    _, draft = file_system(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise FileExistsError(path)

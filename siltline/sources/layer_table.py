@@ -9,6 +9,7 @@ calendar and not the data.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .files import file_system, matching_paths
+from .files import matching_paths, publish_text, read_text
 
 SLOT, FOLDER = "_slot", "_written"
 WHOLE = "whole"
@@ -43,21 +44,20 @@ class LayerTable:
 
     def version(self) -> int:
         """Number of the last published version, 0 for a table never written."""
-        marks = matching_paths(self.spark, f"{self.root}/versions/*/_SUCCESS")
-        return max((int(m.split("/")[-2]) for m in marks), default=0)
+        listings = matching_paths(self.spark, f"{self.root}/versions/*.json")
+        return max((int(p.split("/")[-1].removesuffix(".json")) for p in listings), default=0)
 
-    def _listing(self, version: int) -> dict[tuple[str, str], str]:
+    def _listing_path(self, version: int) -> str:
+        return f"{self.root}/versions/{version:012d}.json"
+
+    def _listing(self, version: int) -> dict[str, dict]:
         if version == 0:
-            return {}
-        rows = self.spark.read.schema("kind STRING, name STRING, value STRING").json(
-            f"{self.root}/versions/{version:012d}"
-        ).collect()  # one line per day and per writer
-        return {(r.kind, r.name): r.value for r in rows}
+            return {"slots": {}, "batches": {}}
+        return json.loads(read_text(self.spark, self._listing_path(version)))
 
     def slots(self, version: int | None = None) -> dict[str, str]:
         """Slot -> folder of a version, the last one by default."""
-        listing = self._listing(self.version() if version is None else version)
-        return {name: value for (kind, name), value in listing.items() if kind == "slot"}
+        return self._listing(self.version() if version is None else version)["slots"]
 
     def changed_slots(self, since: int) -> list[str]:
         """Slots whose rows differ between version ``since`` and now."""
@@ -66,7 +66,7 @@ class LayerTable:
 
     def last_batch(self, writer: str) -> int:
         """Number of the last batch a streaming writer has published here, -1 for none."""
-        return int(self._listing(self.version()).get(("batch", writer), -1))
+        return self._listing(self.version())["batches"].get(writer, -1)
 
     # -- reading ----------------------------------------------------------------------------
 
@@ -137,8 +137,9 @@ class LayerTable:
             *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields],
             self.slot_of().alias(SLOT), F.lit(folder).alias(FOLDER),
         )
-        # rebalance: files of a sensible size per slot, and a heavy slot is spread over many tasks
-        out = out.hint("rebalance", SLOT) if self.slot is not None else out.hint("rebalance")
+        if self.slot is not None:
+            # Few files per slot, and a heavy slot is spread over many tasks.
+            out = out.hint("rebalance", SLOT)
         out.write.partitionBy(SLOT, FOLDER).mode("append").parquet(f"{self.root}/data")
         found = matching_paths(self.spark, f"{self.root}/data/{SLOT}=*/{FOLDER}={folder}")
         return {path.split(f"{SLOT}=")[1].split("/")[0]: folder for path in found}
@@ -152,20 +153,12 @@ class LayerTable:
         batch: tuple[str, int] | None = None,
     ) -> int:
         listing = self._listing(base)
-        if not keep:
-            listing = {k: v for k, v in listing.items() if k[0] != "slot"}
-        for slot in touched or ():
-            listing.pop(("slot", slot), None)
-        listing |= {("slot", slot): folder for slot, folder in written.items()}
-        if batch is not None:
-            listing["batch", batch[0]] = str(batch[1])
-        lines = [(kind, name, value) for (kind, name), value in sorted(listing.items())]
-        target = f"{self.root}/versions/{base + 1:012d}"
-        fs, path = file_system(self.spark, target)
-        if fs.exists(path) and not matching_paths(self.spark, f"{target}/_SUCCESS"):
-            fs.delete(path, True)  # left by a writer that died before it published
-        # Fails if another writer has published this version in the meantime.
-        self.spark.createDataFrame(lines, "kind STRING, name STRING, value STRING").coalesce(
-            1
-        ).write.json(target)
+        slots = listing["slots"] if keep else {}
+        slots = {s: f for s, f in slots.items() if s not in (touched or ())} | written
+        batches = listing["batches"] | ({batch[0]: batch[1]} if batch is not None else {})
+        # An error if another writer has published this version in the meantime.
+        publish_text(
+            self.spark, self._listing_path(base + 1),
+            json.dumps({"slots": slots, "batches": batches}, indent=0, sort_keys=True),
+        )
         return base + 1

@@ -26,7 +26,6 @@ def merge_fact(
     just the silver slots that changed since the last merge. Rows that silver no longer has stay,
     unless ``propagate_deletes``.
     """
-    gold.create()
     version = silver.version()
     seen = gold.last_batch(SOURCE)
     mark = (SOURCE, version)
@@ -54,7 +53,6 @@ def refresh_metrics(silver: LayerTable, metrics: LayerTable, build: Build) -> in
 
     The metric's groups must not reach across slots, as days do not.
     """
-    metrics.create()
     version, seen = silver.version(), metrics.last_batch(SOURCE)
     changed = silver.changed_slots(max(seen, 0))
     if seen >= 0 and not changed:

@@ -21,18 +21,24 @@ from .runs import start
 
 def merge_into(
     table: LayerTable, changes: DataFrame, keys: Sequence[str],
-    batch: tuple[str, int] | None = None, sequence: Sequence[str] = (),
+    batch: tuple[str, int] | None = None, sequence: Sequence[str] = (), written: bool = False,
 ) -> int:
     """Apply changes (one per key, with ``is_delete``) to a table; its new version.
 
     Only slots that hold an old or a new row of a changed key are rewritten. The changes are
-    written once, since they are counted, joined and added. With ``sequence`` a change older than
+    written once, since they are counted, joined and added, unless they are ``written`` files
+    already. With ``sequence`` a change older than
     the table's row has no effect; the table then keeps those columns and ``is_delete``.
     """
-    changes = staged(changes, "changes")
+    if not written:
+        changes = staged(changes, "changes")
     key = keys[0]
+    # Deletes leave a mark of their own only where the sequence is kept.
+    lands = F.lit(True) if sequence else ~F.col("is_delete")
     seen = changes.agg(
-        F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+        F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
+        # at most one value per slot
+        F.collect_set(F.when(lands, table.slot_of())).alias("slots"),
     ).first()
     if seen.n == 0:
         return table.version()
@@ -40,18 +46,17 @@ def merge_into(
     if seen.n <= BROADCAST_ROWS:
         changed = F.broadcast(changed)
 
-    def slots(df: DataFrame) -> set[str]:
-        # at most one row per slot
-        return {r.slot for r in df.select(table.slot_of().alias("slot")).distinct().collect()}
-
-    # The key range reaches the parquet scan and skips files and row groups without changed keys.
-    near = table.read().where(F.col(key).between(seen.low, seen.high))
-    touched = slots(near.join(changed, list(keys), "left_semi"))
+    touched = set(seen.slots)
+    if table.slots():
+        # The key range reaches the parquet scan and skips row groups without changed keys.
+        near = table.read().where(F.col(key).between(seen.low, seen.high))
+        held = near.join(changed, list(keys), "left_semi")
+        touched |= {
+            r.slot for r in held.select(table.slot_of().alias("slot")).distinct().collect()
+        }
     if sequence:
-        touched |= slots(changes)
         merged = merge_in_sequence(table.read(touched), changes, keys, sequence)
     else:
-        touched |= slots(changes.where("NOT is_delete"))
         merged = merge_changes(table.read(touched), changes, keys, changed)
     return table.rewrite(merged, touched, batch)
 
@@ -78,7 +83,7 @@ class SilverMerge:
     def __call__(self, log: DataFrame, batch_id: int) -> None:
         if self.table.last_batch(self.writer) >= batch_id:
             return
-        latest = latest_changes(log, self.keys, self.sequence)
+        latest = staged(latest_changes(log, self.keys, self.sequence), "latest")
         if self.quarantine is not None and self.rules:
             quarantined(latest, self.rules).write.mode("overwrite").parquet(
                 f"{self.quarantine}/batch={batch_id}"
@@ -90,7 +95,7 @@ class SilverMerge:
         )
         merge_into(
             self.table, changes, self.keys, (self.writer, batch_id),
-            self.sequence if self.guard else (),
+            self.sequence if self.guard else (), written=True,
         )
 
 

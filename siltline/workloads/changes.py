@@ -11,7 +11,7 @@ from ..operators.changes import (
 )
 from ..sources.files import read_table
 from ..sources.layer_table import LayerTable
-from ..sources.staging import new_folder
+from ..sources.staging import new_folder, staged
 from ..sources.topics import read_event_files
 from ..streaming.bronze import append_log, log_frame, read_log
 from ..streaming.merge import SilverMerge, merge_events, merge_log
@@ -111,10 +111,15 @@ SELECT {STATE_SQL} FROM effective WHERE last = 1 AND _op <> 'd'"""
 
 def _weeks(log: DataFrame) -> list[DataFrame]:
     """The log cut into batches: four weeks, and the rest of the month."""
-    starts = [f"2024-01-{day:02d}" for day in (1, 8, 15, 22, 29)] + ["9999-01-01"]
-    at = F.timestamp_micros("_seq_time").cast("timestamp")
-    cuts = [F.lit(s).cast("timestamp") for s in starts]
-    return [log.where((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    log = staged(log, "log")  # each batch reads its part of the written log
+    start, week = 1_704_067_200_000_000, 604_800_000_000
+    at = F.col("_seq_time")
+    cuts = [start + i * week for i in range(1, 5)]
+    return [
+        log.where(at < cuts[0]),
+        *[log.where((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])],
+        log.where(at >= cuts[-1]),
+    ]
 
 
 @work.add("cdc_apply_upserts_deletes", REPLAY_SQL)

@@ -11,6 +11,7 @@ from .. import quality as dq
 from ..operators.latest import latest_per_key
 from ..plans.feeds import TRANSACTION_KEYS
 from ..sources.files import read_table
+from ..sources.staging import staged
 from . import Workload
 from .tables import (
     LABELLED_SQL, LATEST_SQL, RAW_SQL, SILVER_SQL, TRANSACTION_ORDER, labelled_documents,
@@ -394,6 +395,5 @@ judged AS (
 SELECT *, CASE WHEN should_error THEN 'error' WHEN should_warn THEN 'warn' ELSE 'pass' END AS status
 FROM judged""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return transaction_suite(
-        raw_transactions(spark, folder), read_table(spark, folder, "part")
-    ).report()
+    raw = staged(raw_transactions(spark, folder), "raw")  # the rules run on a written table
+    return transaction_suite(raw, read_table(spark, folder, "part")).report()

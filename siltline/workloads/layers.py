@@ -10,7 +10,7 @@ from ..operators.latest import latest_per_key
 from ..plans import gold, silver
 from ..plans.feeds import TRANSACTION_FEED, TRANSACTION_KEYS
 from ..plans.medallion import StreamLayout, run_batch, run_streams
-from ..sources.staging import new_folder
+from ..sources.staging import new_folder, staged
 from ..sources.topics import read_event_files
 from . import Workload
 from .tables import (
@@ -149,10 +149,12 @@ FACT_SQL = f"""{SILVER_SQL}, {CUSTOMERS_SQL}, {PRODUCTS_SQL}, fact AS (
   LEFT JOIN products p ON s.product_id = p.product_id)"""
 
 
-def fact(spark: SparkSession, folder: str) -> DataFrame:
+def fact(spark: SparkSession, folder: str, transactions: DataFrame | None = None) -> DataFrame:
+    """The cleaned dimensions are tables, as in the whole job: they are counted and then joined."""
     return gold.fact_transactions(
-        silver_transactions(spark, folder), silver_customers(spark, folder),
-        silver_products(spark, folder),
+        silver_transactions(spark, folder) if transactions is None else transactions,
+        staged(silver_customers(spark, folder), "customers"),
+        staged(silver_products(spark, folder), "products"),
     )
 
 
@@ -176,7 +178,8 @@ UNION ALL
 SELECT * FROM held WHERE transaction_id NOT IN (SELECT transaction_id FROM fact)""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The fact merged into an earlier one that also has transactions held back since."""
-    new = fact(spark, folder)
+    transactions = staged(silver_transactions(spark, folder), "transactions")
+    new = fact(spark, folder, transactions)
     earlier = raw_transactions(spark, folder).groupBy("transaction_id").agg(
         F.min("transaction_date").alias("transaction_date"),
         F.lit("earlier").alias("customer_name"),
@@ -189,8 +192,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.col(c) if c in earlier.columns else F.lit(None).cast(kinds[c]).alias(c)
         for c in new.columns
     ])
-    keys = silver_transactions(spark, folder).select(*TRANSACTION_KEYS)
-    return merge_changes(wide, new.withColumn("is_delete", F.lit(False)), TRANSACTION_KEYS, keys)
+    return merge_changes(
+        wide, new.withColumn("is_delete", F.lit(False)), TRANSACTION_KEYS,
+        transactions.select(*TRANSACTION_KEYS),
+    )
 
 
 @work.add("medallion_batch", CUSTOMER_METRICS_SQL)
@@ -202,9 +207,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         "products": latest_per_key(raw_products(spark, folder), ["product_id"],
                                    ["updated_at", "cost_price", "version_id"]),
     }
-    done = run_batch(
-        spark, sources.__getitem__, silver_transactions(spark, folder), new_folder(spark, "batch")
-    )
+    transactions = staged(silver_transactions(spark, folder), "transactions")
+    done = run_batch(spark, sources.__getitem__, transactions, new_folder(spark, "batch"))
     return done["customer_metrics"].read()
 
 
@@ -240,6 +244,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     layout = StreamLayout(root, slot="date_trunc('YEAR', transaction_date)")
     done = run_streams(
         spark, read_event_files(spark, landing), TRANSACTION_FILE_FEED, layout,
-        silver_customers(spark, folder), silver_products(spark, folder),
+        staged(silver_customers(spark, folder), "customers"),
+        staged(silver_products(spark, folder), "products"),
     )
     return done["gold"].read()

@@ -192,7 +192,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """Customer numbers up to the highest one that never ordered."""
     customers = read_table(spark, folder, "orders").select(
         F.col("o_custkey").alias("generated_number")
-    )
+    ).distinct()
     highest = shape.single_value(customers.agg(F.max("generated_number")), 0)
     return series(spark, highest).join(customers, "generated_number", "left_anti")
 
