@@ -40,11 +40,13 @@ class RowRule(Rule):
 @dataclass(frozen=True, kw_only=True)
 class GroupRule(Rule):
     """``keys`` are SQL expressions, which also name the key columns. ``fails`` gets the columns of
-    the keys and measures by name, so that rules can share one aggregation."""
+    the keys and measures by name, so that rules can share one aggregation. Without keys, one row
+    that meets ``decides`` may be enough to tell the outcome."""
 
     keys: Sequence[str] = ()
     measures: Mapping[str, Column]
     fails: Callable[[Mapping[str, Column]], Column]
+    decides: Column | None = None
 
     def key_columns(self) -> list[Column]:
         return [as_column(k).alias(k) for k in self.keys]
@@ -72,6 +74,8 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     if isinstance(rule, RowRule):
         return rows.where(rule.fails)
     if isinstance(rule, GroupRule):
+        if rule.decides is not None and not rule.keys:
+            rows = rows.where(rule.decides).limit(1)  # the scan stops at the first such row
         return rows.groupBy(*rule.key_columns()).agg(
             *[m.alias(n) for n, m in rule.measures.items()]
         ).where(rule.fails_where())
@@ -171,6 +175,7 @@ def at_least_one(column: str, by: Sequence[str] = (), **options) -> GroupRule:
     return GroupRule(
         **_named(f"at_least_one_{column}", options), keys=list(by),
         measures={"n_present": F.count(as_column(column))}, fails=lambda m: m["n_present"] == 0,
+        decides=as_column(column).isNotNull(),
     )
 
 

@@ -69,6 +69,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return dq.violations(labelled_documents(spark, folder), rule)
 
 
+@work.add("dq_at_least_one_global", """
+SELECT count(o_orderpriority) AS n_present FROM orders WHERE o_totalprice < 0
+HAVING count(o_orderpriority) = 0""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rule = dq.at_least_one("o_orderpriority", where="o_totalprice < 0")
+    return dq.violations(read_table(spark, folder, "orders"), rule)
+
+
 @work.add("dq_cardinality_equality", """
 WITH a AS (SELECT l_suppkey AS value, count(*) AS num_rows FROM lineitem GROUP BY 1),
 b AS (SELECT l_suppkey AS value, count(*) AS num_rows FROM lineitem

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from ..operators.changes import ChangeFeed, merge_changes
 from ..operators.latest import latest_per_key
 from ..plans import gold, silver
-from ..plans.feeds import TRANSACTION_FEED, TRANSACTION_KEYS
+from ..plans.feeds import GOLD_SCHEMA, SILVER_SCHEMA, TRANSACTION_FEED, TRANSACTION_KEYS
 from ..plans.medallion import StreamLayout, run_batch, run_streams
+from ..sources.files import read_seed, read_table
+from ..sources.layer_table import LayerTable
 from ..sources.staging import new_folder, staged
 from ..sources.topics import read_event_files
+from ..streaming.gold import merge_fact, refresh_metrics
+from ..streaming.merge import merge_into
 from . import Workload
 from .tables import (
-    CUSTOMERS_SQL, LATEST_SQL, PRODUCTS_SQL, RAW_SQL, SILVER_SQL, TRANSACTION_ORDER,
+    CUSTOMERS_SQL, LATEST_SQL, PRODUCTS_SQL, SILVER_SQL, TRANSACTION_ORDER,
     raw_customers, raw_products, raw_transactions, silver_customers, silver_products,
     silver_transactions,
 )
@@ -198,6 +202,91 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_year(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, LayerTable]:
+    """The cleaned transactions, and a table that holds those before 1999 so far."""
+    transactions = staged(silver_transactions(spark, folder), "transactions")
+    table = LayerTable(
+        spark, f"{root}/silver", SILVER_SCHEMA, "date_trunc('YEAR', transaction_date)"
+    )
+    table.replace(transactions.where("year(transaction_date) < 1999"))
+    return transactions, table
+
+
+def _add_the_rest(transactions: DataFrame, table: LayerTable) -> None:
+    later = transactions.where("year(transaction_date) >= 1999 OR transaction_date IS NULL")
+    merge_into(table, later.withColumn("is_delete", F.lit(False)), TRANSACTION_KEYS)
+
+
+@work.add("gold_daily_incremental", DAILY_RESULT_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily summary built for some years, then brought up to date for those added."""
+    root = new_folder(spark, "daily")
+    transactions, table = _by_year(spark, folder, root)
+    metrics = LayerTable(
+        spark, f"{root}/daily", gold.daily_summary(transactions).schema,
+        "date_trunc('YEAR', metric_date)",
+    )
+    refresh_metrics(table, metrics, gold.daily_summary)
+    _add_the_rest(transactions, table)
+    refresh_metrics(table, metrics, gold.daily_summary)
+    return metrics.read()
+
+
+@work.add("gold_fact_incremental", f"WITH {FACT_SQL} SELECT * FROM fact")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact merged for some years, then for the slots that changed since."""
+    root = new_folder(spark, "fact")
+    transactions, table = _by_year(spark, folder, root)
+    customers = staged(silver_customers(spark, folder), "customers")
+    products = staged(silver_products(spark, folder), "products")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return gold.fact_transactions(rows, customers, products)
+
+    held = LayerTable(
+        spark, f"{root}/fact", GOLD_SCHEMA, "date_trunc('YEAR', transaction_date)"
+    )
+    merge_fact(table, held, build)
+    _add_the_rest(transactions, table)
+    merge_fact(table, held, build, changed_only=True)
+    return held.read()
+
+
+@work.add("layer_table_rewrites", """
+SELECT year(o_orderdate)::BIGINT AS y, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS n,
+       count(*) FILTER (WHERE o_orderstatus = 'F') AS finished
+FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F' GROUP BY 1""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders replaced, appended to, compacted, and one year of them rewritten."""
+    orders = read_table(spark, folder, "orders")
+    table = LayerTable(
+        spark, new_folder(spark, "orders"), orders.schema, "date_trunc('YEAR', o_orderdate)"
+    ).create()
+    table.replace(orders)
+    table.append(orders.where("o_orderstatus = 'P'"))
+    table.compact()
+    year = ["1997-01-01"]
+    table.rewrite(table.read(year).where("o_orderstatus = 'F'"), year)
+    return table.read().groupBy(F.year("o_orderdate").alias("y")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("finished")
+    )
+
+
+@work.add("source_seed_csv", """
+SELECT c_custkey, nullif(c_name, '') AS c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
+       CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segment
+FROM customer""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written as a CSV seed and loaded with declared types; empty cells are NULL."""
+    customers = read_table(spark, folder, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal",
+        F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("segment"),
+    )
+    path = new_folder(spark, "seed")
+    customers.write.option("header", True).csv(path)
+    return read_seed(spark, path, customers.schema)
+
+
 @work.add("medallion_batch", CUSTOMER_METRICS_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Raw copies, cleaned dimensions, checks and metrics as tables; reads one of them back."""
