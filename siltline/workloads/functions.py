@@ -13,9 +13,9 @@ from . import Workload
 work = Workload()
 
 
-@work.add("col_surrogate_key", """
+@work.add("col_surrogate_key", f"""
 SELECT md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
-           coalesce(nullif(l_returnflag, 'N'), '_dbt_utils_surrogate_key_null_')) AS item_key,
+           coalesce(nullif(l_returnflag, 'N'), '{text.NULL_KEY_PART}')) AS item_key,
        md5(CAST(l_orderkey AS VARCHAR) || '-' || coalesce(nullif(l_returnflag, 'N'), ''))
          AS legacy_key
 FROM lineitem""")

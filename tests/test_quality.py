@@ -50,7 +50,7 @@ def test_values_and_keys(spark):
     assert failures(df, dq.unique("id")) == 1
     assert failures(df, dq.unique_combination(["id", "city"])) == 2
     assert failures(df, dq.unique("concat(id, city)", name="expr")) == 1
-    sales = frame(spark, [(date(2019, 1, 1), "jaffle", 500), (date(2019, 2, 1), "jaffle", 300)],
+    sales = frame(spark, [(date(2019, 1, 1), "tart", 500), (date(2019, 2, 1), "tart", 300)],
                   "month DATE, product STRING, revenue INT")
     assert failures(sales, dq.unique_combination(["month", "product"])) == 0
 

@@ -40,7 +40,7 @@ def test_nulls_for_empty(spark, rows):
 
 @pytest.fixture
 def two(spark):
-    one = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")],
+    one = spark.createDataFrame([(1, "dan", "pi"), (2, "bob", "e"), (3, "alice", "4")],
                                 "id INT, name STRING, favorite_number STRING")
     other = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)],
                                   "ID INT, favorite_color STRING, favorite_number INT")
@@ -51,7 +51,7 @@ def test_union(two, rows):
     out = shape.union_tables(two)
     assert out.columns == ["source_table", "id", "name", "favorite_number", "favorite_color"]
     assert rows(out) == [
-        ("one", 1, "drew", "pi", None), ("one", 2, "bob", "e", None), ("one", 3, "alice", "4", None),
+        ("one", 1, "dan", "pi", None), ("one", 2, "bob", "e", None), ("one", 3, "alice", "4", None),
         ("two", 1, None, "7", "green"), ("two", 2, None, "13", "pink")]
     # The type is text whichever table comes first.
     turned = shape.union_tables({"two": two["two"], "one": two["one"]}, source_column=None)
