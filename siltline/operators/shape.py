@@ -13,6 +13,7 @@ from pyspark.sql.types import BooleanType, DataType, StringType, StructField
 
 from ..functions import ColumnLike, as_column
 from ..functions.text import null_if_empty, slug_name
+from ..sources.staging import staged
 
 
 def quoted(name: str) -> str:
@@ -235,7 +236,8 @@ def results_as_lists(df: DataFrame, order: Sequence[str], max_rows: int = 10_000
 
     Meant for small results: a frame of more than ``max_rows`` rows is an error.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
+    df = staged(df.limit(max_rows + 1), "lists")  # the query runs once
+    if df.count() > max_rows:
         raise ValueError(f"more than {max_rows} rows")
     rows = F.array_sort(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("_row"))))
     return df.agg(rows.alias("_rows")).select(*[

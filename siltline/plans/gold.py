@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
 from ..operators.series import date_spine
+from ..sources.staging import staged
 
 
 def _average_value() -> Column:
@@ -28,10 +29,9 @@ def daily_summary(transactions: DataFrame) -> DataFrame:
 
 def dense_daily_summary(transactions: DataFrame) -> DataFrame:
     """Daily summary with a row of zeros for days without transactions, first to last day."""
-    daily = daily_summary(transactions)
-    ends = transactions.agg(
-        F.to_date(F.min("transaction_date")).alias("first"),
-        F.date_add(F.to_date(F.max("transaction_date")), 1).alias("end"),
+    daily = staged(daily_summary(transactions), "daily")  # one pass over the transactions
+    ends = daily.agg(
+        F.min("metric_date").alias("first"), F.date_add(F.max("metric_date"), 1).alias("end")
     ).first()
     if ends.first is None:
         return daily

@@ -15,12 +15,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_seed(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A CSV seed with declared column types; an empty cell is NULL."""
-    return (
-        spark.read.schema(schema)
-        .options(header=True, nullValue="", emptyValue="", mode="FAILFAST", multiLine=False)
-        .csv(path)
-    )
+    """A CSV seed with declared column types; an empty cell is NULL. A header or a value that does
+    not fit the declaration is an error."""
+    return spark.read.schema(schema).options(
+        header=True, enforceSchema=False, nullValue="", emptyValue="", mode="FAILFAST"
+    ).csv(path)
 
 
 def layer_path(root: str, layer: str, schema: str, table: str) -> str:

@@ -61,13 +61,18 @@ def merge_into(
     return table.rewrite(merged, touched, batch)
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query that delivers a batch, which its checkpoint keeps."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 @dataclass(frozen=True)
 class SilverMerge:
     """A batch of log rows merged into a cleaned table.
 
     ``columns`` maps the table's columns to expressions over the log. Upserts that fail a rule go
-    to ``quarantine``, a folder, if there is one. A batch that was merged before is skipped, so a
-    restarted stream may deliver it again.
+    to ``quarantine``, a folder, if there is one. A batch that the same query has merged before is
+    skipped, so a restarted stream may deliver it again; a new checkpoint is a new query.
     """
 
     table: LayerTable
@@ -81,12 +86,13 @@ class SilverMerge:
     writer: str = "silver"
 
     def __call__(self, log: DataFrame, batch_id: int) -> None:
-        if self.table.last_batch(self.writer) >= batch_id:
+        writer = f"{self.writer}-{query_id(log)}"
+        if self.table.last_batch(writer) >= batch_id:
             return
         latest = staged(latest_changes(log, self.keys, self.sequence), "latest")
         if self.quarantine is not None and self.rules:
             quarantined(latest, self.rules).write.mode("overwrite").parquet(
-                f"{self.quarantine}/batch={batch_id}"
+                f"{self.quarantine}/query={writer}/batch={batch_id}"
             )
         extra = ["is_delete", *(self.sequence if self.guard else ())]
         changes = changes_to_apply(latest, self.rules, self.remove_failing).select(
@@ -94,7 +100,7 @@ class SilverMerge:
             *[c for c in extra if c not in self.columns],
         )
         merge_into(
-            self.table, changes, self.keys, (self.writer, batch_id),
+            self.table, changes, self.keys, (writer, batch_id),
             self.sequence if self.guard else (), written=True,
         )
 

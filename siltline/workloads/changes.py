@@ -162,6 +162,8 @@ def _landed(spark: SparkSession, folder: str, files: int = 4) -> str:
 
 
 GUARDED = STATE_SCHEMA + ", _seq_time BIGINT, _seq_id BIGINT, is_delete BOOLEAN"
+# Marks of deletes have no date of their own, so rows are filed by the time of their change.
+GUARDED_SLOT = "date_trunc('WEEK', timestamp_micros(_seq_time))"
 
 
 @work.add("cdc_stream_log", f"""
@@ -181,7 +183,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "silver")
     events = read_event_files(spark, _landed(spark, folder), max_files_per_trigger=2)
     finish(append_log(events, USER_FEED, f"{root}/log", f"{root}/checkpoint/log"))
-    table = LayerTable(spark, f"{root}/table", GUARDED)
+    table = LayerTable(spark, f"{root}/table", GUARDED, GUARDED_SLOT)
     merge = SilverMerge(
         table, ["user_id"], USER_SEQUENCE, {c: c for c in STATE}, guard=True,
     )
@@ -195,7 +197,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """Events merged into the table without a log, three files per batch."""
     root = new_folder(spark, "direct")
     events = read_event_files(spark, _landed(spark, folder), max_files_per_trigger=3)
-    table = LayerTable(spark, f"{root}/table", GUARDED, "date_trunc('WEEK', happened_at)")
+    table = LayerTable(spark, f"{root}/table", GUARDED, GUARDED_SLOT)
     merge = SilverMerge(
         table, ["user_id"], USER_SEQUENCE, {c: c for c in STATE}, guard=True, writer="direct",
     )

@@ -154,6 +154,22 @@ def test_log_is_written_once_across_runs(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "log")).count() == 10 * (i + 1)
 
 
+def test_new_checkpoint_is_a_new_query(spark, tmp_path):
+    """Batch numbers start again with a new checkpoint; its batches must not be taken for old ones."""
+    landing, layout = tmp_path / "in", StreamLayout(str(tmp_path / "lake"))
+    merge = silver_merge(spark, layout, ["_seq"])
+    land(landing, "a.json", numbered([event("c", 1, 1.0)]))
+    finish(merge_events(read_event_files(spark, str(landing)), FEED, merge, str(tmp_path / "cp1")))
+    land(landing, "b.json", numbered([event("c", 2, 2.0)], 5))
+    finish(merge_events(read_event_files(spark, str(landing)), FEED, merge, str(tmp_path / "cp2")))
+    assert sorted(amounts(merge.table)) == [1, 2]
+    # The same batch number of the first query is still known.
+    version = merge.table.version()
+    finish(merge_events(read_event_files(spark, str(landing)), FEED, merge, str(tmp_path / "cp2")))
+    assert merge.table.version() == version
+    assert len(merge.table._listing(version)["batches"]) == 2
+
+
 def test_bounded_run_goes_on_later(spark, tmp_path):
     landing = tmp_path / "in"
     for i in range(3):

@@ -94,13 +94,16 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
 
 def test_seed(spark, tmp_path):
     path = tmp_path / "seed.csv"
-    path.write_text("id,name,at\n1,a,2020-01-01\n2,,\n")
+    path.write_text("\ufeffid,name,at\n1,a,2020-01-01\n2,,\n")
     df = files.read_seed(spark, str(path), "id INT, name STRING, at DATE")
     assert [(r.id, r.name, str(r.at)) for r in df.collect()] == [
         (1, "a", "2020-01-01"), (2, None, "None")]
     path.write_text("id,name,at\nx,a,2020-01-01\n")
     with pytest.raises(Exception):
         files.read_seed(spark, str(path), "id INT, name STRING, at DATE").collect()
+    path.write_text("name,id,at\na,1,2020-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_seed(spark, str(path), "id INT, name STRING, at DATE").collect()
 
 
 def test_database_options():
