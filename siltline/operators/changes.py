@@ -118,6 +118,16 @@ def quarantined(latest: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     )
 
 
+def kept_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key no change concerns; ``changed`` has the changes' keys."""
+    return target.join(changed, list(keys), "left_anti").select(*target.columns)
+
+
+def added_rows(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """New and updated rows."""
+    return changes.where(~F.col("is_delete")).select(*columns)
+
+
 def merge_changes(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], changed: DataFrame | None = None
 ) -> DataFrame:
@@ -128,9 +138,7 @@ def merge_changes(
     get than through ``changes``.
     """
     gone = changes.select(*keys) if changed is None else changed
-    kept = target.join(gone, list(keys), "left_anti")
-    added = changes.where(~F.col("is_delete")).select(*target.columns)
-    return kept.select(*target.columns).unionByName(added)
+    return kept_rows(target, gone, keys).unionByName(added_rows(changes, target.columns))
 
 
 def merge_in_sequence(

@@ -123,23 +123,29 @@ class LayerTable:
 
     def rewrite(
         self, rows: DataFrame, touched: Iterable[str], batch: tuple[str, int] | None = None,
-        check: Check | None = None,
+        check: Check | None = None, arranged: bool = False,
     ) -> int:
-        """Put ``rows`` in place of the slots ``touched``; a touched slot without rows is gone."""
-        base, written = self.version(), self._write(rows)
+        """Put ``rows`` in place of the slots ``touched``; a touched slot without rows is gone.
+        ``arranged`` rows have few slots per task already and are written as they come."""
+        base, written = self.version(), self._write(rows, arranged)
         if check is not None:
             check(self._read(written))
         return self._publish(base, written, set(touched), batch=batch)
 
-    def _write(self, rows: DataFrame) -> dict[str, str]:
+    def by_slot(self, rows: DataFrame) -> DataFrame:
+        """Rows shuffled so that a slot gets few files, and a heavy slot is spread over tasks."""
+        if self.slot is None:
+            return rows
+        return rows.withColumn(SLOT, self.slot_of()).hint("rebalance", SLOT).drop(SLOT)
+
+    def _write(self, rows: DataFrame, arranged: bool = False) -> dict[str, str]:
         folder = uuid.uuid4().hex
-        out = rows.select(
-            *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields],
-            self.slot_of().alias(SLOT), F.lit(folder).alias(FOLDER),
+        typed = rows.select(*[
+            F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields
+        ])
+        out = (typed if arranged else self.by_slot(typed)).select(
+            "*", self.slot_of().alias(SLOT), F.lit(folder).alias(FOLDER)
         )
-        if self.slot is not None:
-            # Few files per slot, and a heavy slot is spread over many tasks.
-            out = out.hint("rebalance", SLOT)
         out.write.partitionBy(SLOT, FOLDER).mode("append").parquet(f"{self.root}/data")
         found = matching_paths(self.spark, f"{self.root}/data/{SLOT}=*/{FOLDER}={folder}")
         return {path.split(f"{SLOT}=")[1].split("/")[0]: folder for path in found}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import (
-    ChangeFeed, change_log, changes_to_apply, latest_changes, merge_changes, merge_in_sequence,
-    parse_events, quarantined,
+    ChangeFeed, added_rows, change_log, changes_to_apply, kept_rows, latest_changes,
+    merge_in_sequence, parse_events, quarantined,
 )
 from ..operators.joins import BROADCAST_ROWS
 from ..sources.layer_table import LayerTable
@@ -42,8 +42,9 @@ def merge_into(
     ).first()
     if seen.n == 0:
         return table.version()
+    small = seen.n <= BROADCAST_ROWS
     changed = changes.select(*keys)
-    if seen.n <= BROADCAST_ROWS:
+    if small:
         changed = F.broadcast(changed)
 
     touched = set(seen.slots)
@@ -54,11 +55,15 @@ def merge_into(
         touched |= {
             r.slot for r in held.select(table.slot_of().alias("slot")).distinct().collect()
         }
+    old = table.read(touched)
     if sequence:
-        merged = merge_in_sequence(table.read(touched), changes, keys, sequence)
-    else:
-        merged = merge_changes(table.read(touched), changes, keys, changed)
-    return table.rewrite(merged, touched, batch)
+        return table.rewrite(merge_in_sequence(old, changes, keys, sequence), touched, batch)
+    kept, added = kept_rows(old, changed, keys), added_rows(changes, old.columns)
+    if not small:
+        return table.rewrite(kept.unionByName(added), touched, batch)
+    # Rows kept pass the broadcast join in the tasks that read them, one slot's files after the
+    # other, and are written from there; only the added rows are shuffled.
+    return table.rewrite(kept.unionByName(table.by_slot(added)), touched, batch, arranged=True)
 
 
 def query_id(batch: DataFrame) -> str:

@@ -208,6 +208,34 @@ def test_merge_rewrites_only_touched_days(spark, tmp_path):
     assert merge_into(table, changes((0, None, None, True)).where("false"), ["id"]) == version
 
 
+def test_small_merge_does_not_shuffle_the_table(spark, tmp_path, monkeypatch):
+    table = LayerTable(spark, str(tmp_path / "t"), "id BIGINT, at DATE, v INT", "at")
+    days = spark.range(3000).select(
+        "id", F.expr("date_add(DATE '2024-01-01', CAST(id % 30 AS INT))").alias("at"),
+        F.lit(1).alias("v"))
+    table.replace(days)
+    plans = []
+    write = LayerTable._write
+
+    def watched(self, rows, arranged=False):
+        plans.append((arranged, rows._jdf.queryExecution().executedPlan().toString()))
+        return write(self, rows, arranged)
+
+    monkeypatch.setattr(LayerTable, "_write", watched)
+    few = days.where("id % 100 = 0").withColumns({"v": F.lit(2), "is_delete": F.col("id") < 300})
+    merge_into(table, few, ["id"])
+    (arranged, plan), = plans
+    kept, rest = plan.split("BroadcastExchange")
+    assert arranged and "LeftAnti" in kept and "hashpartitioning" not in kept
+    assert rest.count("hashpartitioning") == 1  # the added rows
+    assert table.read().agg(F.count("*"), F.sum("v")).first() == (2997, 2997 + 27)
+    plans.clear()
+    monkeypatch.setattr("siltline.streaming.merge.BROADCAST_ROWS", 5)
+    merge_into(table, few, ["id"])
+    assert not plans[0][0]
+    assert table.read().agg(F.count("*"), F.sum("v")).first() == (2997, 2997 + 27)
+
+
 def test_fact_merge_modes(spark, tmp_path, empty_dimensions):
     source = LayerTable(spark, str(tmp_path / "s"), SILVER_SCHEMA, "transaction_date").create()
     fact = LayerTable(spark, str(tmp_path / "g"), GOLD_SCHEMA, "transaction_date")
