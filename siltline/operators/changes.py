@@ -36,17 +36,25 @@ class ChangeFeed:
     sequence: Mapping[str, str] = field(default_factory=dict)
 
 
-def parse_events(events: DataFrame, row: RowSpec, text: str = "value") -> DataFrame:
+def parse_events(
+    events: DataFrame, row: RowSpec, text: str = "value", observed: str | None = None
+) -> DataFrame:
     """JSON events to ``before``, ``after``, ``op``, next to the source's other columns.
 
     Events without an operation, malformed ones among them, are left out; see
-    :func:`rejected_events`.
+    :func:`rejected_events`. Under the name ``observed`` the run reports how many events it has
+    ``seen`` and ``rejected``.
     """
     parsed = F.from_json(F.col(text).cast("string"), envelope_schema(row))
     rest = [c for c in events.columns if c != text]
     # A filter on a projected from_json is pushed below it and parses every text a second time;
     # it is not pushed below a generator.
-    return events.select(*rest, F.inline(F.array(parsed))).where("op IS NOT NULL")
+    flat = events.select(*rest, F.inline(F.array(parsed)))
+    if observed is not None:
+        flat = flat.observe(
+            observed, F.count("*").alias("seen"), F.count_if(F.col("op").isNull()).alias("rejected")
+        )
+    return flat.where("op IS NOT NULL")
 
 
 def rejected_events(events: DataFrame, row: RowSpec, text: str = "value") -> DataFrame:

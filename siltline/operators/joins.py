@@ -7,17 +7,36 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# A table of at most this many rows may be broadcast.
+# A table of at most this many rows and bytes may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 # A key counts as heavy from this share of the rows, so there are at most 1 / share of them.
 HEAVY_SHARE = 0.005
 SALTS = 64
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no columns and stops early."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: text and nested values by their length, others by a fixed 16 bytes."""
+    size = F.lit(16 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return size.cast("bigint")
+
+
+def is_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most so many rows and bytes. The rows of a file table are counted from
+    its footers; only a table with few rows is read."""
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
@@ -44,7 +63,7 @@ def lookup(
 ) -> DataFrame:
     """Left join of ``facts`` with a table that has one row per ``key``.
 
-    A dimension counted as small is broadcast. Otherwise the join shuffles, and the rows of heavy
+    A dimension measured as small is broadcast. Otherwise the join shuffles, and the rows of heavy
     keys are spread over ``salts`` sub-keys, for which the dimension's row is repeated. The heavy
     keys are counted in ``keys_of``, a cheaper frame with the same keys, where there is one.
     """

@@ -109,11 +109,14 @@ def run_streams(
     products: DataFrame,
     seconds: float | None = None,
     max_files_per_trigger: int | None = None,
+    changed_only: bool = False,
     **merge_options,
 ) -> dict[str, LayerTable]:
     """Work off a stream of change events: log, cleaned transactions, fact, daily metrics.
 
-    Each layer handles what is there and ends; a further call goes on from the checkpoints.
+    Each layer handles what is there and ends; a further call goes on from the checkpoints. The fact
+    is built from all transactions, since its dimensions may have changed; ``changed_only`` builds
+    it for the slots with changed transactions.
     """
     finish(append_log(events, feed, layout.table("bronze"), layout.checkpoint("bronze")), seconds)
     merge = silver_merge(spark, layout, list(feed.sequence), **merge_options)
@@ -122,7 +125,10 @@ def run_streams(
     )
     finish(merge_log(log, merge, layout.checkpoint("silver")), seconds)
     fact = LayerTable(spark, layout.table("gold"), GOLD_SCHEMA, layout.slot)
-    merge_fact(merge.table, fact, lambda rows: gold.fact_transactions(rows, customers, products))
+    merge_fact(
+        merge.table, fact, lambda rows: gold.fact_transactions(rows, customers, products),
+        changed_only=changed_only,
+    )
     daily = LayerTable(
         spark, layout.table("gold", "daily_summary"),
         gold.daily_summary(merge.table.read()).schema,

@@ -14,8 +14,9 @@ LOG_DAY = "_ingested_day"
 
 
 def log_frame(events: DataFrame, feed: ChangeFeed) -> DataFrame:
-    """Rows of the log for a stream or a batch of event texts."""
-    log = change_log(parse_events(events, feed.row), feed)
+    """Rows of the log for a stream or a batch of event texts. The query's progress reports the
+    events seen and rejected."""
+    log = change_log(parse_events(events, feed.row, observed="events"), feed)
     return log.withColumn(LOG_DAY, F.to_date("_ingested_at"))
 
 

@@ -13,7 +13,7 @@ from ..operators.changes import (
     ChangeFeed, added_rows, change_log, changes_to_apply, kept_rows, latest_changes,
     merge_in_sequence, parse_events, quarantined,
 )
-from ..operators.joins import BROADCAST_ROWS
+from ..operators.joins import is_small
 from ..sources.layer_table import LayerTable
 from ..sources.staging import staged
 from .runs import start
@@ -42,8 +42,8 @@ def merge_into(
     ).first()
     if seen.n == 0:
         return table.version()
-    small = seen.n <= BROADCAST_ROWS
     changed = changes.select(*keys)
+    small = is_small(changed)
     if small:
         changed = F.broadcast(changed)
 

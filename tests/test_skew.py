@@ -73,6 +73,9 @@ def test_lookup_without_heavy_keys(spark, rows):
 def test_is_small(spark):
     assert joins.is_small(spark.range(10), 10)
     assert not joins.is_small(spark.range(11), 10)
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"), F.array("id").alias("a"))
+    assert joins.is_small(wide, 10, 20_000) and not joins.is_small(wide, 10, 10_000)
+    assert joins.is_small(wide.limit(0), 10)
 
 
 def test_latest_limits_rows_before_the_shuffle(spark, rows):

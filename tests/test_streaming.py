@@ -145,6 +145,16 @@ def test_quarantine_of_the_stream(spark, tmp_path):
     assert [(r.transaction_id, r.failed_rule) for r in bad] == [(2, "amount_positive")]
 
 
+def test_log_reports_rejected_events(spark, tmp_path):
+    landing = tmp_path / "in"
+    land(landing, "a.json", [*some_events(7), "{broken", "no event"])
+    events = read_event_files(spark, str(landing))
+    query = finish(append_log(events, FEED, str(tmp_path / "log"), str(tmp_path / "cp")))
+    metrics = [p["observedMetrics"]["events"] for p in query.recentProgress if p["observedMetrics"]]
+    assert sum(m["seen"] for m in metrics) == 9 and sum(m["rejected"] for m in metrics) == 2
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 7
+
+
 def test_log_is_written_once_across_runs(spark, tmp_path):
     landing = tmp_path / "in"
     for i in range(3):
@@ -230,7 +240,7 @@ def test_small_merge_does_not_shuffle_the_table(spark, tmp_path, monkeypatch):
     assert rest.count("hashpartitioning") == 1  # the added rows
     assert table.read().agg(F.count("*"), F.sum("v")).first() == (2997, 2997 + 27)
     plans.clear()
-    monkeypatch.setattr("siltline.streaming.merge.BROADCAST_ROWS", 5)
+    monkeypatch.setattr("siltline.streaming.merge.is_small", lambda df: False)
     merge_into(table, few, ["id"])
     assert not plans[0][0]
     assert table.read().agg(F.count("*"), F.sum("v")).first() == (2997, 2997 + 27)
