@@ -93,7 +93,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-HOST_SQL = "split_part(split_part(replace(replace(replace(url, 'android-app://', ''), 'http://', ''), 'https://', ''), '/', 1), '?', 1)"
+HOST_SQL = """split_part(split_part(replace(replace(replace(url, 'android-app://', ''),
+  'http://', ''), 'https://', ''), '/', 1), '?', 1)"""
 
 
 @work.add("col_url_host_report", f"""
