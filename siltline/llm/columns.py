@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -23,3 +23,36 @@ def lowered(text: Column) -> Column:
 def fold(doc_id: Column, parts: int = 5) -> Column:
     """crc32 of the id as text, modulo ``parts``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
+
+
+def matches(frame: DataFrame, pattern: str, name: str, when: Column | None = None) -> DataFrame:
+    """Adds ``name``: all leftmost matches of ``pattern`` in column ``text``, as an array of
+    ``start, end`` (code points, end exclusive), ``found, before, after`` (the text up to the
+    neighbouring matches).
+
+    Built-in functions give the matches and the pieces between them, whose lengths add up to the
+    places. ``when`` is a cheap test that texts with a match pass.
+    """
+    none = F.array().cast("array<string>")
+    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    step = frame.withColumn("_found", found if when is None else F.when(when, found).otherwise(none))
+    step = step.withColumn("_found", F.coalesce("_found", none))
+    step = step.withColumn("_pieces", F.when(F.size("_found") > 0, F.split("text", pattern, -1)).otherwise(none))
+
+    def add(so_far: Column, i: Column) -> Column:
+        start = so_far["at"] + F.length(F.get("_pieces", i))
+        end = start + F.length(F.get("_found", i))
+        return F.struct(end.alias("at"), F.concat(so_far["all"], F.array(
+            F.struct(start.alias("start"), end.alias("end")))).alias("all"))
+
+    places = F.aggregate(
+        F.when(F.size("_found") > 0, F.sequence(F.lit(0), F.size("_found") - 1))
+        .otherwise(F.array().cast("array<int>")),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("all")),
+        add, lambda x: x["all"])
+    step = step.withColumn("_places", places)
+    return step.withColumn(name, F.transform("_places", lambda p, i: F.struct(
+        p["start"].cast("long").alias("start"), p["end"].cast("long").alias("end"),
+        F.get("_found", i).alias("found"), F.get("_pieces", i).alias("before"),
+        F.get("_pieces", i + 1).alias("after"),
+    ))).drop("_found", "_pieces", "_places")

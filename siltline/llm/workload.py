@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import mixing, simhash
+from . import decontaminate, mixing, secrets, simhash
 
 work = Workload()
 
@@ -71,3 +71,15 @@ def op8_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Three-word shingles, at most two differing bits."""
     return simhash.near_duplicates(_read(spark, folder, "documents"), 3, 2) \
         .select("doc_id", "fingerprint", "component_id")
+
+
+@work.add("op6_benchmark_leaks")
+def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents against all items, windows of 8 template tokens."""
+    return decontaminate.leaks(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("key")
+
+
+@work.add("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets in all documents; the strings themselves are not shown."""
+    return secrets.secrets(_read(spark, folder, "documents")).drop("value", "key")
