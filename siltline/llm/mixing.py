@@ -58,29 +58,16 @@ def targets(sizes: DataFrame, max_epochs: float = 3.0, share: float = 1.0) -> Da
     )
 
 
-def mix(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float = 1.0,
-        seed: int = 0) -> DataFrame:
-    """How often each document enters the mix.
-
-    ``weigh`` gets the sources (``source, source_size``, one row each) and returns them with a
-    column ``weight``. A source whose target is e times its size takes every document floor(e)
-    times; the fractional rest goes to documents in the order of their seeded draws until the words
-    are nearest to the target. Result: ``doc_id, size, source_size, target, taken, source, repeats``,
-    one row per row of ``documents``.
+def plan(sized: DataFrame, weigh, *, max_epochs: float = 3.0, share: float = 1.0) -> DataFrame:
+    """One row per source: its target, the whole repetitions, and the last draw that gets one more.
 
-    A NULL source is a source. NULL and empty texts have size 0 and take 0 words. Repeated rows
-    are documents of their own; rows of one id share a draw and are ordered by size. Other
-    columns of ``documents`` are ignored. No documents, no rows.
+    Draws are summed by slices first; only the slice in which the fractional rest is reached is
+    sorted row by row.
     """
-    sized = staged(documents.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"),
-        draw(F.col("doc_id"), seed).alias("draw"),
-    ), "mix-sizes")
-    sized = sized.withColumn("bin", F.shiftright("draw", DRAW_BITS - BINS))
+    sized = sized.withColumn("bin", _bin())
     bins = sized.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
-    sources = staged(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")),
-                     "mix-sources")
-    plan = (
+    sources = staged(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), "mix-sources")
+    goals = (
         targets(weigh(sources), max_epochs, share)
         .withColumn("whole", F.coalesce(
             F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)))
@@ -89,27 +76,69 @@ def mix(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float =
     )
     same = F.col("source").eqNullSafe(F.col("of"))
     below = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (
+    kept = ("source_size", "target", "whole", "rest")
+    cuts = staged(
         bins.withColumn("below", F.coalesce(F.sum("bin_size").over(below), F.lit(0)))
-        .join(plan, same, "left").drop("of")
-        .groupBy("source").agg(
+        .join(goals, same, "left").drop("of")
+        .groupBy(F.col("source").alias("of")).agg(
             F.min_by(F.struct("bin", "below"), F.when(
                 F.col("below") + F.col("bin_size") > F.col("rest"), F.col("bin"))).alias("cut"),
-            *[F.max(c).alias(c) for c in ("source_size", "target", "whole", "rest")],
-        )
-        .select(F.col("source").alias("of"), "source_size", "target", "whole", "rest",
-                F.coalesce("cut.bin", F.lit(2 ** BINS)).alias("cut"),
-                F.coalesce("cut.below", F.lit(0)).alias("below"))
-    )
-    dealt = sized.join(staged(cuts, "mix-targets"), same, "left").drop("of")
+            *[F.max(c).alias(c) for c in kept])
+        .select("of", *kept, F.coalesce("cut.bin", F.lit(2 ** BINS)).alias("cut"),
+                F.coalesce("cut.below", F.lit(0)).alias("below")), "mix-cuts")
     upto = Window.partitionBy("source").orderBy("draw", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_cut = dealt.filter(F.col("bin") == F.col("cut")).withColumn(
-        "more", (F.col("below") + F.sum("size").over(upto) - F.col("size") / 2
-                 <= F.col("rest")).cast("int"))
-    off_cut = dealt.filter(F.col("bin") != F.col("cut")).withColumn(
-        "more", (F.col("bin") < F.col("cut")).cast("int"))
-    return off_cut.unionByName(at_cut).withColumn("repeats", F.col("whole") + F.col("more")).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * F.col("repeats")).alias("taken"), "source", "repeats",
+    last = (
+        sized.join(cuts, same).filter(F.col("bin") == F.col("cut"))
+        .withColumn("middle", F.col("below") + F.sum("size").over(upto) - F.col("size") / 2)
+        .filter(F.col("middle") <= F.col("rest"))
+        .groupBy("source").agg(F.max(F.struct("draw", "doc_id", "size")).alias("last"))
     )
+    return staged(cuts.join(last, same, "left").select("of", *kept, "cut", "last"), "mix-plan")
+
+
+def _bin() -> Column:
+    return F.shiftright("draw", DRAW_BITS - BINS)
+
+
+def dealt(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Adds ``source_size, target, repeats, taken`` to rows of ``doc_id, source, size, draw``."""
+    more = (_bin() < F.col("cut")) | (
+        (_bin() == F.col("cut")) & F.coalesce(F.struct("draw", "doc_id", "size") <= F.col("last"), F.lit(False)))
+    repeats = F.col("whole") + more.cast("int")
+    return sized.join(plan, F.col("source").eqNullSafe(F.col("of")), "left") \
+        .withColumns({"repeats": repeats, "taken": F.col("size") * repeats}) \
+        .drop("of", "whole", "rest", "cut", "last")
+
+
+def _sized(documents: DataFrame, seed: int) -> DataFrame:
+    return documents.withColumns({"size": word_count(F.col("text")), "draw": draw(F.col("doc_id"), seed)})
+
+
+def mix(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float = 1.0,
+        seed: int = 0) -> DataFrame:
+    """How often each document enters the mix.
+
+    ``weigh`` gets the sources (``source, source_size``, one row each) and returns them with a
+    column ``weight``. A source whose target is e times its size takes every document floor(e)
+    times; the fractional rest goes to documents in the order of their seeded draws until the words
+    are nearest to the target. Result: ``doc_id, size, source_size, target, taken, source, repeats``,
+    one row per row of ``documents``.
+
+    A NULL source is a source. NULL and empty texts have size 0 and take 0 words. Repeated rows
+    are documents of their own; those of one id and size are dealt alike. Other columns of
+    ``documents`` are ignored. No documents, no rows.
+    """
+    sized = staged(_sized(documents.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
+    return dealt(sized, plan(sized, weigh, max_epochs=max_epochs, share=share)).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def mixed(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float = 1.0,
+          seed: int = 0) -> DataFrame:
+    """The documents that enter the mix, whole rows with ``size, source_size, target, repeats,
+    taken``; columns of these names are replaced."""
+    small = _sized(documents.select("doc_id", "source", "text"), seed).drop("text")
+    recipe = plan(staged(small, "mix-sizes"), weigh, max_epochs=max_epochs, share=share)
+    named = documents.drop("source_size", "target", "repeats", "taken")
+    return dealt(_sized(named, seed), recipe).filter("repeats > 0").drop("draw")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import decontaminate, mixing, secrets, simhash
+from . import decontaminate, mixing, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -83,3 +83,9 @@ def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The secrets in all documents; the strings themselves are not shown."""
     return secrets.secrets(_read(spark, folder, "documents")).drop("value", "key")
+
+
+@work.add("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents, learnt from 8,000 labels at most."""
+    return toxicity.toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
