@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANK = r"[\x20\x09-\x0D]+"
+BLOCK = 100
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -39,20 +40,34 @@ def matches(frame: DataFrame, pattern: str, name: str, when: Column | None = Non
     step = step.withColumn("_found", F.coalesce("_found", none))
     step = step.withColumn("_pieces", F.when(F.size("_found") > 0, F.split("text", pattern, -1)).otherwise(none))
 
-    def add(so_far: Column, i: Column) -> Column:
-        start = so_far["at"] + F.length(F.get("_pieces", i))
-        end = start + F.length(F.get("_found", i))
-        return F.struct(end.alias("at"), F.concat(so_far["all"], F.array(
-            F.struct(start.alias("start"), end.alias("end")))).alias("all"))
-
-    places = F.aggregate(
-        F.when(F.size("_found") > 0, F.sequence(F.lit(0), F.size("_found") - 1))
-        .otherwise(F.array().cast("array<int>")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("all")),
-        add, lambda x: x["all"])
-    step = step.withColumn("_places", places)
+    none_at = F.array().cast("array<int>")
+    # places are sums of lengths: of blocks first, then within a block, which stays near linear
+    step = step.withColumn("_sizes", F.transform(
+        "_found", lambda m, i: F.length(F.get("_pieces", i)) + F.length(m)))
+    blocks = F.when(F.size("_sizes") > 0, F.sequence(F.lit(0), F.floor((F.size("_sizes") - 1) / BLOCK).cast("int")))
+    step = step.withColumn("_blocks", F.transform(
+        F.coalesce(blocks, none_at), lambda k: _total(F.slice("_sizes", k * BLOCK + 1, BLOCK))))
+    step = step.withColumn("_upto", F.transform("_blocks", lambda b, k: _total(F.slice("_blocks", 1, k))))
+
+    def place(m: Column, i: Column) -> Column:
+        block = F.floor(i / BLOCK).cast("int")
+        end = F.get("_upto", block) + _total(F.slice("_sizes", block * BLOCK + 1, i % BLOCK + 1))
+        return F.struct((end - F.length(m)).alias("start"), end.alias("end"))
+
+    step = step.withColumn("_places", F.transform("_found", place))
     return step.withColumn(name, F.transform("_places", lambda p, i: F.struct(
-        p["start"].cast("long").alias("start"), p["end"].cast("long").alias("end"),
+        p["start"].alias("start"), p["end"].alias("end"),
         F.get("_found", i).alias("found"), F.get("_pieces", i).alias("before"),
         F.get("_pieces", i + 1).alias("after"),
-    ))).drop("_found", "_pieces", "_places")
+    ))).drop("_found", "_pieces", "_places", "_sizes", "_blocks", "_upto")
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, n: a + n)
+
+
+def sampled(frame: DataFrame, key: str, about: int) -> DataFrame:
+    """All rows, or ``about`` so many of them: those whose hash of ``key`` is below the share that
+    this is. Needs one count and no sort."""
+    share = min(1.0, about / max(1, frame.count()))
+    return frame.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .columns import matches
+from .columns import matches, sampled
 
 KEYWORDS = r"passwd|password|secret|token|api_?key|access_?key|private_?key|credential|auth"
 LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']? ?[=:] ?[\"']?"
@@ -111,11 +111,11 @@ def example_findings(spark: SparkSession, n: int = 6000) -> DataFrame:
 
 def train(labelled: DataFrame, *, sample: int = 20_000, trees: int = 30, depth: int = 7,
           seed: int = 0) -> RandomForestClassificationModel:
-    """A forest from findings with ``label`` (1: a secret). At most ``sample`` findings, chosen by
-    the hash of their strings, are used; NULL labels are left out."""
-    chosen = features(labelled.filter("label is not null").withColumn("label", F.col("label").cast("double"))) \
-        .select("label", *FEATURES).orderBy(F.xxhash64(*FEATURES), "label").limit(sample)
-    inputs = VectorAssembler(inputCols=FEATURES, outputCol="inputs").transform(staged(chosen, "labelled"))
+    """A forest from findings with ``label`` (1: a secret). About ``sample`` findings, chosen by the
+    hash of their strings, are used if there are more; NULL labels are left out."""
+    given = features(labelled.filter("label is not null").withColumn("label", F.col("label").cast("double")))
+    chosen = sampled(staged(given.select("value", "label", *FEATURES), "labelled"), "value", sample)
+    inputs = VectorAssembler(inputCols=FEATURES, outputCol="inputs").transform(chosen)
     return RandomForestClassifier(featuresCol="inputs", labelCol="label", numTrees=trees, maxDepth=depth,
                                   seed=seed).fit(inputs)
 

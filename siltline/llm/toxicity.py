@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .columns import fold
+from .columns import fold, sampled
 
 WORD = re.compile(r"[^\W_]+")
 SHORT = 30  # words up to this length are hashed as one matrix
@@ -24,7 +24,7 @@ STEEPEST = 300
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled documents used at most, chosen by the hash of their ids."""
+    """``sample``: labelled documents used, about, chosen by the hash of their ids."""
 
     sample: int = 8_000
     buckets: int = 1 << 17
@@ -167,7 +167,7 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings = Sett
 
 
 def _learn(rows: DataFrame, settings: Settings) -> dict:
-    """Trains in one task on ``text, label``, which has ``settings.sample`` rows at most."""
+    """Trains in one task on ``text, label``, which has about ``settings.sample`` rows at most."""
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [(t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
         table.sort(key=lambda r: (r[0] or "", r[1]))  # the same order, however rows arrive
@@ -183,12 +183,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", settings:
     """A model from the documents whose fold is not 0. Labels of an id are averaged; NULL labels
     don't count. Of texts that share an id the smallest is used. Without labels the score is
     constant and low."""
-    chosen = (
+    chosen = sampled(staged(
         labels.filter(F.col(label).isNotNull() & (fold(F.col("doc_id")) != 0))
-        .groupBy(F.col("doc_id").alias("of")).agg((F.avg(label) >= 0.5).cast("double").alias("label"))
-        .orderBy(F.xxhash64("of"), "of").limit(settings.sample)
-    )
-    chosen = staged(chosen, "labels")
+        .groupBy(F.col("doc_id").alias("of")).agg((F.avg(label) >= 0.5).cast("double").alias("label")), "labels"),
+        "of", settings.sample)
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")) \
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
     return _learn(texts, settings)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import decontaminate, mixing, secrets, simhash, toxicity
+from . import decontaminate, licenses, mixing, pii, quality, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -89,3 +89,32 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, learnt from 8,000 labels at most."""
     return toxicity.toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+@work.add("op5_license_scan")
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All templates against all documents."""
+    return licenses.licenses(_read(spark, folder, "documents")).drop("key")
+
+
+@work.add("op9_personal_data")
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and places of personal data in all documents."""
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda m: F.concat_ws(
+            ":", m["kind"], m["start"].cast("string"), m["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("found", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    found = pii.personal_data(_read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *[count(kind.name) for kind in pii.KINDS if kind.base],
+        F.sha2(told(F.filter("found", lambda m: m["base"])), 256).alias("base_sha256"), told(F.col("found")).alias("spans"),
+        F.array_join(F.transform("found", lambda m: m["score"].cast("string")), ",").alias("scores"))
+
+
+@work.add("op3_quality")
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents, learnt from about 100,000 labels at most."""
+    return quality.quality(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
