@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import decontaminate, licenses, mixing, pii, quality, secrets, simhash, toxicity
+from . import decontaminate, licenses, lm, mixing, pii, quality, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -118,3 +118,9 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, learnt from about 100,000 labels at most."""
     return quality.quality(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+@work.add("op7_language_model")
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, learnt from four of five folds."""
+    return lm.scores(_read(spark, folder, "documents"))
