@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import decontaminate, licenses, lm, mixing, pii, quality, secrets, simhash, toxicity
+from . import decontaminate, knn, licenses, lm, mixing, pii, quality, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -124,3 +124,22 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, learnt from four of five folds."""
     return lm.scores(_read(spark, folder, "documents"))
+
+
+@work.add("op2_top_neighbours", r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank::BIGINT AS rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op2_top_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all."""
+    vectors = _read(spark, folder, "embeddings").select("vec_id", knn.integral(F.col("embedding")).alias("vector"))
+    return knn.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
