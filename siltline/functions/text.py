@@ -25,15 +25,19 @@ def null_if_empty(column: ColumnLike) -> Column:
     return F.nullif(as_column(column), F.lit(""))
 
 
+# What a slug joins and what it drops.
+GAPS, DROPPED, LEADING_DIGIT = "[ -]+", "[^a-z0-9_]+", "^([0-9])"
+
+
 def slug(text: ColumnLike) -> Column:
     """Column form of :func:`slug_name`; NULL gives ''."""
     lowered = F.lower(F.coalesce(as_column(text), F.lit("")))
-    joined = F.regexp_replace(lowered, "[ -]+", "_")
-    kept = F.regexp_replace(joined, "[^a-z0-9_]+", "")
-    return F.regexp_replace(kept, "^([0-9])", "_$1")
+    joined = F.regexp_replace(lowered, GAPS, "_")
+    kept = F.regexp_replace(joined, DROPPED, "")
+    return F.regexp_replace(kept, LEADING_DIGIT, "_$1")
 
 
 def slug_name(text: str | None) -> str:
     """A safe lower-case column name: letters, digits and underscores, no leading digit."""
-    kept = re.sub(r"[^a-z0-9_]+", "", re.sub(r"[ -]+", "_", (text or "").lower()))
+    kept = re.sub(DROPPED, "", re.sub(GAPS, "_", (text or "").lower()))
     return f"_{kept}" if kept[:1].isdigit() else kept

@@ -1,8 +1,4 @@
-"""Parts of a URL as column expressions.
-
-``compat=True`` keeps the outcomes of plain split-and-cut expressions, quirks included; the default
-gives NULL where a part is absent and matches parameter names whole.
-"""
+"""Parts of a URL as column expressions: NULL where a part is absent; parameter names match whole."""
 
 from __future__ import annotations
 
@@ -13,39 +9,26 @@ from pyspark.sql import functions as F
 
 from . import ColumnLike, as_column
 
-# Schemes taken off a URL before it is cut.
-WEB_SCHEMES = ("http://", "https://")
-ALL_SCHEMES = ("android-app://", *WEB_SCHEMES)
+# Schemes taken off the start of a URL.
+SCHEMES = ("android-app://", "http://", "https://")
 
 
-def _without(url: Column, schemes: tuple[str, ...]) -> Column:
-    return F.regexp_replace(url, "|".join(re.escape(s) for s in schemes), "")
+def _rest(url: ColumnLike) -> Column:
+    """The URL without its scheme; one further on belongs to the path or query."""
+    return F.regexp_replace(as_column(url), "^(?:" + "|".join(map(re.escape, SCHEMES)) + ")", "")
 
 
 def url_host(url: ColumnLike) -> Column:
     """Everything up to the first '/' or '?'; a port or fragment stays."""
-    return F.regexp_extract(_without(as_column(url), ALL_SCHEMES), "^([^/?]*)", 1)
+    return F.regexp_extract(_rest(url), "^([^/?]*)", 1)
 
 
-def url_path(url: ColumnLike, compat: bool = False) -> Column:
+def url_path(url: ColumnLike) -> Column:
     """Text after the first '/' up to '?', without the slash; a fragment stays."""
-    if not compat:
-        rest = _without(as_column(url), ALL_SCHEMES)
-        return F.when(rest.rlike("^[^?]*/"), F.regexp_extract(rest, r"^[^/?]*/([^?]*)", 1))
-    rest = _without(as_column(url), WEB_SCHEMES)
-    # A query without any path gives ''; neither '/' nor '?' gives the whole rest.
-    return (
-        F.when(rest.contains("/"), F.regexp_extract(rest, r"(?s)^[^/]*/([^?]*)", 1))
-        .when(rest.contains("?"), F.lit(""))
-        .otherwise(rest)
-    )
-
-
-def url_parameter(url: ColumnLike, name: str, compat: bool = False) -> Column:
+    rest = _rest(url)
+    return F.when(rest.rlike("^[^?]*/"), F.regexp_extract(rest, r"^[^/?]*/([^?]*)", 1))
+
+
+def url_parameter(url: ColumnLike, name: str) -> Column:
     """Value of a query parameter, NULL if absent or empty."""
-    column = as_column(url)
-    if compat:
-        # Also finds the name as the tail of a longer one, and keeps a fragment.
-        tail = F.split_part(column, F.lit(f"{name}="), F.lit(2))
-        return F.nullif(F.split_part(tail, F.lit("&"), F.lit(1)), F.lit(""))
-    return F.nullif(F.regexp_extract(column, f"[?&]{re.escape(name)}=([^&#]*)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(as_column(url), f"[?&]{re.escape(name)}=([^&#]*)", 1), F.lit(""))

@@ -104,6 +104,16 @@ def with_failed_rule(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.withColumn("failed_rule", F.coalesce(*tests, F.lit(None).cast("string")))
 
 
+def passing_changes(log: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Deletes, and upserts that meet all rules.
+
+    What a guarded merge ranks: a failing upsert then hides no older change of its key, in whatever
+    batches they come.
+    """
+    judged = with_failed_rule(log, rules)
+    return judged.where((F.col("_op") == DELETE_OP) | F.col("failed_rule").isNull()).drop("failed_rule")
+
+
 def changes_to_apply(
     latest: DataFrame, rules: Mapping[str, str], remove_failing: bool = False
 ) -> DataFrame:
@@ -156,7 +166,7 @@ def merge_in_sequence(
 
     ``target`` keeps the sequence columns and ``is_delete``: deleted keys stay as marks, so that a
     late older change cannot bring them back. The order in which batches arrive has no effect on
-    the result. ``where("NOT is_delete")`` gives the current rows.
+    the result, with rules if ``changes`` are the latest of :func:`passing_changes`. ``where("NOT is_delete")`` gives the current rows.
     """
     both = target.withColumn("_new", F.lit(0)).unionByName(
         changes.select(*target.columns).withColumn("_new", F.lit(1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Date parts that a spine or a check may step by.
@@ -24,16 +24,17 @@ def series(spark: SparkSession, upper: int, name: str = "generated_number") -> D
     return spark.range(1, upper + 1).withColumnRenamed("id", name)
 
 
+def parts_between(start: Column | str, end: Column | str, part: str) -> Column:
+    """Number of whole date parts between two columns of times."""
+    ends = [(F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz") for c in (start, end)]
+    return F.timestamp_diff(check_part(part), *ends)
+
+
 def intervals_between(
     spark: SparkSession, start: date | datetime, end: date | datetime, part: str
 ) -> int:
     """Number of whole date parts from ``start`` to ``end``."""
-    row = spark.range(1).select(
-        F.timestamp_diff(
-            check_part(part), F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-        )
-    )
-    return row.first()[0]
+    return spark.range(1).select(parts_between(F.lit(start), F.lit(end), part)).first()[0]
 
 
 def date_spine(

@@ -13,7 +13,6 @@ from pyspark.sql.types import BooleanType, DataType, StringType, StructField
 
 from ..functions import ColumnLike, as_column
 from ..functions.text import null_if_empty, slug_name
-from ..sources.staging import staged
 
 
 def quoted(name: str) -> str:
@@ -69,8 +68,8 @@ def union_tables(
 ) -> DataFrame:
     """Union of tables by column name, whatever the case; a table lacking a column gives NULL.
 
-    A column has the type it has in the first table with it, or text if any table has text there;
-    ``types`` overrides. ``where`` filters each table before the union.
+    A column has the widest type it has in any table, or text if any table has text there, so no
+    value is cut; ``types`` overrides. ``where`` filters each table before the union.
     """
     chosen, dropped = {c.lower() for c in include}, {c.lower() for c in exclude}
     if chosen and dropped:
@@ -91,13 +90,21 @@ def union_tables(
         raise ValueError(f"no columns left to union for {', '.join(tables)}")
     forced = {c.lower(): t for c, t in (types or {}).items()}
 
+    def kind_of(name: str) -> str | DataType | None:
+        """The type to cast to; without one the union widens numbers and times itself."""
+        text = wanted[name].dataType if isinstance(wanted[name].dataType, StringType) else None
+        return forced.get(name, text)
+
     def aligned(label: str, df: DataFrame) -> DataFrame:
         rows = df.where(where) if where else df
         own = {c.lower(): c for c in df.columns}
         columns = [
             (F.col(quoted(own[name])) if name in own else F.lit(None))
-            .cast(forced.get(name, f.dataType)).alias(f.name)
-            for name, f in wanted.items()
+            for name in wanted
+        ]
+        columns = [
+            (c.cast(kind) if (kind := kind_of(name)) is not None else c).alias(f.name)
+            for c, (name, f) in zip(columns, wanted.items())
         ]
         source = [F.lit(label).alias(source_column)] if source_column else []
         return rows.select(*source, *columns)
@@ -136,15 +143,12 @@ def _order(term: ColumnLike) -> tuple[Column, bool]:
     return F.expr(term), False
 
 
-def value_list(
-    df: DataFrame, column: str, max_values: int = 1000, default: list | None = None, **options
-) -> list:
-    """Values of :func:`top_values` on the driver; more than ``max_values`` is an error."""
-    limit = options.pop("limit", None)
-    asked = max_values + 1 if limit is None else min(limit, max_values + 1)
-    rows = top_values(df, column, limit=asked, **options).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values")
+def value_list(df: DataFrame, column: str, default: list | None = None, **options) -> list:
+    """Values of :func:`top_values` on the driver, all of them unless a ``limit`` is given.
+
+    For columns whose values become columns or names; give known values to :func:`pivot` directly.
+    """
+    rows = top_values(df, column, **options).toLocalIterator()
     return [r.value for r in rows] or (default if default is not None else [])
 
 
@@ -229,17 +233,3 @@ def single_value(query: DataFrame, default: Any = None) -> Any:
     """First column of the first row on the driver, ``default`` if there are no rows."""
     row = query.limit(1).collect()
     return row[0][0] if row else default
-
-
-def results_as_lists(df: DataFrame, order: Sequence[str], max_rows: int = 10_000) -> DataFrame:
-    """One row with, per column, the list of its values in ``order``, NULLs kept.
-
-    Meant for small results: a frame of more than ``max_rows`` rows is an error.
-    """
-    df = staged(df.limit(max_rows + 1), "lists")  # the query runs once
-    if df.count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows")
-    rows = F.array_sort(F.collect_list(F.struct(*order, F.struct(*df.columns).alias("_row"))))
-    return df.agg(rows.alias("_rows")).select(*[
-        F.col("_rows._row").getField(c).alias(c) for c in df.columns
-    ])

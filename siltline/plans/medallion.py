@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import quality as dq
 from ..operators.changes import ChangeFeed
@@ -39,23 +39,27 @@ def run_batch(
     transactions: DataFrame,
     root: str,
     schema: str = "sales",
+    newest: Mapping[str, Sequence[str | Column]] | None = None,
 ) -> dict[str, LayerTable]:
     """Copy the customers and products, clean them, and build the metric tables.
 
-    ``transactions`` are the cleaned transactions. A table whose rules fail is not published, and
+    ``transactions`` are the cleaned transactions. ``newest`` has, for customers and products, the
+    order that finds the newest version of a key; it should be total, ``updated_at`` alone leaves
+    versions of one moment to chance. A table whose rules fail is not published, and
     nothing that depends on it is built.
     """
+    order = {"customers": ("updated_at",), "products": ("updated_at",), **(newest or {})}
     raw = ingest_tables(spark, read_source, ["customers", "products"], root, schema)
 
     def path(layer: str, table: str) -> str:
         return layer_path(root, layer, schema, table)
 
     customers = publish(
-        spark, path("silver", "customers"), silver.customers(raw["customers"].read()),
+        spark, path("silver", "customers"), silver.customers(raw["customers"].read(), order["customers"]),
         key_rules("customer_id"),
     )
     products = publish(
-        spark, path("silver", "products"), silver.products(raw["products"].read()),
+        spark, path("silver", "products"), silver.products(raw["products"].read(), order["products"]),
         key_rules("product_id"),
     )
     dq.Suite(transactions, key_rules("transaction_id")).enforce()

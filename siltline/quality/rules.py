@@ -60,16 +60,21 @@ class GroupRule(Rule):
 
 @dataclass(frozen=True, kw_only=True)
 class FrameRule(Rule):
-    """``failures`` reduces the frame to the number of failures."""
+    """``failures`` reduces the frame to the number of failures. The rows to look at are chosen
+    before the frame is made, by the ``where`` of the function that makes it."""
 
     frame: DataFrame
     failures: Column = field(default_factory=lambda: F.count("*"))
 
+    def __post_init__(self) -> None:
+        if self.where:
+            raise ValueError("give where to the check; its frame is made already")
+
 
 def violations(df: DataFrame, rule: Rule) -> DataFrame:
     """Failing rows, or failing groups with their measures."""
     if isinstance(rule, FrameRule):
-        return rule.frame.where(rule.where) if rule.where else rule.frame
+        return rule.frame
     rows = df.where(rule.where) if rule.where else df
     if isinstance(rule, RowRule):
         return rows.where(rule.fails)

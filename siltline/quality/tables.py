@@ -16,6 +16,12 @@ from ..operators.shape import other_columns, quoted
 from .rules import FrameRule
 
 
+def _limited(model: DataFrame, options: dict) -> DataFrame:
+    """The rows of the checked table that ``where`` leaves, before anything is made of them."""
+    where = options.pop("where", None)
+    return model.where(where) if where else model
+
+
 def _side_counts(
     model: DataFrame, other: DataFrame, model_keys: Sequence[Column], other_keys: Sequence[Column]
 ) -> DataFrame:
@@ -44,6 +50,7 @@ def equal_rowcount(
 ) -> FrameRule:
     """Different number of rows, per group. ``strict`` counts a missing group as 0 rows; otherwise
     a group that only one side has is not compared."""
+    model = _limited(model, options)
     keys = [F.col(quoted(b)) for b in by]
     counts = _side_counts(model, other, keys, keys)
     diff = F.abs(F.col("rows_model") - F.col("rows_other"))
@@ -60,6 +67,7 @@ def fewer_rows_than(
     model: DataFrame, other: DataFrame, by: Sequence[str] = (), strict: bool = True, **options
 ) -> FrameRule:
     """Not fewer rows than the other table, per group: the surplus, or 1 for equal numbers."""
+    model = _limited(model, options)
     keys = [F.col(quoted(b)) for b in by]
     counts = _side_counts(model, other, keys, keys)
     surplus = F.greatest(F.col("rows_model") - F.col("rows_other"), F.lit(1))
@@ -77,6 +85,7 @@ def cardinality_equality(
     model: DataFrame, column: str, other: DataFrame, field: str, **options
 ) -> FrameRule:
     """(value, number of rows) pairs that only one side has."""
+    model = _limited(model, options)
     counts = _side_counts(
         model, other, [as_column(column).alias("value")], [as_column(field).alias("value")]
     ).where("rows_model != rows_other")
@@ -99,6 +108,7 @@ def equality(
     Both sides go through one shuffle of map-side combined rows. ``precision`` rounds numbers first;
     ``multiset`` compares how often a row occurs as well.
     """
+    model = _limited(model, options)
     if columns and exclude:
         raise ValueError("give columns to compare or to exclude, not both")
     if columns:
@@ -144,6 +154,7 @@ def relationships_where(
 
     Both sides are reduced to one row per id before the join, however often an id occurs.
     """
+    model = _limited(model, options)
     ids = model.where(from_condition).groupBy(as_column(column).alias("id")).agg(
         F.count("*").alias("n_rows")
     ).where("id IS NOT NULL")
@@ -163,6 +174,7 @@ def sequential_values(
     Equal rows are counted first: one of them follows the previous value, the others follow their
     own value.
     """
+    df = _limited(df, options)
     rows = df.where(as_column(column).isNotNull()).groupBy(
         *by, as_column(column).alias("value")
     ).agg(F.count("*").alias("_n"))
@@ -206,6 +218,7 @@ def mutually_exclusive_ranges(
     """
     if gaps not in GAPS:
         raise ValueError(f"gaps must be one of {sorted(GAPS)}, not {gaps!r}")
+    df = _limited(df, options)
     ranges = df.groupBy(
         *by, as_column(lower).alias("lower_bound"), as_column(upper).alias("upper_bound")
     ).agg(F.count("*").alias("_n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -17,7 +18,10 @@ DEFAULTS = {
 
 
 def local_session(app: str = "siltline", cores: int | str = "*", **extra: str) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster use the session you are given."""
+    """A local session for tests and benchmarks; on a cluster use the session you are given.
+
+    Its checkpoint folder is one machine's, which is all a local session needs."""
+    extra.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="siltline-"))
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)

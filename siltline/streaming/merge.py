@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import (
     ChangeFeed, added_rows, change_log, changes_to_apply, kept_rows, latest_changes,
-    merge_in_sequence, parse_events, quarantined,
+    merge_in_sequence, parse_events, passing_changes, quarantined,
 )
 from ..operators.joins import is_small
 from ..sources.layer_table import LayerTable
@@ -99,6 +99,9 @@ class SilverMerge:
             quarantined(latest, self.rules).write.mode("overwrite").parquet(
                 f"{self.quarantine}/query={writer}/batch={batch_id}"
             )
+        if self.guard and self.rules and not self.remove_failing:
+            passing = passing_changes(log, self.rules)
+            latest = staged(latest_changes(passing, self.keys, self.sequence), "latest")
         extra = ["is_delete", *(self.sequence if self.guard else ())]
         changes = changes_to_apply(latest, self.rules, self.remove_failing).select(
             *[F.expr(e).alias(name) for name, e in self.columns.items()],

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import (
-    change_log, changes_to_apply, latest_changes, merge_changes, merge_in_sequence, parse_events,
+    change_log, changes_to_apply, latest_changes, merge_changes, merge_in_sequence, parse_events, passing_changes,
     quarantined, rejected_events, replay,
 )
 from ..sources.files import read_table
@@ -155,6 +155,22 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return state.where("NOT is_delete").select(*STATE)
 
 
+@work.add("cdc_guard_with_rules", f"""
+WITH {LOG_SQL}, passing AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY _seq_time DESC, _seq_id DESC) AS rn
+  FROM log WHERE _op = 'd' OR amount >= 20)
+SELECT {STATE_SQL} FROM passing WHERE rn = 1 AND _op <> 'd'""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest change that meets the rules wins, whatever batches the changes come in."""
+    columns = [*STATE, "is_delete", *USER_SEQUENCE]
+    batches = [latest_changes(passing_changes(w, RULES), ["user_id"], USER_SEQUENCE).select(*columns)
+               for w in reversed(_weeks(_log(spark, folder)))]
+    state = batches[0]
+    for batch in batches[1:]:
+        state = merge_in_sequence(state, batch, ["user_id"], USER_SEQUENCE)
+    return state.where("NOT is_delete").select(*STATE)
+
+
 def _landed(spark: SparkSession, folder: str, files: int = 4) -> str:
     landing = new_folder(spark, "events")
     user_events(spark, folder).repartition(files).write.text(landing)

@@ -193,26 +193,28 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ).frame
 
 
+# Each range looks up the smallest bound among those after it: a larger lower bound, or the same one
+# with a larger upper bound (open ones are largest), or an equal range with a later number.
 RANGES_SQL = """
-WITH ranges AS (SELECT {by} lower_bound, upper_bound FROM ({source})),
-seen AS (
-  SELECT *, lead(lower_bound) OVER (
-      {partition} ORDER BY lower_bound NULLS LAST, upper_bound NULLS LAST) AS next_lower_bound,
-    lead(1) OVER (
-      {partition} ORDER BY lower_bound NULLS LAST, upper_bound NULLS LAST) IS NULL AS is_last
-  FROM ranges),
-judged AS (
-  SELECT *, coalesce(lower_bound {length} upper_bound, false) AS lower_before_upper,
-    coalesce(upper_bound {gap} next_lower_bound, is_last, false) AS upper_before_next
-  FROM seen)
-SELECT {by} lower_bound, upper_bound, next_lower_bound, count(*) AS n_rows, lower_before_upper,
-       upper_before_next
-FROM judged WHERE NOT (lower_before_upper AND upper_before_next)
+WITH r AS (SELECT row_number() OVER () AS id, *, upper_bound IS NULL AS is_open FROM ({source})),
+after_it AS (
+  SELECT a.id, min(b.lower_bound) AS next_lower_bound FROM r a JOIN r b ON {same}
+    ((b.lower_bound > a.lower_bound)
+     OR (b.lower_bound = a.lower_bound AND b.is_open > a.is_open)
+     OR (b.lower_bound = a.lower_bound AND b.is_open = a.is_open AND b.upper_bound > a.upper_bound)
+     OR (b.lower_bound = a.lower_bound AND b.upper_bound IS NOT DISTINCT FROM a.upper_bound AND b.id > a.id))
+  GROUP BY a.id)
+SELECT {by} lower_bound, upper_bound, next_lower_bound, count(*) AS n_rows,
+       (lower_bound {length} upper_bound) IS TRUE AS lower_before_upper,
+       next_lower_bound IS NULL OR (upper_bound {gap} next_lower_bound) IS TRUE AS upper_before_next
+FROM r LEFT JOIN after_it USING (id)
+WHERE (lower_bound {length} upper_bound) IS NOT TRUE
+   OR (next_lower_bound IS NOT NULL AND (upper_bound {gap} next_lower_bound) IS NOT TRUE)
 GROUP BY ALL"""
 
 
 @work.add("dq_mutually_exclusive_ranges", RANGES_SQL.format(
-    by="o_custkey,", partition="PARTITION BY o_custkey", length="<", gap="<=",
+    by="o_custkey,", same="a.o_custkey = b.o_custkey AND", length="<", gap="<=",
     source="SELECT o_custkey, o_orderdate AS lower_bound, "
            "o_orderdate + INTERVAL 10 DAY AS upper_bound FROM orders"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,7 +226,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @work.add("dq_mutually_exclusive_ranges_global", RANGES_SQL.format(
-    by="", partition="", length="<=", gap="<",
+    by="", same="", length="<=", gap="<",
     source="SELECT ts AS lower_bound, CASE WHEN event_type <> 'error' "
            "THEN ts + INTERVAL 3 MINUTE END AS upper_bound FROM events"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
@@ -405,3 +407,36 @@ FROM judged""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     raw = staged(raw_transactions(spark, folder), "raw")  # the rules run on a written table
     return transaction_suite(raw, read_table(spark, folder, "part")).report()
+
+
+@work.add("dq_suite_where", """
+WITH m AS (SELECT * FROM orders WHERE o_orderstatus = 'F'),
+sizes AS (
+  SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS a, count(*) AS b FROM orders GROUP BY 1),
+later AS (
+  SELECT o_custkey, o_orderdate, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS following
+  FROM m)
+SELECT 'rows' AS rule, sum(b - a)::BIGINT AS failures FROM sizes WHERE a <> b
+UNION ALL SELECT 'fewer', CASE WHEN (SELECT count(*) FROM m) < (SELECT count(*) FROM orders) THEN 0 ELSE 1 END
+UNION ALL SELECT 'cardinality', sum((a > 0)::INT + 1)::BIGINT FROM sizes WHERE a <> b
+UNION ALL SELECT 'equal', 2 * count(*) FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'related', count(*) FROM m WHERE o_custkey NOT IN (
+  SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+UNION ALL SELECT 'sequence', count(*) FROM (
+  SELECT o_orderkey - lag(o_orderkey) OVER (ORDER BY o_orderkey) AS step FROM m) WHERE step <> 1
+UNION ALL SELECT 'ranges', count(*) FROM later WHERE o_orderdate + INTERVAL 10 DAY > following""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks that bring a frame, each over finished orders only."""
+    orders, customers = read_table(spark, folder, "orders"), read_table(spark, folder, "customer")
+    done = {"where": "o_orderstatus = 'F'"}
+    return dq.Suite(orders, [
+        dq.equal_rowcount(orders, orders, by=["o_custkey"], name="rows", **done),
+        dq.fewer_rows_than(orders, orders, name="fewer", **done),
+        dq.cardinality_equality(orders, "o_custkey", orders, "o_custkey", name="cardinality", **done),
+        dq.equality(orders, orders, ["o_orderkey", "o_totalprice"], name="equal", **done),
+        dq.relationships_where(
+            orders, "o_custkey", customers, "c_custkey", to_condition="c_acctbal > 0", name="related", **done),
+        dq.sequential_values(orders, "o_orderkey", name="sequence", **done),
+        dq.mutually_exclusive_ranges(
+            orders, "o_orderdate", "o_orderdate + INTERVAL 10 DAY", by=["o_custkey"], name="ranges", **done),
+    ]).report().select("rule", "failures")

@@ -93,8 +93,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-HOST_SQL = """split_part(split_part(replace(replace(replace(url, 'android-app://', ''),
-  'http://', ''), 'https://', ''), '/', 1), '?', 1)"""
+SCHEME = "(?:(?:android-app|https?)://)?"
+HOST_SQL = f"regexp_extract(url, '^{SCHEME}([^/?]*)', 1)"
 
 
 @work.add("col_url_host_report", f"""
@@ -106,13 +106,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-REST_SQL = "replace(replace(url, 'http://', ''), 'https://', '')"
+PATH = f"^{SCHEME}[^/?]*/([^?]*)"
 
 
 @work.add("col_url_path_report", f"""
-SELECT split_part(path, '/', 1) AS section, count(*) AS pages, count(DISTINCT path) AS paths FROM (
-  SELECT split_part(substr({REST_SQL}, strpos({REST_SQL}, '/') + 1), '?', 1) AS path
-  FROM pages WHERE strpos({REST_SQL}, '/') > 0)
+SELECT regexp_extract(path, '^[^/]*') AS section, count(*) AS pages, count(DISTINCT path) AS paths
+FROM (SELECT regexp_extract(url, '{PATH}', 1) AS path FROM pages WHERE regexp_matches(url, '{PATH}'))
 GROUP BY 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages").select(urls.url_path("url").alias("path"))
@@ -121,31 +120,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.count("*").alias("pages"), F.count_distinct("path").alias("paths"))
 
 
-@work.add("col_url_path_compat", f"""
-SELECT page_id, split_part(right({REST_SQL}, length({REST_SQL}) - coalesce(
-         nullif(strpos({REST_SQL}, '/'), 0), strpos({REST_SQL}, '?') - 1)), '?', 1) AS path
-FROM pages""")
-def _(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "pages").select(
-        "page_id", urls.url_path("url", compat=True).alias("path")
-    )
-
-
 @work.add("col_url_parameter_report", """
 SELECT nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS source,
        nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page,
-       nullif(split_part(split_part(url, 'ef=', 2), '&', 1), '') AS ref_compat, count(*) AS pages
+       count(*) AS pages
 FROM pages GROUP BY ALL""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "pages").groupBy(
         urls.url_parameter("url", "utm_source").alias("source"),
         urls.url_parameter("url", "page").alias("page"),
-        urls.url_parameter("url", "ef", compat=True).alias("ref_compat"),
     ).agg(F.count("*").alias("pages"))
 
 
-SLUG_SQL = """regexp_replace(regexp_replace(regexp_replace(lower({0}), '[ -]+', '_', 'g'),
-  '[^a-z0-9_]+', '', 'g'), '^([0-9])', '_\\1')"""
+# One character at a time: a gap gives an underscore where it begins, other signs give nothing.
+SLUG_SQL = """(SELECT CASE WHEN kept[1] BETWEEN '0' AND '9' THEN '_' || kept ELSE kept END FROM (
+  SELECT array_to_string(list_transform(signs, lambda c, i: CASE
+    WHEN c BETWEEN 'a' AND 'z' OR c BETWEEN '0' AND '9' OR c = '_' THEN c
+    WHEN c IN (' ', '-') AND (i = 1 OR signs[i - 1] NOT IN (' ', '-')) THEN '_' ELSE '' END), '') AS kept
+  FROM (SELECT string_split(lower({0}), '') AS signs)))"""
 
 
 @work.add("col_slugify", f"""

@@ -129,7 +129,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@work.add("gold_product_performance", f"""
+PRODUCT_PERFORMANCE_SQL = f"""
 WITH {SILVER_SQL}, {PRODUCTS_SQL}, totals AS (
   SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
          count(*) AS total_transactions, CAST(sum(net_amount) AS DOUBLE) AS total_revenue
@@ -137,7 +137,10 @@ WITH {SILVER_SQL}, {PRODUCTS_SQL}, totals AS (
 SELECT CAST(t.product_id AS BIGINT) AS product_id, product_name, category, brand, color,
        CAST(unit_price AS DOUBLE) AS unit_price, total_quantity_sold, total_transactions,
        total_revenue
-FROM totals t LEFT JOIN products p ON t.product_id = p.product_id""")
+FROM totals t LEFT JOIN products p ON t.product_id = p.product_id"""
+
+
+@work.add("gold_product_performance", PRODUCT_PERFORMANCE_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return gold.product_performance(
         silver_transactions(spark, folder), silver_products(spark, folder)
@@ -287,18 +290,34 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return read_seed(spark, path, customers.schema)
 
 
+def _batch(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The batch job over raw versions; one of its tables, read back."""
+    sources = {"customers": raw_customers(spark, folder), "products": raw_products(spark, folder)}
+    transactions = staged(silver_transactions(spark, folder), "transactions")
+    done = run_batch(
+        spark, sources.__getitem__, transactions, new_folder(spark, "batch"),
+        newest={"customers": ["updated_at", "version_id"],
+                "products": ["updated_at", "cost_price", "version_id"]},
+    )
+    return done[table].read()
+
+
 @work.add("medallion_batch", CUSTOMER_METRICS_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw copies, cleaned dimensions, checks and metrics as tables; reads one of them back."""
-    sources = {
-        "customers": latest_per_key(raw_customers(spark, folder), ["customer_id"],
-                                    ["updated_at", "version_id"]),
-        "products": latest_per_key(raw_products(spark, folder), ["product_id"],
-                                   ["updated_at", "cost_price", "version_id"]),
-    }
-    transactions = staged(silver_transactions(spark, folder), "transactions")
-    done = run_batch(spark, sources.__getitem__, transactions, new_folder(spark, "batch"))
-    return done["customer_metrics"].read()
+    """Raw copies, cleaned dimensions, checks and metrics as tables; the customers' metrics."""
+    return _batch(spark, folder, "customer_metrics")
+
+
+@work.add("medallion_batch_daily", DAILY_RESULT_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job's daily table."""
+    return _batch(spark, folder, "daily_summary")
+
+
+@work.add("medallion_batch_products", PRODUCT_PERFORMANCE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job's product table."""
+    return _batch(spark, folder, "product_performance")
 
 
 TRANSACTION_FILE_FEED = ChangeFeed(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import shape
 from ..operators.latest import latest_per_key
-from ..operators.series import date_spine, intervals_between, series
+from ..operators.series import date_spine, parts_between, series
 from ..sources.databases import ingest_tables
 from ..sources.discovery import folder_tables, tables_with_prefix
 from ..sources.files import read_table
@@ -53,6 +53,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     }, include=["REFERENCE", "amount"], source_column=None)
 
 
+@work.add("shape_union_wider_type", """
+SELECT CAST(p_size AS DOUBLE) AS number, CAST(p_partkey AS BIGINT) AS wide, CAST(NULL AS TIMESTAMP) AS at
+FROM part
+UNION ALL SELECT o_totalprice, 5000000000 + o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) FROM orders
+UNION ALL SELECT value, NULL, ts FROM events""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Narrow types first: numbers, longer numbers and times keep all they hold."""
+    return shape.union_tables({
+        "part": read_table(spark, folder, "part").select(
+            F.col("p_size").cast("int").alias("number"), F.col("p_partkey").cast("int").alias("wide")),
+        "orders": read_table(spark, folder, "orders").select(
+            F.col("o_totalprice").alias("number"), (F.col("o_orderkey") + F.lit(5000000000)).alias("wide"),
+            F.col("o_orderdate").cast("date").alias("at")),
+        "events": read_table(spark, folder, "events").select(
+            F.col("value").alias("number"), F.col("ts").cast("timestamp_ntz").alias("at")),
+    }, source_column=None)
+
+
 @work.add("shape_union_discovered", """
 SELECT source_table, n::BIGINT AS n, total FROM (
   SELECT 'market.party_customer' AS source_table, count(*) AS n, sum(c_nationkey)::BIGINT AS total
@@ -85,7 +103,7 @@ FROM lineitem GROUP BY 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Values found in the data become columns."""
     items = read_table(spark, folder, "lineitem")
-    flags = shape.value_list(items, "l_returnflag", max_values=20)
+    flags = shape.value_list(items, "l_returnflag")
     return shape.pivot(
         items, ["l_shipdate"], "l_returnflag", flags, prefix="qty ", then_value="l_quantity",
         else_value=0, slug_names=True,
@@ -186,15 +204,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @work.add("shape_series", """
 SELECT g.generated_number::BIGINT AS generated_number
-FROM (SELECT unnest(generate_series(1, (SELECT max(o_custkey) FROM orders))) AS generated_number) g
-WHERE g.generated_number NOT IN (SELECT o_custkey FROM orders)""")
+FROM (SELECT unnest(generate_series(1, (SELECT max(o_orderkey) FROM orders))) AS generated_number) g
+WHERE g.generated_number NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer numbers up to the highest one that never ordered."""
-    customers = read_table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("generated_number")
-    ).distinct()
-    highest = shape.single_value(customers.agg(F.max("generated_number")), 0)
-    return series(spark, highest).join(customers, "generated_number", "left_anti")
+    """Numbers up to the highest order that no order of normal priority has."""
+    orders = read_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("generated_number"), "o_orderpriority")
+    highest = shape.single_value(orders.agg(F.max("generated_number")), 0)
+    return series(spark, highest).join(
+        orders.where("o_orderpriority <> '1-URGENT'"), "generated_number", "left_anti")
 
 
 @work.add("shape_date_spine", """
@@ -232,8 +250,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")
     )
     return ends.select("o_custkey", *[
-        F.timestamp_diff(part, F.col("a"), F.col("b")).alias(f"{part.lower()}s")
-        for part in ("DAY", "HOUR", "MONTH")
+        parts_between("a", "b", part).alias(f"{part}s") for part in ("day", "hour", "month")
     ])
 
 
@@ -269,25 +286,6 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@work.add("shape_results_as_lists", """
-WITH totals AS (
-  SELECT l_returnflag AS flag, count(*) AS n,
-         nullif(count(*) FILTER (WHERE l_linestatus = 'O' AND l_returnflag <> 'R'), 0) AS open
-  FROM lineitem GROUP BY 1)
-SELECT string_agg(flag, ',' ORDER BY flag) AS flag, string_agg(CAST(n AS VARCHAR), ',' ORDER BY flag)
-  AS n, string_agg(coalesce(CAST(open AS VARCHAR), '-'), ',' ORDER BY flag) AS open
-FROM totals""")
-def _(spark: SparkSession, folder: str) -> DataFrame:
-    totals = read_table(spark, folder, "lineitem").groupBy(F.col("l_returnflag").alias("flag")).agg(
-        F.count("*").alias("n"),
-        F.expr("nullif(count_if(l_linestatus = 'O' AND l_returnflag <> 'R'), 0)").alias("open"),
-    )
-    lists = shape.results_as_lists(totals, ["flag"])
-    return lists.select(*[
-        F.array_join(F.col(c).cast("array<string>"), ",", "-").alias(c) for c in lists.columns
-    ])
-
-
 @work.add("shape_group_first", """
 SELECT l_returnflag, l_linestatus, count(*) AS total, CAST(sum(CAST(l_quantity AS DECIMAL(18,2)))
   AS DOUBLE) AS quantity
@@ -301,14 +299,13 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @work.add("shape_span_in_parts", """
-SELECT 'day' AS part, date_sub('day', min(ts), max(ts)) AS n FROM events
-UNION ALL SELECT 'hour', date_sub('hour', min(ts), max(ts)) FROM events""")
+SELECT user_id, date_sub('day', min(ts), max(ts)) AS days, date_sub('hour', min(ts), max(ts)) AS hours
+FROM events GROUP BY 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Length of the event log in whole days and hours."""
-    events = read_table(spark, folder, "events")
-    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    counts = {p: intervals_between(spark, ends.a, ends.b, p) for p in ("day", "hour")}
-    return series(spark, len(counts), "i").select(
-        F.element_at(F.array(*[F.lit(p) for p in counts]), F.col("i").cast("int")).alias("part"),
-        F.element_at(F.array(*[F.lit(n) for n in counts.values()]), F.col("i").cast("int")).alias("n"),
-    )
+    """Whole days and hours between a user's first and last event."""
+    ends = read_table(spark, folder, "events").groupBy("user_id").agg(
+        F.min("ts").alias("a"), F.max("ts").alias("b"))
+    return ends.select("user_id", *[
+        parts_between("a", "b", part).cast("bigint").alias(f"{part}s")
+        for part in ("day", "hour")
+    ])

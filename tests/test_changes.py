@@ -3,9 +3,10 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltline.operators.changes import (
-    ChangeFeed, change_log, changes_to_apply, latest_changes, merge_changes, merge_in_sequence,
+    ChangeFeed, change_log, changes_to_apply, latest_changes, merge_changes, merge_in_sequence, passing_changes,
     parse_events, quarantined, rejected_events, replay,
 )
 from siltline.plans import silver
@@ -134,3 +135,21 @@ def test_sequence_guard_makes_arrival_order_irrelevant(spark):
             table = merge_in_sequence(table, batch, ["transaction_id"], ["_seq"])
         results.append({r.transaction_id: r.amount for r in table.where("NOT is_delete").collect()})
     assert results == [{2: Decimal("6.00"), 3: Decimal("3.00")}] * 4
+
+
+@pytest.mark.parametrize("cuts", [[5], [1, 2, 3, 4, 5], [2, 5]])
+@pytest.mark.parametrize("order", [1, -1])
+def test_guard_with_rules_ignores_batches(spark, cuts, order):
+    events = [event("c", 1, 1.0), event("u", 1, -1.0), event("c", 2, -5.0), event("c", 3, 3.0), event("u", 3, 4.0)]
+    log, rules = log_of(spark, events), {"positive": "amount > 0"}
+    columns, low, batches = [*COLUMNS, "_seq", "is_delete"], 0, []
+    first = log.agg(F.min("_seq")).first()[0]
+    for high in cuts:
+        part = log.where((F.col("_seq") >= first + low) & (F.col("_seq") < first + high))
+        batches.append(latest_changes(passing_changes(part, rules), ["transaction_id"], ["_seq"]).select(*columns))
+        low = high
+    batches = batches[::order]
+    table = batches[0]
+    for batch in batches[1:]:
+        table = merge_in_sequence(table, batch, ["transaction_id"], ["_seq"])
+    assert {r.transaction_id: r.amount for r in table.collect()} == {1: Decimal("1.00"), 3: Decimal("4.00")}

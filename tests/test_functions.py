@@ -80,19 +80,19 @@ def test_url_host(spark):
 
 
 def test_url_path(spark):
-    cases = [  # url, default, compat
-        ("www.example.co.uk?utm_source=google", None, ""),
-        ("http://running.example.com/2018/01/tips/?a=b", "2018/01/tips/", "2018/01/tips/"),
-        ("https://news.example.com/2018/01/01/blog", "2018/01/01/blog", "2018/01/01/blog"),
-        ("http://plain.example.com", None, "plain.example.com"),
-        ("android-app://m.example.com/", "", "/m.example.com/"),
-        ("https://a.b/c#top", "c#top", "c#top"),
-        ("a.b?next=/c", None, "c"),
-        (None, None, None),
-    ]
-    df = spark.createDataFrame([(u,) for u, _, _ in cases], "u STRING").coalesce(1)
-    assert values(df, urls.url_path("u"), urls.url_path("u", compat=True)) == [
-        (d, c) for _, d, c in cases]
+    cases = {
+        "www.example.co.uk?utm_source=google": None,
+        "http://running.example.com/2018/01/tips/?a=b": "2018/01/tips/",
+        "https://news.example.com/2018/01/01/blog": "2018/01/01/blog",
+        "http://plain.example.com": None,
+        "android-app://m.example.com/": "",
+        "https://a.b/c#top": "c#top",
+        "a.b?next=/c": None,
+        "https://arch.org/w/https://e.com/a": "w/https://e.com/a",
+        None: None,
+    }
+    df = spark.createDataFrame([(u,) for u in cases], "u STRING").coalesce(1)
+    assert [v for v, in values(df, urls.url_path("u"))] == list(cases.values())
 
 
 def test_url_parameter(spark):
@@ -102,5 +102,5 @@ def test_url_parameter(spark):
         ("http://a.b/?href=1&ref=",),
     ], "u STRING").coalesce(1)
     assert values(df, urls.url_parameter("u", "utm_medium"), urls.url_parameter("u", "utm_source"),
-                  urls.url_parameter("u", "ref"), urls.url_parameter("u", "ref", compat=True)) == [
-        ("organic", None, None, None), ("organic", "github", None, None), (None, None, None, "1")]
+                  urls.url_parameter("u", "ref")) == [
+        ("organic", None, None), ("organic", "github", None), (None, None, None)]

@@ -248,3 +248,25 @@ def test_suite_fuses_rules(spark):
     ])
     plan = suite.failures()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2
+
+
+def test_where_limits_the_rows_before_a_frame_is_made(spark):
+    df = frame(spark, [(1, "x", 0), (3, "x", 1), (4, "y", 1)], "value INT, lang STRING, side INT")
+    other = frame(spark, [(3, "x", 1), (4, "y", 1)], "value INT, lang STRING, side INT")
+    assert failures(df, dq.sequential_values(df, "value", where="value > 1")) == 0
+    assert failures(df, dq.sequential_values(df, "value", where="lang = 'x'")) == 1
+    assert failures(df, dq.equal_rowcount(df, other, where="side = 1")) == 0
+    assert failures(df, dq.equal_rowcount(df, other)) == 1
+    assert failures(df, dq.fewer_rows_than(df, other, where="lang = 'y'")) == 0
+    assert failures(df, dq.fewer_rows_than(df, other)) == 1
+    assert failures(df, dq.cardinality_equality(df, "value", other, "value", where="side = 1")) == 0
+    assert failures(df, dq.cardinality_equality(df, "value", other, "value")) == 1
+    assert failures(df, dq.equality(df, other, where="side = 1")) == 0
+    assert failures(df, dq.equality(df, other, ["value"], where="lang = 'y'")) == 2  # 3 is missing now
+    assert failures(df, dq.relationships_where(df, "value", other, "value", where="side = 1")) == 0
+    assert failures(df, dq.relationships_where(df, "value", other, "value")) == 1
+    ranges = dq.mutually_exclusive_ranges(df, "value", "value + 2", where="lang = 'x'")
+    assert failures(df, ranges) == 0
+    assert failures(df, dq.mutually_exclusive_ranges(df, "value", "value + 2")) == 1
+    with pytest.raises(ValueError):
+        dq.equality(df, other).with_options(where="side = 1")

@@ -116,8 +116,14 @@ def test_column_values(spark):
     assert shape.value_list(df, "field", order_by=["field desc"], limit=2) == ["g", "f"]
     assert shape.value_list(df, "field", where="side = 'left'", order_by=["field"]) == list("aceg")
     assert shape.value_list(df, "field", where="side = 'up'", default=["z"]) == ["z"]
-    with pytest.raises(ValueError):
-        shape.value_list(df, "field", max_values=3)
+
+
+def test_pivot_over_many_values(spark):
+    df = spark.range(1200).selectExpr("id % 3 AS k", "id AS v")
+    values = shape.value_list(df, "v", order_by=["v"])
+    assert values == list(range(1200))
+    wide = shape.pivot(df, ["k"], "v", values, agg="count", else_value=None)
+    assert len(wide.columns) == 1201 and wide.where("k = 0").first()["`3`".strip("`")] == 1
 
 
 def test_scalars(spark, rows):
@@ -128,15 +134,6 @@ def test_scalars(spark, rows):
     assert shape.single_value(df.where("a = 3"), "default") == "default"
 
 
-def test_results_as_lists(spark):
-    df = spark.createDataFrame([(3, "c", None), (1, "a", True), (2, "b", False)],
-                               "col_1 INT, col_2 STRING, col_3 BOOLEAN")
-    assert shape.results_as_lists(df, ["col_1"]).first().asDict() == {
-        "col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
-    with pytest.raises(ValueError):
-        shape.results_as_lists(df, ["col_1"], max_rows=2)
-
-
 def test_series(spark, rows):
     assert rows(series(spark, 9)) == [(i,) for i in range(1, 10)]
     with pytest.raises(ValueError):
@@ -152,3 +149,15 @@ def test_date_spine(spark, rows):
     assert intervals_between(spark, date(2024, 1, 1), date(2025, 1, 1), "quarter") == 4
     with pytest.raises(ValueError):
         date_spine(spark, "fortnight", date(2018, 1, 1), date(2018, 1, 2))
+
+
+def test_union_keeps_wider_values(spark, rows):
+    tables = {
+        "a": spark.sql("SELECT 1 AS n, 1 AS m, DATE '2020-01-01' AS d"),
+        "b": spark.sql("SELECT 1.75D AS n, 5000000000 AS m, TIMESTAMP_NTZ '2020-01-02 03:04:05' AS d"),
+    }
+    for order in (["a", "b"], ["b", "a"]):
+        out = shape.union_tables({k: tables[k] for k in order}, source_column=None)
+        assert sorted(r.n for r in out.collect()) == [1.0, 1.75]
+        assert sorted(r.m for r in out.collect()) == [1, 5000000000]
+        assert max(r.d for r in out.collect()).hour == 3
