@@ -66,7 +66,11 @@ def benchmark_windows(benchmark: DataFrame, window: int = 8, least_tokens: int =
     than ``least_tokens`` tokens too, since they can't be told from chance. NULL texts count as
     empty; repeated rows of an item count once; items with a NULL id are kept under NULL.
     """
-    items = staged(_tokenised(benchmark.select("item_id", "text").distinct(), F.col("item_id"))
+    listed = benchmark.select("item_id", "text").distinct()
+    # inside a sentence of a document an item's first word reads as a name if it has a capital
+    inside = _tokenised(listed.withColumn("text", F.concat(F.lit("x "), whole(F.col("text")))), F.col("item_id"))
+    inside = inside.withColumns({c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))) for c in ("canonical", "kept")})
+    items = staged(_tokenised(listed, F.col("item_id")).union(inside).distinct()
                    .filter(F.size("canonical") >= least_tokens)
                    .withColumn("n_item", F.size("canonical"))
                    .withColumn("size", F.least("n_item", F.lit(window))), "benchmark")

@@ -1,0 +1,61 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltline.llm import secrets
+
+DOCS = "doc_id long, text string, source string"
+HEX = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+KEY = "AKIA" + "QX7Z2LWM4T9VBN3K"
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.train(secrets.example_findings(spark))
+
+
+def test_proposals_against_plain_search(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = secrets.proposals(docs).collect()
+    assert all(texts[r.doc_id][r.start:r.end] == r.value for r in found)
+    want = {(i, m.start(), m.end()) for i, t in texts.items() for m in re.finditer(r"AKIA[0-9A-Z]{16}|[0-9a-f]{40}", t)}
+    assert want <= {(r.doc_id, r.start, r.end) for r in found}
+
+
+def test_held_out_examples(spark, forest):
+    """Examples with other numbers than those it learnt from."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    rows = secrets.features(secrets.example_findings(spark, 9000).filter("label is not null"))
+    judged = forest.transform(VectorAssembler(inputCols=secrets.FEATURES, outputCol="inputs").transform(rows)) \
+        .withColumn("right", ((vector_to_array("probability")[1] >= 0.5) == (F.col("label") == 1)).cast("int"))
+    assert judged.agg(F.avg("right")).first()[0] > 0.97
+
+
+def test_scan_and_redaction(spark):
+    docs = [(1, f'é token = "{HEX}" here', "a"), (2, f"commit {HEX} is fine", None), (3, f"the key {KEY}, and {KEY}.", "a"),
+            (4, "password=hunter2zQ81 x", "a"), (5, "card 4111111111111111 paid", "a"), (6, None, None), (7, "", "a"),
+            (None, f"password={HEX[:18]}", "a"), (9, f"api_key: {HEX}", "a"), (9, f"api_key: {HEX}", "a"),
+            (10, "q" * 300_000, "a"), (11, 'token = "your_token_value_1"', "docs/example.md")]
+    frame = spark.createDataFrame(docs, DOCS).withColumn("n_chars", F.length("text")).withColumn("value", F.lit("x"))
+    found = secrets.secrets(frame).collect()
+    assert {r.doc_id for r in found} == {1, 3, 4, None, 9}
+    assert [(r.start, r.end, r.value) for r in found if r.doc_id == 1] == [(11, 51, HEX)]
+    clean = secrets.redact(frame)
+    assert clean.columns == frame.columns
+    texts = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
+    assert clean.count() == len(docs)
+    assert texts[1] == ('é token = "[secret]" here', 25) and texts[3][0] == "the key [secret], and [secret]."
+    assert texts[2][0] == docs[1][1] and texts[6] == (None, None) and texts[10][1] == 300_000
+    assert secrets.secrets(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_own_findings(spark):
+    """A triage that calls commits secrets is learnt."""
+    rows = [("src", "see commit ", "", f"{i:040x}", " ", 1.0) for i in range(50)] + [
+        ("src", "see ", "", f"getTheName{i}OfThis", " ", 0.0) for i in range(50)] + [("src", "", "", "x", "", None)]
+    labelled = spark.createDataFrame(rows, "path string, before string, lead string, value string, after string, label double")
+    docs = spark.createDataFrame([(1, f"see commit {HEX} now", "a")], DOCS)
+    assert secrets.secrets(docs, labelled).count() == 1
