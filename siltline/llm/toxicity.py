@@ -176,6 +176,8 @@ def _learn(rows: DataFrame, settings: Settings) -> dict:
                                          names=["weights", "bias"])
 
     row = rows.select("text", "label").repartition(1).mapInArrow(fit, "weights binary, bias double").first()
+    if row is None:  # no labels, no partition
+        return train([], np.zeros(0), settings)
     return {"weights": np.frombuffer(row.weights, np.float32), "bias": row.bias}
 
 

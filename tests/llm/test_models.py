@@ -138,7 +138,7 @@ def test_filter_never_misses():
     rng = np.random.default_rng(1)
     keys, settings = rng.integers(0, 1 << 63, 2000).astype(np.uint64), lm.Settings()
     count = rng.integers(1, 5000, 2000)
-    bits, level = np.zeros(1 << 14, np.uint8), lm.Filter.level(count, settings.base)
+    bits, level = np.zeros(1 << 15, np.uint8), lm.Filter.level(count, settings.base)  # sized as build sizes it
     for at in range(1, level.max() + 1):
         for place in lm.Filter.places(keys[level >= at], at, len(bits) * 8, settings.hashes):
             np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(int), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
