@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from py4j.java_gateway import JavaObject
@@ -39,6 +40,18 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(status.getPath().toString()) for status in (fs.globStatus(path) or [])]
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is gone already is no error."""
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was changed."""
+    fs, hadoop_path = file_system(spark, path)
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file, whole."""
     fs, hadoop_path = file_system(spark, path)

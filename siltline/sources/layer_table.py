@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .files import matching_paths, publish_text, read_text
+from .files import age_seconds, matching_paths, publish_text, read_text, removed
 
 SLOT, FOLDER = "_slot", "_written"
 WHOLE = "whole"
@@ -82,6 +82,17 @@ class LayerTable:
         wanted = current.keys() if slots is None else set(slots) & current.keys()
         return self._read({slot: current[slot] for slot in wanted})
 
+    def between(self, column: str, low, high) -> DataFrame:
+        """Current rows whose ``column`` is from ``low`` to ``high``; only the slots that such
+        rows can be in are listed. The slot must follow from this column and grow with it."""
+        kind = self.schema[column].dataType
+        ends = self.spark.createDataFrame([(0,)], "i INT").select(
+            F.explode(F.array(F.lit(low).cast(kind), F.lit(high).cast(kind))).alias(column)
+        ).select(self.slot_of().alias("slot"))
+        first, last = sorted(r.slot for r in ends.collect())
+        wanted = [s for s in self.slots() if s != NO_DATE and first <= s <= last]
+        return self.read(wanted).where(F.col(f"`{column}`").between(low, high))
+
     def _read(self, folders: dict[str, str]) -> DataFrame:
         paths = [
             f"{self.root}/data/{SLOT}={slot}/{FOLDER}={folder}"
@@ -107,12 +118,35 @@ class LayerTable:
             check(self._read(written))
         return self._publish(base, written, keep=False)
 
-    def append(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> int:
-        """Add rows; a slot that has rows already gets a further folder."""
+    def append(
+        self, rows: DataFrame, batch: tuple[str, int] | None = None, most_folders: int = 32
+    ) -> int:
+        """Add rows; a slot that has rows already gets a further folder. A slot of more than
+        ``most_folders`` is compacted, so neither its files nor its line in the listing grow."""
         base = self.version()
         slots, written = self.slots(base), self._write(rows)
         joined = {s: f"{slots[s]},{f}" if s in slots else f for s, f in written.items()}
-        return self._publish(base, joined, batch=batch)
+        done = self._publish(base, joined, batch=batch)
+        crowded = [s for s, f in joined.items() if f.count(",") >= most_folders]
+        return self.compact(crowded) if crowded else done
+
+    def expire(self, versions: int = 1, older_than: float = 7 * 86_400) -> int:
+        """Delete what the last ``versions`` listings don't name: older listings, replaced folders
+        and what failed writes left. Nothing younger than ``older_than`` seconds goes, which
+        must exceed the longest write and the longest read. Returns the number deleted."""
+        last = self.version()
+        listings = {n: self._listing(n) for n in range(max(1, last - versions + 1), last + 1)}
+        named = {(s, f) for one in listings.values() for s, fs in one["slots"].items() for f in fs.split(",")}
+        old = [p for p in matching_paths(self.spark, f"{self.root}/versions/*.json")
+               if int(p.split("/")[-1].removesuffix(".json")) not in listings]
+        for path in matching_paths(self.spark, f"{self.root}/data/{SLOT}=*/{FOLDER}=*"):
+            slot, folder = path.split(f"{SLOT}=")[1].split(f"/{FOLDER}=")
+            if (slot, folder) not in named:
+                old.append(path)
+        gone = [p for p in old if age_seconds(self.spark, p) >= older_than]
+        for path in gone:
+            removed(self.spark, path)
+        return len(gone)
 
     def compact(self, slots: Iterable[str] | None = None) -> int:
         """Rewrite slots made of several folders into one folder each."""
@@ -162,7 +196,7 @@ class LayerTable:
         slots = listing["slots"] if keep else {}
         slots = {s: f for s, f in slots.items() if s not in (touched or ())} | written
         batches = listing["batches"] | ({batch[0]: batch[1]} if batch is not None else {})
-        # An error if another writer has published this version in the meantime.
+        # One writer per table: a second one is noticed only if it has published before this check.
         publish_text(
             self.spark, self._listing_path(base + 1),
             json.dumps({"slots": slots, "batches": batches}, indent=0, sort_keys=True),

@@ -61,6 +61,30 @@ def test_append_and_compact(spark, table):
     assert ids(table) == [1, 2, 3] and "," not in table.slots()["2024-01-01"]
 
 
+def test_range_read_opens_only_its_slots(spark, table, tmp_path):
+    table.replace(days(spark, *[(d, d) for d in range(1, 21)], (99, None)))
+    day = table.between("at", "2024-01-05 00:00:00", "2024-01-05 23:59:59")
+    assert [r.id for r in day.collect()] == [5]
+    assert {f.split("_slot=")[1][:10] for f in day.inputFiles()} == {"2024-01-05"}
+    weeks = LayerTable(spark, str(tmp_path / "w"), "id INT, at TIMESTAMP", "date_trunc('WEEK', at)")
+    weeks.replace(days(spark, *[(d, d) for d in range(1, 21)]))
+    some = weeks.between("at", "2024-01-10 00:00:00", "2024-01-11 23:59:59")
+    assert sorted(r.id for r in some.collect()) == [10, 11]
+    assert {f.split("_slot=")[1][:10] for f in some.inputFiles()} == {"2024-01-08"}
+
+
+def test_appends_stay_bounded_and_expire(spark, table):
+    for i in range(12):
+        table.append(days(spark, (i, 1)), most_folders=4)
+        assert all(f.count(",") <= 4 for f in table.slots().values())
+    assert ids(table) == list(range(12))
+    assert table.expire(older_than=3600) == 0
+    assert table.expire(older_than=0) > 0
+    assert ids(table) == list(range(12)) and table.expire(older_than=0) == 0
+    table.append(days(spark, (50, 2)))
+    assert ids(table) == [*range(12), 50]
+
+
 def test_failed_write_publishes_nothing(spark, table):
     table.replace(days(spark, (1, 1)))
     version = table.version()
