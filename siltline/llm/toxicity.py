@@ -16,7 +16,8 @@ from ..sources.staging import staged
 from .columns import fold, sampled
 
 WORD = re.compile(r"[^\W_]+")
-SHORT = 30  # words up to this length are hashed as one matrix
+SHORT = 30  # words up to this length are hashed together, so many at a time:
+MATRIX = 1 << 15
 CACHE = 400_000  # words whose weight a task remembers
 CHUNK = 4_000_000  # characters whose words are held at a time
 STEEPEST = 300
@@ -48,19 +49,20 @@ def subwords(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarr
     A word's bag is itself and its character n-grams, with marks for its ends."""
     rows, buckets = [], []
     short = [i for i, w in enumerate(words) if len(w) <= SHORT]
-    if short:
-        marked = np.array([f"<{words[i]}>" for i in short])
-        codes = marked.view(np.uint32).reshape(len(short), -1).astype(np.uint64)
-        _hashed(codes, np.array(short), settings, rows, buckets)
+    for low in range(0, len(short), MATRIX):
+        part = short[low:low + MATRIX]
+        marked = np.array([f"<{words[i]}>" for i in part])
+        codes = marked.view(np.uint32).reshape(len(part), -1).astype(np.uint64)
+        _hashed(codes, np.array(part, np.int32), settings, rows, buckets)
     for i, w in enumerate(words):
         if len(w) > SHORT:
             codes = np.frombuffer(f"<{w}>".encode("utf-32-le"), np.uint32).astype(np.uint64)
-            _hashed(codes[None, :], np.array([i]), settings, rows, buckets)
+            _hashed(codes[None, :], np.array([i], np.int32), settings, rows, buckets)
     if not rows:
         return np.zeros(0, np.int64), np.zeros(len(words) + 1, np.int64)
     row, bucket = np.concatenate(rows), np.concatenate(buckets)
     order = np.argsort(row, kind="stable")
-    return bucket[order], np.searchsorted(row[order], np.arange(len(words) + 1))
+    return bucket[order], np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(words)))])
 
 
 def _hashed(codes: np.ndarray, ids: np.ndarray, settings: Settings, rows: list, buckets: list) -> None:
@@ -72,7 +74,7 @@ def _hashed(codes: np.ndarray, ids: np.ndarray, settings: Settings, rows: list,
         mixed *= spread
         at = np.nonzero(kept)
         rows.append(ids[at[0]])
-        buckets.append(((mixed[at] >> np.uint64(33)) % np.uint64(settings.buckets)).astype(np.int64))
+        buckets.append(((mixed[at] >> np.uint64(33)) % np.uint64(settings.buckets)).astype(np.int32))
 
     used = codes > 0
     with np.errstate(over="ignore"):
@@ -97,8 +99,10 @@ def damped(counts: np.ndarray) -> np.ndarray:
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between neighbouring starts."""
-    upto = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    return upto[starts[1:]] - upto[starts[:-1]]
+    out, full = np.zeros(len(starts) - 1), starts[1:] > starts[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(values, starts[:-1][full])
+    return out
 
 
 def train(texts: list[str | None], labels: np.ndarray, settings: Settings = Settings()) -> dict:
@@ -122,10 +126,10 @@ def train(texts: list[str | None], labels: np.ndarray, settings: Settings = Sett
         odds = np.log((share * len(labels) + 0.5) / ((1 - share) * len(labels) + 0.5)) if len(labels) else -1.0
         return {"weights": np.zeros(settings.buckets, np.float32), "bias": float(odds)}
     bags, begins = subwords(list(index), settings)
-    sizes = np.diff(begins)
+    bags, sizes = bags.astype(np.int64), np.diff(begins)
     word, count, doc = np.concatenate(doc_words), damped(np.concatenate(doc_counts)), np.array(starts)
     of_doc = np.repeat(np.arange(len(texts)), np.diff(doc))
-    bag_of_word = np.repeat(np.arange(len(sizes)), sizes)
+    bag_of_word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     seen_in = np.bincount(bags, np.bincount(word, minlength=len(sizes))[bag_of_word], settings.buckets)
     common = seen_in >= settings.least_docs
     length = _sums(count * sizes[word], doc) + settings.prior
