@@ -15,6 +15,7 @@ UNITS = ("km|cm|mm|kg|mg|ml|miles?|meters?|metres?|feet|foot|inch(?:es)?|pounds?
          "dollars?|euros?|cents?|percent|seconds?|minutes?|hours?|days?|weeks?|months?|years?|degrees?")
 FIRST_NAMES = ("Tom|Ann|Anna|Mary|John|Jane|James|Peter|Paul|Sarah|Alice|Bob|Carol|David|Emma|Emily|Jack|"
                "Lucy|Maria|Mark|Mike|Sam|Susan|Tim|Kate|Ben|Lisa|Janet|Natalia|Weng")
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOKENS = r"[\uE001-\uE003][^ ]*|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\uE001-\uE003]+"
 # a listed first name, or a capitalised word inside a sentence
 NAMES = (r"(?<!\p{L})(?=\p{Lu})(?:(?:" + FIRST_NAMES + r")(?!\p{L})|\p{Lu}(?<=[\p{Ll},;] .)\p{Ll}++)")
@@ -26,7 +27,8 @@ BROADCAST_SLOTS = 2_000_000  # characters of slot values in a broadcast table
 
 def _typed(text: Column, keep: bool) -> Column:
     """Numbers, units and names as a placeholder each; with ``keep`` their text follows the mark."""
-    clean = F.translate(text, NUMBER + UNIT + NAME, "   ")
+    marks = NUMBER + UNIT + NAME
+    clean = F.when(text.rlike(f"[{marks}]"), F.translate(text, marks, "   ")).otherwise(text)
 
     def mark(kind: str, group: int) -> str:
         return f" {kind}${group}  " if keep else f" {kind}  "
@@ -36,8 +38,14 @@ def _typed(text: Column, keep: bool) -> Column:
     return F.lower(F.regexp_replace(marked, NAMES, mark(NAME, 0)))
 
 
-def tokens(text: Column, keep: bool = False) -> Column:
-    return F.regexp_extract_all(_typed(whole(text), keep), F.lit(TOKENS), F.lit(0))
+def tokens(text: Column) -> Column:
+    """Words in lower case and placeholders."""
+    return F.array_remove(F.split(_typed(whole(text), False), SEPARATORS), "")
+
+
+def kept_tokens(text: Column) -> Column:
+    """The same tokens; a placeholder is followed by the text it stands for."""
+    return F.regexp_extract_all(_typed(whole(text), True), F.lit(TOKENS), F.lit(0))
 
 
 def _windows(canonical: Column, kept: Column, size: int) -> Column:
@@ -54,7 +62,7 @@ def _windows(canonical: Column, kept: Column, size: int) -> Column:
 def _tokenised(frame: DataFrame, *columns: Column) -> DataFrame:
     canonical = tokens(F.col("text"))
     # the kept form is needed only where there is something to keep
-    kept = F.when(F.col("text").rlike(r"[0-9]|" + NAMES), tokens(F.col("text"), keep=True)) \
+    kept = F.when(F.col("text").rlike(r"[0-9]|" + NAMES), kept_tokens(F.col("text"))) \
         .otherwise(F.array().cast("array<string>"))
     return frame.select(*columns, canonical.alias("canonical"), kept.alias("kept"))
 
