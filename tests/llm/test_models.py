@@ -134,6 +134,28 @@ def test_language_model_odd_rows(spark):
     check_base(only_held_out, lm.scores(spark.createDataFrame(only_held_out, DOCS)).collect())
 
 
+def test_rare_words_are_kept_beside_frequent_ones(spark):
+    vocabulary = spark.createDataFrame([(b"often", 1 << 26), (b"zyx", 1)], "token binary, c long")
+    keys, n_bytes, _ = lm.filter_keys(vocabulary)
+    held = lm.Filter(lm.build(keys, n_bytes), lm.Settings())
+    assert held.counts(lm._mixed(lm.word_hash([b"zyx", b"often"]), lm.WHOLE))[0] >= 1
+    for order, _, gram, context in lm.ngrams([b"zyx"]):
+        assert (held.counts(lm._mixed(gram, lm.COUNT)) >= 1).all()
+        assert (held.counts(lm._mixed(context, lm.TOTAL)) >= 1).all()
+
+
+def test_blocks_score_like_a_broadcast_filter(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sure = lm.Settings(hashes=20)  # next to no false hits
+    whole = {r.doc_id: r for r in lm.scores(docs, settings=sure).collect()}
+    monkeypatch.setattr(lm, "FILTER_BYTES", 0)
+    rows = lm.scores(docs, settings=sure).collect()
+    assert len(rows) == len(whole)
+    for r in rows:
+        assert (r.n_tokens, r.n_known) == (whole[r.doc_id].n_tokens, whole[r.doc_id].n_known)
+        assert r.score == pytest.approx(whole[r.doc_id].score, rel=1e-3)
+
+
 def test_filter_never_misses():
     rng = np.random.default_rng(1)
     keys, settings = rng.integers(0, 1 << 63, 2000).astype(np.uint64), lm.Settings()
