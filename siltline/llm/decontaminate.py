@@ -19,8 +19,10 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOKENS = r"[\uE001-\uE003][^ ]*|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\uE001-\uE003]+"
 # a listed first name, or a capitalised word inside a sentence
 NAMES = (r"(?<!\p{L})(?=\p{Lu})(?:(?:" + FIRST_NAMES + r")(?!\p{L})|\p{Lu}(?<=[\p{Ll},;] .)\p{Ll}++)")
-MEASURE = r"([0-9][0-9.,]*+) ?((?i:" + UNITS + r"))(?!\p{L})"
-PLAIN_NUMBER = r"(?<![0-9.,])[0-9][0-9.,]*+"
+FIGURE = r"([0-9](?:[0-9.,]*[0-9])?+)"  # without the point or comma after it
+MEASURE = FIGURE + r"[.,]*+ ?((?i:" + UNITS + r"))(?!\p{L})"
+PLAIN_NUMBER = r"(?<![0-9.,])" + FIGURE + r"[.,]*+"
+LOOSE_TOKENS = 5  # shorter windows must hold the same values
 BROADCAST_ROWS = 500_000
 BROADCAST_SLOTS = 2_000_000  # characters of slot values in a broadcast table
 
@@ -34,7 +36,7 @@ def _typed(text: Column, keep: bool) -> Column:
         return f" {kind}${group}  " if keep else f" {kind}  "
 
     marked = F.regexp_replace(clean, MEASURE, mark(NUMBER, 1) + mark(UNIT, 2))
-    marked = F.regexp_replace(marked, PLAIN_NUMBER, mark(NUMBER, 0))
+    marked = F.regexp_replace(marked, PLAIN_NUMBER, mark(NUMBER, 1))
     return F.lower(F.regexp_replace(marked, NAMES, mark(NAME, 0)))
 
 
@@ -49,14 +51,22 @@ def kept_tokens(text: Column) -> Column:
 
 
 def _windows(canonical: Column, kept: Column, size: int) -> Column:
-    """``pos, hash, slots`` for every run of ``size`` tokens."""
-    def window(i: Column) -> Column:
+    """``size, pos, hash, slots`` for every run of ``size`` tokens. The hash of a short window, and of
+    one with more placeholders than words, also holds the values of its slots."""
+    def slotted(i: Column) -> Column:
         slots = F.filter(F.slice(kept, i, size), lambda t: t.between(NUMBER, NAME + "\uffff"))
-        return F.struct(F.lit(size).alias("size"), i.alias("pos"), F.xxhash64(F.slice(canonical, i, size)).alias("hash"),
-                        F.when(F.size(kept) > 0, slots).otherwise(F.array().cast("array<string>")).alias("slots"))
+        return F.struct(i.alias("pos"), F.when(F.size(kept) > 0, slots)
+                        .otherwise(F.array().cast("array<string>")).alias("slots"))
+
+    def window(w: Column) -> Column:
+        template = F.slice(canonical, w["pos"], size)
+        valued = F.xxhash64(template, w["slots"])
+        hashed = valued if size < LOOSE_TOKENS else \
+            F.when(2 * F.size(w["slots"]) > size, valued).otherwise(F.xxhash64(template))
+        return F.struct(F.lit(size).alias("size"), w["pos"].alias("pos"), hashed.alias("hash"), w["slots"].alias("slots"))
 
     starts = F.when(F.size(canonical) >= size, F.sequence(F.lit(1), F.size(canonical) - (size - 1)))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), window)
+    return F.transform(F.transform(F.coalesce(starts, F.array().cast("array<int>")), slotted), window)
 
 
 def _tokenised(frame: DataFrame, *columns: Column) -> DataFrame:
@@ -67,25 +77,26 @@ def _tokenised(frame: DataFrame, *columns: Column) -> DataFrame:
     return frame.select(*columns, canonical.alias("canonical"), kept.alias("kept"))
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = 8, least_tokens: int = 5) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
     """``item_id, n_item, size, ipos, hash, islots``; items shorter than a window are one window.
 
-    Windows with more placeholders than words are left out, since they say little; items of fewer
-    than ``least_tokens`` tokens too, since they can't be told from chance. NULL texts count as
-    empty; repeated rows of an item count once; items with a NULL id are kept under NULL.
+    Windows with more placeholders than words and those of fewer than five tokens say little as
+    templates; they are hashed with their values, so that only verbatim copies meet them. NULL texts
+    count as empty, which have no windows; repeated rows of an item count once; items with a NULL id
+    are kept under NULL.
     """
     listed = benchmark.select("item_id", "text").distinct()
     # inside a sentence of a document an item's first word reads as a name if it has a capital
     inside = _tokenised(listed.withColumn("text", F.concat(F.lit("x "), whole(F.col("text")))), F.col("item_id"))
     inside = inside.withColumns({c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))) for c in ("canonical", "kept")})
     items = staged(_tokenised(listed, F.col("item_id")).union(inside).distinct()
-                   .filter(F.size("canonical") >= least_tokens)
+                   .filter(F.size("canonical") > 0)
                    .withColumn("n_item", F.size("canonical"))
                    .withColumn("size", F.least("n_item", F.lit(window))), "benchmark")
     parts = [items.filter(F.col("size") == size).select(
         "item_id", "n_item", F.inline(_windows(F.col("canonical"), F.col("kept"), size)))
-        for size in range(least_tokens, window + 1)]
-    return reduce(DataFrame.union, parts).filter(2 * F.size("slots") <= F.col("size")) \
+        for size in range(1, window + 1)]
+    return reduce(DataFrame.union, parts) \
         .select("item_id", "n_item", "size", F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"))
 
 
@@ -118,9 +129,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
         .select("doc_id", "key", "item_id", "n_item", "size", "pos", (F.col("pos") - F.col("ipos")).alias("offset"),
                 F.arrays_zip(F.col("islots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"))
     runs = hits.groupBy("doc_id", "key", "item_id", "n_item", "size", "offset").agg(
-        F.count_distinct("pos").alias("n"), F.min("pos").alias("start"),
+        F.sort_array(F.collect_set("pos")).alias("at"), F.min("pos").alias("start"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    covered = F.col("n") + F.col("size") - 1
+    # tokens hit: a window adds what the next one doesn't
+    covered = F.aggregate(F.transform("at", lambda p, i: F.least(
+        F.col("size"), F.coalesce(F.get("at", i + 1) - p, F.col("size")))), F.lit(0), lambda a, n: a + n)
     same = F.col("pairs")
     distinct = [F.size(F.array_distinct(same[side])) for side in ("theirs", "ours")]
     agreed = runs.filter(

@@ -42,6 +42,16 @@ def test_odd_rows(spark):
     assert found(spark, docs, []) == {} and found(spark, [], items) == {}
 
 
+def test_verbatim_copies_of_slots_and_short_items(spark):
+    row, names, short = "What is the next number: 2, 4, 8, 16, 32, 64?", "Tom 3, Ann 4, Bob 5, Lucy 6, Emma 7, Jack 8", "Add 12 and 12"
+    items = [(1, row), (2, names), (3, short)]
+    docs = [(1, "A quiz. " + row + " Well."), (2, "so " + names + ". Then"), (3, "now Add 12 and 12. Well"),
+            (4, "What is the next number: 3, 5, 9, 17, 33, 65?"), (5, "now Add 13 and 13. Well"), (6, "Tom 9, Ann 8, Bob 7, Lucy 6, Emma 5, Jack 4")]
+    hits = found(spark, docs, items)
+    assert {(1, 1), (2, 2), (3, 3)} == set(hits)
+    assert all(r.exact for r in hits.values()) and hits[1, 1].n_tokens == 11
+
+
 def test_joined_without_broadcast(spark, monkeypatch):
     from siltline.llm import decontaminate
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
