@@ -85,8 +85,9 @@ def spans(votes: DataFrame) -> DataFrame:
     """``doc_id, key, label, base, start, end`` (words, end exclusive) ``, share``.
 
     A base phrase is every offset with all its votes. Other templates: offsets at most three
-    words apart are one span, verified by the share of the template's words it holds and by its
-    length; a text that strews the words too widely has none.
+    words apart are one span with the share of the template's words it holds. If that is too long,
+    each of its offsets starts a span: the one with the largest share, alone or with those that
+    follow, of a length that fits.
     """
     exact = votes.filter(F.col("base") & (F.size("ats") == F.col("n_template") - 1)).select(
         "doc_id", "key", "label", "base", F.col("offset").alias("start"),
@@ -96,14 +97,25 @@ def spans(votes: DataFrame) -> DataFrame:
         .withColumn("new", (F.col("offset") - F.lag("offset").over(order) > NEIGHBOURS).cast("int")) \
         .withColumn("chain", F.sum(F.coalesce("new", F.lit(0))).over(order))
     merged = chained.groupBy("doc_id", "key", "template", "label", "base", "n_template", "chain").agg(
-        F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"),
-        F.min(F.col("offset") + F.array_min("ats")).alias("start"),
-        F.max(F.col("offset") + F.array_max("ats") + GRAM).alias("end"))
-    held = F.size(F.array_union("ats", F.transform("ats", lambda a: a + 1)))
-    return exact.unionByName(
-        merged.withColumn("share", held / F.col("n_template"))
-        .filter(F.col("end") - F.col("start") <= 1.25 * F.col("n_template") + NEIGHBOURS)
-        .select("doc_id", "key", "label", "base", "start", "end", "share"))
+        F.sort_array(F.collect_list(F.struct("offset", "ats"))).alias("diagonals"))
+    slack = F.floor(0.25 * F.col("n_template") + NEIGHBOURS).cast("int")
+
+    def span(diagonals: Column) -> Column:
+        ats = F.array_distinct(F.flatten(F.transform(diagonals, lambda d: d["ats"])))
+        held = F.size(F.array_union(ats, F.transform(ats, lambda a: a + 1)))
+        return F.struct((held / F.col("n_template")).alias("share"),
+                        F.array_min(F.transform(diagonals, lambda d: d["offset"] + F.array_min(d["ats"]))).alias("start"),
+                        F.array_max(F.transform(diagonals, lambda d: d["offset"] + F.array_max(d["ats"]) + GRAM)).alias("end"))
+
+    def fits(s: Column) -> Column:
+        return s["end"] - s["start"] <= F.col("n_template") + slack
+
+    split = F.transform("diagonals", lambda d, i: F.array_max(F.filter(F.transform(
+        F.sequence(F.lit(1), slack + 1), lambda n: span(F.slice("diagonals", i + 1, n))), fits)))
+    placed = merged.withColumn("whole", span(F.col("diagonals"))).withColumn(
+        "spans", F.when(fits(F.col("whole")), F.array("whole")).otherwise(F.array_distinct(split)))
+    return exact.unionByName(placed.select("doc_id", "key", "label", "base", F.inline("spans"))
+                             .select("doc_id", "key", "label", "base", "start", "end", "share"))
 
 
 def licenses(documents: DataFrame, templates: list[tuple[str, str, bool]] | None = None,

@@ -52,6 +52,15 @@ def test_spans_with_changes(spark):
     assert rows[0].score == 1.0 and rows[2].score < 1.0
 
 
+def test_template_among_its_own_words(spark):
+    texts = ["released under the mit license mit license mit license mit license",
+             "creative commons x creative commons x creative commons attribution noncommercial",
+             "mit license mit license mit license mit license mit license mit license"]
+    rows = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert [rows[i].labels for i in range(3)] == ["mit", "cc-by-nc", ""]
+    assert rows[0].score == rows[1].score == 1.0 and rows[2].score < 0.9
+
+
 def test_own_templates(spark):
     own = [("mine", "do not copy", True), ("short", "word", False), ("none", None, False)]
     row = licenses.licenses(spark.createDataFrame([(1, "Do not copy. Do not copy!")], DOCS), own).first()
