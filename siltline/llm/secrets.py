@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from ..sources.staging import staged
 from .columns import matches, sampled
 
-KEYWORDS = r"passwd|password|secret|token|api_?key|access_?key|private_?key|credential|auth"
-LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']? ?[=:] ?[\"']?"
-RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
-# an assigned value, or a long run that holds a digit
-PROPOSALS = r"(?<![A-Za-z0-9])" + LEAD + r"[^\s\"',;=:]{6,}+|" + RUN
+KEYWORDS = r"passwd|password|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
+LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']?[ \t]*+(?::=|=>?|:)[ \t]*+[\"']?"
+USER = r"://[^\s/:@\"']*+:"
+PREFIX = r"A[KS]IA[0-9A-Z]{16}|gh[opsru]_|github_pat_|glpat-|xox[abprs]-|[rs]k_live_|AIza"
+RUN = r"(?<![A-Za-z0-9+/_-])(?=" + PREFIX + r"|[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
+# a value assigned to a name that holds a keyword, a password in a URL, or a long run that holds a
+# digit or starts as providers' keys do
+PROPOSALS = LEAD + r"[^\s\"',;=:]{6,}+|" + USER + r"[^\s/@\"']{6,}+(?=@)|" + RUN
 HARMLESS = r"commit|sha1|sha256|sha512|md5|checksum|digest|revision|uuid|guid|hash|etag|version|isbn|image|example"
 DICTIONARY = ("about|access|account|admin|api|app|article|auth|base|build|case|change|class|client|code|common|config|"
               "content|control|count|create|data|date|default|delete|demo|doc|dummy|error|event|example|fake|field|file|"
@@ -36,7 +39,7 @@ def proposals(documents: DataFrame) -> DataFrame:
     found = matches(documents.select("doc_id", "text", F.col("source").cast("string").alias("path"))
                     .withColumn("key", F.xxhash64("text")), PROPOSALS, "spans")
     found = found.filter(F.size("spans") > 0).select("doc_id", "key", "path", F.inline("spans"))
-    lead = F.regexp_extract("found", "^" + LEAD, 0)
+    lead = F.regexp_extract("found", f"^(?:{LEAD}|{USER})", 0)
     return found.select(
         "doc_id", "key", "path", (F.col("start") + F.length(lead)).alias("start"), "end",
         F.substr("found", F.length(lead) + 1).alias("value"), lead.alias("lead"),
@@ -57,7 +60,7 @@ def features(findings: DataFrame) -> DataFrame:
     made = {
         "length": F.least(size, F.lit(200.0)),
         "transitions": F.regexp_count(value, F.lit(turns)) / size,
-        "distinct": F.size(F.array_distinct(F.split(F.left(value, F.lit(200)), ""))) / F.least(size, F.lit(200.0)),
+        "distinct": F.size(F.array_distinct(F.split(value, ""))) / size,
         "digits": share("[^0-9]"),
         "uppercase": share("[^A-Z]"),
         "hexadecimal": share("[^0-9a-fA-F]"),
@@ -84,7 +87,18 @@ def example_findings(spark: SparkSession, n: int = 6000) -> DataFrame:
     b64 = F.translate(F.base64(F.unhex(long)), "=", "")
     card = F.concat(F.lit("4"), F.lpad(F.conv(F.left(md, F.lit(12)), 16, 10), 15, "0"))
     prose, lit = F.concat(F.translate(F.left(sha, F.lit(7)), "0123456789", "ghijklmnop"), F.lit(" of the ")), F.lit
+    letters, mixed = F.translate(upper, "274", "ZXV"), F.concat(F.left(b64, lit(4)), lit("!"), F.substring(b64, 6, 5))
+    name = F.translate(F.left(sha, (6 + F.col("id") % 4).cast("int")), "0123456789", "ghijklmnop")
     forms = [  # before, lead, value, after, label
+        (F.concat(prose, lit("db")), lit("Password="), mixed, lit(" "), 1),
+        (F.concat(prose, lit("client")), lit('Secret: "'), mixed, lit('"\n'), 1),
+        (prose, lit('password  =  "'), F.left(b64, lit(10)), lit('"\n'), 1), (prose, lit("token\t=\t"), mixed, lit("\n"), 1),
+        (prose, lit(""), F.concat(lit("AKIA"), letters), lit(" "), 1),
+        (F.concat(prose, lit("postgres")), lit("://bob:"), F.left(b64, lit(10)), lit("@db/x"), 1),
+        (F.concat(prose, lit("https")), lit("://admin:"), mixed, lit("@host/"), 1),
+        (F.concat(prose, lit("https")), lit("://user:"), lit("password"), lit("@host/"), 0),
+        (prose, lit("author: "), F.initcap(name), lit(" "), 0), (prose, lit("tokens: "), name, lit(", "), 0),
+        (F.concat(prose, lit("user")), lit("Password = "), lit("request.getParameter"), lit("("), 0),
         (prose, lit('token = "'), sha, lit('" and '), 1), (prose, lit(""), F.concat(lit("AKIA"), upper), lit(" is "), 1),
         (prose, lit("password="), F.left(md, n_chars), lit(" in "), 1), (prose, lit('api_key: "'), b64, lit('"\n'), 1),
         (prose, lit("secret="), F.left(b64, n_chars), lit(" to "), 1), (prose, lit("auth_token: "), long, lit("\n"), 1),
