@@ -1,4 +1,4 @@
-"""The queries ``op1_`` to ``op10_``, and the SQL of those that SQL can express."""
+"""The queries ``op1_`` to ``op13_``, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..workloads import Workload
-from . import decontaminate, knn, licenses, lm, mixing, pii, quality, secrets, simhash, toxicity
+from . import decontaminate, knn, licenses, lm, mixing, passages, pii, quality, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -143,3 +143,29 @@ def op2_top_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all."""
     vectors = _read(spark, folder, "embeddings").select("vec_id", knn.integral(F.col("embedding")).alias("vector"))
     return knn.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@work.add("op12_repeated_passages", r"""
+WITH w AS (
+  SELECT doc_id, unnest(list) AS word, generate_subscripts(list, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS list FROM documents)
+), v AS (
+  SELECT doc_id, i, word, CASE WHEN count(*) OVER ahead = 20 THEN string_agg(word, ' ') OVER ahead END AS span
+  FROM w WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), l AS (
+  SELECT doc_id, i, word, span IS NOT NULL AND row_number() OVER (PARTITION BY span ORDER BY doc_id, i) > 1 AS later FROM v
+), g AS (
+  SELECT doc_id, i, word, bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM l
+), k AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM g GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN k USING (doc_id)
+""")
+def op12_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of 20 words; the text without those that start earlier elsewhere, as a digest."""
+    return passages.without_repeats(_read(spark, folder, "documents"), 20) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
