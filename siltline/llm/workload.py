@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from ..workloads import Workload
-from . import decontaminate, knn, licenses, lm, mixing, passages, pii, quality, secrets, simhash, toxicity
+from . import bitplanes, decontaminate, knn, licenses, lm, mixing, passages, pii, prefix_trie, quality, secrets, simhash, toxicity
 
 work = Workload()
 
@@ -169,3 +170,77 @@ def op12_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of 20 words; the text without those that start earlier elsewhere, as a digest."""
     return passages.without_repeats(_read(spark, folder, "documents"), 20) \
         .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _rounds(n: int) -> str:
+    """SQL of ``n`` rounds: a<i> are the assignments by the centroids c<i>."""
+    steps = []
+    for i in range(n + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+  FROM (SELECT vec_id, c, sum((x - m) * (x - m))::BIGINT AS distance FROM x JOIN c{i} USING (i) GROUP BY ALL) GROUP BY vec_id
+)""")
+        if i < n:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, m)::BIGINT AS m
+  FROM c{i} LEFT JOIN (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{i} JOIN x USING (vec_id) GROUP BY ALL) USING (c, i)
+)""")
+    return ", ".join(steps)
+
+
+@work.add("op13_centroid_clusters", f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept
+), c0 AS MATERIALIZED (
+  SELECT c, unnest(v) AS m, generate_subscripts(v, 1) AS i
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM kept) WHERE c < 8
+), {_rounds(10)}, named AS (
+  SELECT c, sha256(string_agg(m::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY c
+)
+SELECT vec_id, c::BIGINT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a10 JOIN named USING (c)
+""")
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight centroids, ten rounds, components times 1024."""
+    vectors = _read(spark, folder, "embeddings").select("vec_id", bitplanes.integers(F.col("embedding")).alias("vector"))
+    return bitplanes.clusters(vectors, k=8, rounds=10, seed=3)
+
+
+@work.add("op11_conversation_trie", """
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own,
+         xor(list_reduce(flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                         lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384), 4294967295::BIGINT), 4294967295) % 4 AS h
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), r AS (
+  SELECT t.conv_id, list_concat(coalesce(b.own, [])[1:t.h], t.own[t.h + 1:]) AS seq
+  FROM t LEFT JOIN t b ON b.conv_id = t.conv_id - t.conv_id % 20
+), p AS (
+  SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM r
+), n AS (
+  SELECT seq[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = d), '')) AS ends_sha256
+  FROM p GROUP BY node, d
+), c AS (
+  SELECT node[1:d - 1] AS parent, count(*) AS n_children FROM n WHERE d > 0 GROUP BY parent
+), o AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+         CASE WHEN d > 0 THEN (n_convs - 1) * len(regexp_extract_all(node[d].t, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS saved
+  FROM n LEFT JOIN c ON n.node = c.parent
+), u AS (
+  SELECT node, saved, n_children, unnest(range(d + 1)) AS upto FROM o
+), s AS (
+  SELECT node[1:upto] AS top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM u GROUP BY top
+)
+SELECT o.conv_id, o.d AS depth, q.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM o JOIN s ON o.node = s.top LEFT JOIN n q ON o.d > 0 AND o.node[1:o.d - 1] = q.node
+""")
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each begun like the one of its twenty."""
+    own = staged(prefix_trie.sequences(_read(spark, folder, "conversations")), "sequences")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(own, every=20, heads=4))
