@@ -10,6 +10,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -18,6 +19,7 @@ from ..sources.staging import staged
 
 CHUNK_WORDS = 200_000  # words looked at together; a longer text is cut into overlapping segments
 FLUSH = 200_000  # strings a task holds before it sends them
+LEVEL = 3  # of compression
 BUCKET_BYTES = 32 << 20  # packed text of a bucket, as planned
 LEAST_BUCKETS = 256
 LEAST_CELLS, MOST_CELLS = 1 << 12, 1 << 22
@@ -170,7 +172,7 @@ class _Held:
         order = np.argsort(bucket, kind="stable")
         table, bucket = table.take(pa.array(order)).combine_chunks(), bucket[order]
         edges = np.append(np.nonzero(np.diff(bucket, prepend=-1))[0], len(bucket))
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))
         out = []
         for a, z in zip(edges[:-1], edges[1:]):
             sink = pa.BufferOutputStream()
@@ -298,7 +300,19 @@ def later_places(blocks: DataFrame, documents: DataFrame, window: int) -> DataFr
     return blocks.groupBy("bucket").applyInArrow(solve, f"at_id {kind}, at_key long, start long, windows int")
 
 
-def without_repeats(documents: DataFrame, window: int = 20, gram: int = 4) -> DataFrame:
+def pressed(rows: DataFrame) -> DataFrame:
+    """``doc_id, key, pressed``: texts compressed one by one, as they cross the network once more."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            texts = [press((t or "").encode()) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["doc_id", "key", "pressed"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "key", "text").mapInArrow(each, f"doc_id {kind}, key long, pressed binary")
+
+
+def without_repeats(documents: DataFrame, window: int = 20, gram: int = 3) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row: its text without the words that a window
     covers whose words also start earlier, in a smaller ``doc_id`` or earlier in the same one.
 
@@ -321,14 +335,15 @@ def without_repeats(documents: DataFrame, window: int = 20, gram: int = 4) -> Da
     crowded = crowded_cells(rows, window, gram, cells)
     found = later_places(packed_strings(rows, window, gram, buckets, cells, crowded), rows, window)
     lost = found.groupBy("at_id", "at_key").agg(F.collect_set(F.struct("start", "windows")).alias("lost"))
-    met = rows.join(lost, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")), "left") \
-        .select("doc_id", "text", F.col("lost.start").alias("starts"), F.col("lost.windows").alias("sizes"))
+    met = pressed(rows).join(lost, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key").eqNullSafe(F.col("at_key"))), "left") \
+        .select("doc_id", "pressed", F.col("lost.start").alias("starts"), F.col("lost.windows").alias("sizes"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
             for text, starts, sizes in zip(*(b.column(i).to_pylist() for i in (1, 2, 3))):
-                words = (text or "").encode().split()
+                words = whole(text).split()
                 n = len(words)
                 if starts:
                     edge = np.zeros(n + 1, np.int64)
