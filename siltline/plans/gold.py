@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup
 from ..operators.series import date_spine
 from ..sources.staging import staged
+from ..streaming.upkeep import Metric
 
 
 def _average_value() -> Column:
@@ -51,10 +52,7 @@ def customer_metrics(transactions: DataFrame, customers: DataFrame) -> DataFrame
         F.sum("net_amount").alias("total_spent"),
         _average_value().alias("avg_order_value"),
     )
-    names = ["full_name", "country", "city", "customer_segment"]
-    return totals.join(customers.select("customer_id", *names), "customer_id", "left").select(
-        "customer_id", *names, *totals.columns[1:]
-    )
+    return with_customer(totals, customers)
 
 
 def product_performance(transactions: DataFrame, products: DataFrame) -> DataFrame:
@@ -64,10 +62,7 @@ def product_performance(transactions: DataFrame, products: DataFrame) -> DataFra
         F.count("*").alias("total_transactions"),
         F.sum("net_amount").alias("total_revenue"),
     )
-    names = ["product_name", "category", "brand", "color", "unit_price"]
-    return totals.join(products.select("product_id", *names), "product_id", "left").select(
-        "product_id", *names, *totals.columns[1:]
-    )
+    return with_product(totals, products)
 
 
 def fact_transactions(
@@ -78,17 +73,65 @@ def fact_transactions(
     ``transactions`` has one row per key and the dimensions have one row per theirs, so the result
     has one row per transaction without another pass.
     """
-    with_customer = lookup(
+    located = lookup(
         transactions.where("transaction_id IS NOT NULL"),
         customers.select("customer_id", F.col("full_name").alias("customer_name"), "country", "city"),
         "customer_id",
     )
-    with_product = lookup(
-        with_customer, products.select("product_id", "product_name", "category", "brand"),
+    named = lookup(
+        located, products.select("product_id", "product_name", "category", "brand"),
         "product_id", keys_of=transactions,
     )
-    return with_product.select(
+    return named.select(
         "transaction_id", "transaction_date", "customer_id", "customer_name", "country", "city",
         "product_id", "product_name", "category", "brand", "quantity", "amount", "net_amount",
         "status",
     )
+
+
+# The metric tables as totals that can be kept by deltas, and how they are read.
+REVENUE = "CAST(total_revenue AS DECIMAL(20,2))"
+DAILY = Metric(
+    {"metric_date": "to_date(transaction_date)"},
+    {"total_revenue": "net_amount", "total_quantity": "quantity",
+     "cancelled": "CASE WHEN upper(status) = 'CANCELLED' THEN 1 END",
+     "pending": "CASE WHEN upper(status) = 'PENDING' THEN 1 END"},
+)
+DAILY_COLUMNS = {
+    "metric_date": "metric_date", "total_transactions": "n_rows", "total_revenue": REVENUE,
+    "total_quantity": "total_quantity", "cancelled_count": "coalesce(cancelled, 0L)",
+    "pending_count": "coalesce(pending, 0L)", "avg_order_value": f"round(try_divide({REVENUE}, n_rows), 2)",
+}
+SPENT = "CAST(total_spent AS DECIMAL(20,2))"
+CUSTOMER = Metric(
+    {"customer_id": "customer_id"}, {"total_spent": "net_amount"},
+    {"first_purchase_date": "transaction_date"}, {"last_purchase_date": "transaction_date"},
+)
+CUSTOMER_COLUMNS = {
+    "customer_id": "customer_id", "first_purchase_date": "first_purchase_date",
+    "last_purchase_date": "last_purchase_date", "total_orders": "n_rows", "total_spent": SPENT,
+    "avg_order_value": f"round(try_divide({SPENT}, n_rows), 2)",
+}
+PRODUCT = Metric(
+    {"product_id": "product_id"}, {"total_quantity_sold": "quantity", "total_revenue": "net_amount"}
+)
+PRODUCT_COLUMNS = {
+    "product_id": "product_id", "total_quantity_sold": "total_quantity_sold",
+    "total_transactions": "n_rows", "total_revenue": REVENUE,
+}
+
+
+def with_customer(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """Totals per customer with the customer's names, as :func:`customer_metrics` has them."""
+    names = ["full_name", "country", "city", "customer_segment"]
+    return totals.join(customers.select("customer_id", *names), "customer_id", "left").select(
+        "customer_id", *names, *totals.columns[1:]
+    )
+
+
+def with_product(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals per product with the product's names, as :func:`product_performance` has them."""
+    names = ["product_name", "category", "brand", "color", "unit_price"]
+    return totals.join(products.select("product_id", *names), "product_id", "left").select(
+        "product_id", *names, *totals.columns[1:]
+    )

@@ -11,11 +11,12 @@ from .. import quality as dq
 from ..operators.changes import ChangeFeed
 from ..sources.databases import ingest_tables
 from ..sources.files import layer_path
+from ..sources.keyed_table import KeyedTable
 from ..sources.layer_table import LayerTable
 from ..streaming.bronze import append_log, log_frame, read_log
-from ..streaming.gold import merge_fact, refresh_metrics
 from ..streaming.merge import SilverMerge, merge_log
 from ..streaming.runs import finish
+from ..streaming.upkeep import Dimension, KeptMetric, maintain_fact, sync
 from . import gold, silver
 from .feeds import GOLD_SCHEMA, NET_AMOUNT, SILVER_SCHEMA, TRANSACTION_DAY, TRANSACTION_KEYS, TRANSACTION_RULES
 
@@ -81,6 +82,7 @@ class StreamLayout:
     schema: str = "sales"
     name: str = "transactions"
     slot: str = TRANSACTION_DAY
+    buckets: int = 4
 
     def table(self, layer: str, name: str | None = None) -> str:
         return layer_path(self.root, layer, self.schema, name or self.name)
@@ -94,7 +96,9 @@ def silver_merge(
 ) -> SilverMerge:
     names = [part.split()[0] for part in SILVER_SCHEMA.split(", ")]
     return SilverMerge(
-        table=LayerTable(spark, layout.table("silver"), SILVER_SCHEMA, layout.slot),
+        table=KeyedTable(
+            spark, layout.table("silver"), SILVER_SCHEMA, TRANSACTION_KEYS, layout.slot, layout.buckets
+        ),
         keys=TRANSACTION_KEYS,
         sequence=sequence,
         columns={n: n for n in names if n != "net_amount"} | {"net_amount": NET_AMOUNT},
@@ -113,14 +117,14 @@ def run_streams(
     products: DataFrame,
     seconds: float | None = None,
     max_files_per_trigger: int | None = None,
-    changed_only: bool = False,
+    propagate_deletes: bool = False,
     **merge_options,
-) -> dict[str, LayerTable]:
+) -> dict[str, KeyedTable | KeptMetric]:
     """Work off a stream of change events: log, cleaned transactions, fact, daily metrics.
 
-    Each layer handles what is there and ends; a further call goes on from the checkpoints. The fact
-    is built from all transactions, since its dimensions may have changed; ``changed_only`` builds
-    it for the slots with changed transactions.
+    Each layer handles what is there and ends; a further call goes on from the checkpoints.
+    ``customers`` and ``products`` are what they are now: the rows that differ from the last call are
+    merged into tables of the job. Fact and metrics are kept by the changes of all these tables.
     """
     finish(append_log(events, feed, layout.table("bronze"), layout.checkpoint("bronze")), seconds)
     merge = silver_merge(spark, layout, list(feed.sequence), **merge_options)
@@ -128,15 +132,25 @@ def run_streams(
         spark, layout.table("bronze"), log_frame(events, feed).schema, max_files_per_trigger
     )
     finish(merge_log(log, merge, layout.checkpoint("silver")), seconds)
-    fact = LayerTable(spark, layout.table("gold"), GOLD_SCHEMA, layout.slot)
-    merge_fact(
-        merge.table, fact, lambda rows: gold.fact_transactions(rows, customers, products),
-        changed_only=changed_only,
+    dimensions = []
+    for name, rows, key, columns in (
+        ("customers", customers, "customer_id", ["full_name", "country", "city"]),
+        ("products", products, "product_id", ["product_name", "category", "brand"]),
+    ):
+        rows = rows.select(key, *columns)
+        table = KeyedTable(spark, layout.table("dimensions", name), rows.schema, [key], buckets=layout.buckets)
+        sync(table, rows)
+        dimensions.append(Dimension(table, key, columns))
+    fact = KeyedTable(
+        spark, layout.table("gold"), GOLD_SCHEMA, TRANSACTION_KEYS, layout.slot, layout.buckets
+    )
+    maintain_fact(
+        merge.table, fact, dimensions,
+        lambda rows: gold.fact_transactions(rows, *[d.table.read() for d in dimensions]),
+        propagate_deletes,
     )
-    daily = LayerTable(
-        spark, layout.table("gold", "daily_summary"),
-        gold.daily_summary(merge.table.read()).schema,
-        layout.slot.replace(TRANSACTION_DAY, "metric_date"),
+    daily = KeptMetric(
+        merge.table, layout.table("gold", "daily_summary"), gold.DAILY, gold.DAILY_COLUMNS, layout.buckets
     )
-    refresh_metrics(merge.table, daily, gold.daily_summary)
+    daily.refresh()
     return {"silver": merge.table, "gold": fact, "daily_summary": daily}

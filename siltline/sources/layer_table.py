@@ -60,8 +60,10 @@ class LayerTable:
         return self._listing(self.version() if version is None else version)["slots"]
 
     def changed_slots(self, since: int) -> list[str]:
-        """Slots whose rows differ between version ``since`` and now."""
-        old, new = self.slots(since), self.slots()
+        """Slots whose rows differ between version ``since`` and now: all, if that version's listing
+        has expired."""
+        known = since == 0 or matching_paths(self.spark, self._listing_path(since))
+        old, new = self.slots(since) if known else {}, self.slots()
         return sorted(s for s in old.keys() | new.keys() if old.get(s) != new.get(s))
 
     def last_batch(self, writer: str) -> int:

@@ -14,13 +14,14 @@ from ..operators.changes import (
     merge_in_sequence, parse_events, passing_changes, quarantined,
 )
 from ..operators.joins import is_small
+from ..sources.keyed_table import KeyedTable
 from ..sources.layer_table import LayerTable
 from ..sources.staging import staged
 from .runs import start
 
 
 def merge_into(
-    table: LayerTable, changes: DataFrame, keys: Sequence[str],
+    table: LayerTable | KeyedTable, changes: DataFrame, keys: Sequence[str],
     batch: tuple[str, int] | None = None, sequence: Sequence[str] = (), written: bool = False,
 ) -> int:
     """Apply changes (one per key, with ``is_delete``) to a table; its new version.
@@ -28,8 +29,11 @@ def merge_into(
     Only slots that hold an old or a new row of a changed key are rewritten. The changes are
     written once, since they are counted, joined and added, unless they are ``written`` files
     already. With ``sequence`` a change older than
-    the table's row has no effect; the table then keeps those columns and ``is_delete``.
+    the table's row has no effect; the table then keeps those columns and ``is_delete``. A keyed
+    table merges by its own partitions.
     """
+    if isinstance(table, KeyedTable):
+        return table.merge(changes, {batch[0]: batch[1]} if batch else None, sequence, written)
     if not written:
         changes = staged(changes, "changes")
     key = keys[0]
@@ -80,7 +84,7 @@ class SilverMerge:
     skipped, so a restarted stream may deliver it again; a new checkpoint is a new query.
     """
 
-    table: LayerTable
+    table: LayerTable | KeyedTable
     keys: Sequence[str]
     sequence: Sequence[str]
     columns: Mapping[str, str]

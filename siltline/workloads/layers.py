@@ -11,11 +11,13 @@ from ..plans import gold, silver
 from ..plans.feeds import GOLD_SCHEMA, SILVER_SCHEMA, TRANSACTION_FEED, TRANSACTION_KEYS
 from ..plans.medallion import StreamLayout, run_batch, run_streams
 from ..sources.files import read_seed, read_table
+from ..sources.keyed_table import KeyedTable
 from ..sources.layer_table import LayerTable
 from ..sources.staging import new_folder, staged
 from ..sources.topics import read_event_files
 from ..streaming.gold import merge_fact, refresh_metrics
 from ..streaming.merge import merge_into
+from ..streaming.upkeep import Dimension, KeptMetric, Metric, maintain_fact, sync
 from . import Workload
 from .tables import (
     CUSTOMERS_SQL, LATEST_SQL, PRODUCTS_SQL, SILVER_SQL, TRANSACTION_ORDER,
@@ -251,10 +253,101 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
     merge_fact(table, held, build)
     _add_the_rest(transactions, table)
+    table.expire(1, 0)  # the listing that the fact was made from is gone: all slots count as changed
     merge_fact(table, held, build, changed_only=True)
     return held.read()
 
 
+def _changing(spark: SparkSession, folder: str, root: str) -> tuple[KeyedTable, DataFrame]:
+    """A keyed table of transactions that is wrong in many rows, and the changes that mend it: rows
+    of later years are missing, some amounts and dates are others, and some rows must go."""
+    true = staged(silver_transactions(spark, folder), "transactions")
+    table = KeyedTable(
+        spark, f"{root}/silver", SILVER_SCHEMA, TRANSACTION_KEYS, "date_trunc('YEAR', transaction_date)", 4
+    )
+    key = F.col("transaction_id")
+    early = true.where("year(transaction_date) < 1998").withColumns({
+        "net_amount": F.when(key % 7 == 0, F.col("net_amount") + 1000).otherwise(F.col("net_amount")),
+        "transaction_date": F.when(key % 11 == 0, F.col("transaction_date") - F.expr("INTERVAL 900 DAYS"))
+        .when(key % 13 == 0, F.col("transaction_date") + F.expr("INTERVAL 3000 DAYS")).otherwise(F.col("transaction_date")),
+    })
+    extra = true.where(key % 17 == 0).withColumns({
+        "transaction_id": -key, "transaction_date": F.col("transaction_date") - F.expr("INTERVAL 4000 DAYS")})
+    table.replace(early.unionByName(extra))
+    changed = "transaction_id % 7 = 0 OR transaction_id % 11 = 0 OR transaction_id % 13 = 0 " \
+              "OR transaction_date IS NULL OR year(transaction_date) >= 1998"
+    mended = true.where(changed).withColumn("is_delete", F.lit(False))
+    return table, mended.unionByName(extra.withColumn("is_delete", F.lit(True)))
+
+
+def _kept(spark: SparkSession, folder: str, metric: Metric, columns: dict[str, str]) -> DataFrame:
+    """A metric computed once, then kept through a merge by its signed rows."""
+    root = new_folder(spark, "kept")
+    table, changes = _changing(spark, folder, root)
+    kept = KeptMetric(table, f"{root}/metric", metric, columns, buckets=4)
+    kept.refresh()
+    table.merge(changes)
+    kept.refresh()
+    return kept.read()
+
+
+@work.add("keyed_table_merge", f"""
+WITH {SILVER_SQL}
+SELECT {TXN_COLUMNS}, CAST(net_amount AS DOUBLE) AS net_amount FROM silver""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions in partitions by year and key bucket, mended by one merge."""
+    table, changes = _changing(spark, folder, new_folder(spark, "merge"))
+    table.merge(changes)
+    return table.read()
+
+
+@work.add("gold_daily_by_deltas", DAILY_RESULT_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _kept(spark, folder, gold.DAILY, gold.DAILY_COLUMNS)
+
+
+@work.add("gold_customers_by_deltas", CUSTOMER_METRICS_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """First and last purchases are computed anew only where a removed row held them."""
+    return gold.with_customer(_kept(spark, folder, gold.CUSTOMER, gold.CUSTOMER_COLUMNS), silver_customers(spark, folder))
+
+
+@work.add("gold_products_by_deltas", PRODUCT_PERFORMANCE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return gold.with_product(_kept(spark, folder, gold.PRODUCT, gold.PRODUCT_COLUMNS), silver_products(spark, folder))
+
+
+@work.add("gold_fact_by_deltas", f"WITH {FACT_SQL} SELECT * FROM fact")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of wrong transactions and earlier names, then kept through changes of all sides."""
+    root = new_folder(spark, "deltas")
+    table, changes = _changing(spark, folder, root)
+    dimensions, now = [], []
+    for name, rows, key, columns in (
+        ("customers", silver_customers(spark, folder), "customer_id", ["full_name", "country", "city"]),
+        ("products", silver_products(spark, folder), "product_id", ["product_name", "category", "brand"]),
+    ):
+        rows = staged(rows.select(key, *columns), name)
+        held = KeyedTable(spark, f"{root}/{name}", rows.schema, [key], buckets=4)
+        earlier = F.when(F.col(key) % 50 == 0, F.lit("earlier")).otherwise(F.col(columns[0]))
+        sync(held, rows.withColumn(columns[0], earlier).where(F.col(key) % 50 != 1))
+        dimensions.append(Dimension(held, key, columns))
+        now.append(rows)
+    wide = KeyedTable(
+        spark, f"{root}/fact", GOLD_SCHEMA, TRANSACTION_KEYS, "date_trunc('YEAR', transaction_date)", 4
+    )
+
+    def build(rows: DataFrame) -> DataFrame:
+        return gold.fact_transactions(rows, *[d.table.read() for d in dimensions])
+
+    maintain_fact(table, wide, dimensions, build, propagate_deletes=True)
+    table.merge(changes)
+    for dimension, rows in zip(dimensions, now):
+        sync(dimension.table, rows)
+    maintain_fact(table, wide, dimensions, build, propagate_deletes=True)
+    return wide.read()
+
+
 @work.add("layer_table_rewrites", """
 SELECT year(o_orderdate)::BIGINT AS y, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS n,
        count(*) FILTER (WHERE o_orderstatus = 'F') AS finished

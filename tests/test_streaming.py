@@ -177,7 +177,7 @@ def test_new_checkpoint_is_a_new_query(spark, tmp_path):
     version = merge.table.version()
     finish(merge_events(read_event_files(spark, str(landing)), FEED, merge, str(tmp_path / "cp2")))
     assert merge.table.version() == version
-    assert len(merge.table._listing(version)["batches"]) == 2
+    assert len(merge.table.marks()) == 2
 
 
 def test_bounded_run_goes_on_later(spark, tmp_path):
