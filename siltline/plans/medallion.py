@@ -15,7 +15,7 @@ from ..sources.keyed_table import KeyedTable
 from ..sources.layer_table import LayerTable
 from ..streaming.bronze import append_log, log_frame, read_log
 from ..streaming.merge import SilverMerge, merge_log
-from ..streaming.runs import finish
+from ..streaming.runs import RunWatch, finish
 from ..streaming.upkeep import Dimension, KeptMetric, maintain_fact, sync
 from . import gold, silver
 from .feeds import GOLD_SCHEMA, NET_AMOUNT, SILVER_SCHEMA, TRANSACTION_DAY, TRANSACTION_KEYS, TRANSACTION_RULES
@@ -118,6 +118,8 @@ def run_streams(
     seconds: float | None = None,
     max_files_per_trigger: int | None = None,
     propagate_deletes: bool = False,
+    watch: RunWatch | None = None,
+    once_within: str | None = None,
     **merge_options,
 ) -> dict[str, KeyedTable | KeptMetric]:
     """Work off a stream of change events: log, cleaned transactions, fact, daily metrics.
@@ -125,8 +127,13 @@ def run_streams(
     Each layer handles what is there and ends; a further call goes on from the checkpoints.
     ``customers`` and ``products`` are what they are now: the rows that differ from the last call are
     merged into tables of the job. Fact and metrics are kept by the changes of all these tables.
+    ``watch`` counts the events and can fail the run before anything is merged; ``once_within`` leaves
+    out events that the source sends again.
     """
-    finish(append_log(events, feed, layout.table("bronze"), layout.checkpoint("bronze")), seconds)
+    bronze = append_log(
+        events, feed, layout.table("bronze"), layout.checkpoint("bronze"), once_within=once_within
+    )
+    finish(bronze, seconds, watch)
     merge = silver_merge(spark, layout, list(feed.sequence), **merge_options)
     log = read_log(
         spark, layout.table("bronze"), log_frame(events, feed).schema, max_files_per_trigger

@@ -10,7 +10,7 @@ from ..operators.changes import (
     quarantined, rejected_events, replay,
 )
 from ..sources.files import read_table
-from ..sources.layer_table import LayerTable
+from ..sources.keyed_table import KeyedTable
 from ..sources.staging import new_folder, staged
 from ..sources.topics import read_event_files
 from ..streaming.bronze import append_log, log_frame, read_log
@@ -178,8 +178,6 @@ def _landed(spark: SparkSession, folder: str, files: int = 4) -> str:
 
 
 GUARDED = STATE_SCHEMA + ", _seq_time BIGINT, _seq_id BIGINT, is_delete BOOLEAN"
-# Marks of deletes have no date of their own, so rows are filed by the time of their change.
-GUARDED_SLOT = "date_trunc('WEEK', timestamp_micros(_seq_time))"
 
 
 @work.add("cdc_stream_log", f"""
@@ -193,13 +191,26 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/log").select(*STATE, "_op", "_seq_id")
 
 
+@work.add("cdc_stream_once", f"""
+WITH {LOG_SQL}
+SELECT user_id, kind, CAST(amount AS DOUBLE) AS amount, happened_at, _op, _seq_id FROM log""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that the source sends a second time, in other files and after a restart."""
+    root, landing = new_folder(spark, "once"), _landed(spark, folder)
+    for _ in range(2):
+        events = read_event_files(spark, landing, max_files_per_trigger=2)
+        finish(append_log(events, USER_FEED, f"{root}/log", f"{root}/checkpoint", once_within="1 day"))
+        user_events(spark, folder).repartition(3).write.mode("append").text(landing)
+    return spark.read.parquet(f"{root}/log").select(*STATE, "_op", "_seq_id")
+
+
 @work.add("cdc_stream_silver", CURRENT_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Events to log to table, both as streams of several batches in whatever order."""
     root = new_folder(spark, "silver")
     events = read_event_files(spark, _landed(spark, folder), max_files_per_trigger=2)
     finish(append_log(events, USER_FEED, f"{root}/log", f"{root}/checkpoint/log"))
-    table = LayerTable(spark, f"{root}/table", GUARDED, GUARDED_SLOT)
+    table = KeyedTable(spark, f"{root}/table", GUARDED, ["user_id"], buckets=8)
     merge = SilverMerge(
         table, ["user_id"], USER_SEQUENCE, {c: c for c in STATE}, guard=True,
     )
@@ -213,7 +224,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """Events merged into the table without a log, three files per batch."""
     root = new_folder(spark, "direct")
     events = read_event_files(spark, _landed(spark, folder), max_files_per_trigger=3)
-    table = LayerTable(spark, f"{root}/table", GUARDED, GUARDED_SLOT)
+    table = KeyedTable(spark, f"{root}/table", GUARDED, ["user_id"], buckets=8)
     merge = SilverMerge(
         table, ["user_id"], USER_SEQUENCE, {c: c for c in STATE}, guard=True, writer="direct",
     )

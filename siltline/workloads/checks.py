@@ -141,6 +141,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return dq.equality(raw, latest, columns=["transaction_id", "customer_id", "status"]).frame
 
 
+@work.add("dq_equality_by_buckets", """
+WITH a AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_returnflag FROM lineitem),
+b AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_orderkey % 1000 = 7 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+        CASE WHEN l_orderkey % 1500 = 11 THEN NULL ELSE l_returnflag END AS l_returnflag
+      FROM lineitem WHERE l_orderkey % 2000 <> 13)
+SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT 'b_minus_a' AS which_diff, * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Nearly equal tables: only rows of differing buckets are shuffled."""
+    a = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    key = F.col("l_orderkey")
+    b = a.where(key % 2000 != 13).withColumns({
+        "l_quantity": F.when(key % 1000 == 7, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")),
+        "l_returnflag": F.when(key % 1500 != 11, F.col("l_returnflag")),
+    })
+    return dq.equality(a, b, buckets=4096).frame
+
+
 @work.add("dq_equality_precision", """
 WITH a AS (SELECT l_orderkey, round(l_extendedprice, 2) AS price FROM lineitem),
 b AS (SELECT l_orderkey,

@@ -80,8 +80,9 @@ def test_sequences(spark, path):
     assert got == want
 
 
+@pytest.mark.parametrize("buckets", [None, 1, 5, 1000])
 @pytest.mark.parametrize("multiset", [False, True])
-def test_equality(spark, multiset):
+def test_equality(spark, multiset, buckets):
     rng = random.Random(4)
 
     def side():
@@ -90,7 +91,7 @@ def test_equality(spark, multiset):
     a, b = side(), side()
     schema = "k INT, s STRING"
     rule = dq.equality(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema),
-                       multiset=multiset)
+                       multiset=multiset, buckets=buckets)
     ca, cb = Counter(a), Counter(b)
     want = {
         (("a_minus_b" if ca[r] > cb[r] else "b_minus_a"), *r) for r in ca | cb

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltline import quality as dq
+from siltline.quality.tables import _in_differing_buckets
 from siltline.operators import shape
 from siltline.operators.changes import merge_changes, parse_events
 from siltline.plans import gold
@@ -39,6 +40,27 @@ def test_equality_scans_each_side_once(items):
     assert out.count("FileScan") == 2 and out.count("Exchange") == 1 and "Join" not in out
 
 
+def test_equality_by_buckets_shuffles_differing_rows_only(items):
+    """Of equal tables a row per bucket, whatever their order; of others the rows that may differ."""
+    a = items.select("l_orderkey", "l_linenumber", "l_quantity")
+    turned = a.orderBy(F.rand(1))
+
+    def shuffled(b):
+        """Rows that pass the semi join and go to the grouping."""
+        frame = dq.equality(a, b, buckets=256).frame
+        frame.collect()
+        plan_text = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan_text.count("BroadcastHashJoin") >= 1 and "SortMergeJoin" not in plan_text
+        return frame.count()
+
+    assert shuffled(turned) == 0
+    changed = a.withColumn("l_quantity", F.when((F.col("l_orderkey") == 7) & (F.col("l_linenumber") == 1), F.lit(-1.0)).otherwise(F.col("l_quantity")))
+    assert shuffled(changed) == 2
+    both = a.withColumns({"_a": F.lit(1), "_b": F.lit(0)}).union(changed.withColumns({"_a": F.lit(0), "_b": F.lit(1)}))
+    left = _in_differing_buckets(both, a.columns, 256).count()
+    assert 2 <= left < both.count() / 50
+
+
 def test_filters_and_columns_reach_the_scan(items):
     rule = dq.accepted_range("l_quantity", 1, 50, where="l_returnflag = 'R'")
     out = plan(dq.violations(items, rule).select("l_orderkey"))

@@ -15,7 +15,7 @@ from siltline.sources.topics import read_event_files
 from siltline.streaming.bronze import append_log
 from siltline.streaming.gold import merge_fact
 from siltline.streaming.merge import SilverMerge, merge_events, merge_into
-from siltline.streaming.runs import finish, start
+from siltline.streaming.runs import RunWatch, TooManyRejected, finish, start
 
 from .test_changes import event
 
@@ -273,3 +273,62 @@ def test_fact_merge_modes(spark, tmp_path, empty_dimensions):
     assert amounts(fact) == {1: 11, 2: 20, 3: 30}
     merge_fact(source, fact, build, propagate_deletes=True)
     assert amounts(fact) == {1: 11, 3: 30}
+
+
+def test_events_sent_again_are_logged_once(spark, tmp_path):
+    """Repeated in the same file, in another one, and after a restart."""
+    landing, texts = tmp_path / "in", some_events(30)
+    land(landing, "a.json", [*texts[:20], *texts[5:10]])
+    land(landing, "b.json", texts[10:25])
+
+    def run():
+        events = read_event_files(spark, str(landing), max_files_per_trigger=1)
+        finish(append_log(events, FEED, str(tmp_path / "log"), str(tmp_path / "cp"), once_within="1 hour"))
+        log = spark.read.parquet(str(tmp_path / "log"))
+        return log.count(), log.select("transaction_id", "_op", "_seq").distinct().count()
+
+    assert run() == (25, 25)
+    land(landing, "c.json", texts[15:])
+    assert run() == (30, 30)
+    with pytest.raises(ValueError):
+        unordered = ChangeFeed(FEED.row, FEED.keys, FEED.upsert, FEED.delete)
+        append_log(read_event_files(spark, str(landing)), unordered, "x", "y", once_within="1 hour")
+
+
+def test_watched_run_counts_and_fails(spark, tmp_path):
+    landing = tmp_path / "in"
+    land(landing, "a.json", [*some_events(8), "{broken", "no event"])
+
+    def log(name):
+        return append_log(read_event_files(spark, str(landing)), FEED, str(tmp_path / name), str(tmp_path / f"cp-{name}"))
+
+    watch = RunWatch(most_rejected=0.5)
+    finish(log("a"), watch=watch)
+    assert (watch.seen, watch.rejected) == (10, 2) and watch.batches >= 1
+    with pytest.raises(TooManyRejected, match="2 of 10"):
+        finish(log("b"), watch=RunWatch(most_rejected=0.1))
+    finish(log("c"), watch=RunWatch(most_rejected=0.1, from_events=11))
+
+
+def test_watched_run_ends_between_batches(spark, tmp_path):
+    """Batches that were begun are done; the rest is for the next run."""
+    landing, seen = tmp_path / "in", []
+    for i in range(6):
+        land(landing, f"{i}.json", some_events(5, seed=i))
+
+    def query():
+        events = read_event_files(spark, str(landing), max_files_per_trigger=1)
+
+        def slow(df, i):
+            import time
+            n = df.count()
+            time.sleep(2)
+            seen.append((i, n))
+        return start(events.writeStream.foreachBatch(slow), str(tmp_path / "cp"))
+
+    first = query()
+    finish(first, seconds=3, watch=RunWatch())
+    done = len(seen)
+    assert not first.isActive and 0 < done < 6
+    finish(query(), watch=RunWatch())
+    assert {i for i, _ in seen} == set(range(6)) and len(seen) <= 7  # at most the one that was cut short comes again
