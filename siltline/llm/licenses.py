@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from .columns import lowered, whole
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -127,7 +128,7 @@ def licenses(documents: DataFrame, templates: list[tuple[str, str, bool]] | None
     words and score 0. Repeated rows stay and get the same result, a NULL id stays, other columns
     are ignored.
     """
-    found = spans(votes(documents, TEMPLATES if templates is None else templates))
+    found = spans(staged(votes(documents, TEMPLATES if templates is None else templates), "votes"))
     told = found.groupBy(F.col("doc_id").alias("at"), F.col("key").alias("of")).agg(
         F.count(F.when(F.col("base"), 1)).alias("n_base"),
         F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),
