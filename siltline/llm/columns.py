@@ -66,6 +66,13 @@ def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, n: a + n)
 
 
+def carried(documents: DataFrame, *beside: Column, without: tuple[str, ...] = ()) -> DataFrame:
+    """The rows as one column ``_row``, so that no name of theirs meets one of ours, with the columns
+    ``beside`` it. ``select("_row.*")`` gives them back."""
+    kept = [F.col(f"`{c}`") for c in documents.columns if c not in without]
+    return documents.select(F.struct(*kept).alias("_row"), *beside)
+
+
 def sampled(frame: DataFrame, key: str, about: int) -> DataFrame:
     """All rows, or ``about`` so many of them: those whose hash of ``key`` is below the share that
     this is. Needs one count and no sort."""

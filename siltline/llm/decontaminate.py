@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_small
 from ..sources.staging import staged
-from .columns import whole
+from .columns import carried, whole
 
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"  # private characters mark what was replaced
 UNITS = ("km|cm|mm|kg|mg|ml|miles?|meters?|metres?|feet|foot|inch(?:es)?|pounds?|grams?|liters?|litres?|"
@@ -77,6 +78,40 @@ def _tokenised(frame: DataFrame, *columns: Column) -> DataFrame:
     return frame.select(*columns, canonical.alias("canonical"), kept.alias("kept"))
 
 
+def _templates(canonical: Column, size: int) -> Column:
+    """``size, plain`` for every run of ``size`` tokens: the hash of the template alone. Tokens are
+    hashed once each, then the runs of hashes."""
+    hashes = F.transform(canonical, lambda t: F.xxhash64(t))
+    starts = F.when(F.size(canonical) >= size, F.sequence(F.lit(1), F.size(canonical) - (size - 1)))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.struct(
+        F.lit(size).alias("size"), F.xxhash64(F.slice(hashes, i, size)).alias("plain")))
+
+
+def benchmark_items(benchmark: DataFrame, window: int) -> DataFrame:
+    """``item_id, canonical, kept, n_item, size`` of all different items, each also as it reads inside
+    a sentence, where a first word with a capital is a name."""
+    listed = benchmark.select("item_id", "text").distinct()
+    inside = _tokenised(listed.withColumn("text", F.concat(F.lit("x "), whole(F.col("text")))), F.col("item_id"))
+    inside = inside.withColumns({c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))) for c in ("canonical", "kept")})
+    return staged(_tokenised(listed, F.col("item_id")).union(inside).distinct()
+                  .filter(F.size("canonical") > 0)
+                  .withColumn("n_item", F.size("canonical"))
+                  .withColumn("size", F.least("n_item", F.lit(window))), "benchmark")
+
+
+def suspects(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """``at_id, at_key`` of the documents that hold a run of template tokens of an item, whatever the
+    slots: all windows of all documents are hashed and semi-joined with those of the items."""
+    asked = staged(reduce(DataFrame.union, [
+        items.filter(F.col("size") == size).select(F.inline(_templates(F.col("canonical"), size))) for size in sizes])
+        .select(F.col("size").alias("isize"), F.col("plain").alias("iplain")).distinct(), "templates")
+    texts = documents.select(F.col("doc_id").alias("at_id"), F.xxhash64("text").alias("at_key"), tokens(F.col("text")).alias("canonical"))
+    shown = texts.select("at_id", "at_key", F.inline(F.flatten(F.array(*[_templates(F.col("canonical"), s) for s in sizes]))))
+    met = shown.join(F.broadcast(asked) if is_small(asked) else asked,
+                     (F.col("plain") == F.col("iplain")) & (F.col("size") == F.col("isize")), "left_semi")
+    return staged(met.select("at_id", "at_key").distinct(), "suspects")
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
     """``item_id, n_item, size, ipos, hash, islots``; items shorter than a window are one window.
 
@@ -85,14 +120,12 @@ def benchmark_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
     count as empty, which have no windows; repeated rows of an item count once; items with a NULL id
     are kept under NULL.
     """
-    listed = benchmark.select("item_id", "text").distinct()
-    # inside a sentence of a document an item's first word reads as a name if it has a capital
-    inside = _tokenised(listed.withColumn("text", F.concat(F.lit("x "), whole(F.col("text")))), F.col("item_id"))
-    inside = inside.withColumns({c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))) for c in ("canonical", "kept")})
-    items = staged(_tokenised(listed, F.col("item_id")).union(inside).distinct()
-                   .filter(F.size("canonical") > 0)
-                   .withColumn("n_item", F.size("canonical"))
-                   .withColumn("size", F.least("n_item", F.lit(window))), "benchmark")
+    items = benchmark_items(benchmark, window)
+    return item_windows(items, window)
+
+
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """The same of :func:`benchmark_items`."""
     parts = [items.filter(F.col("size") == size).select(
         "item_id", "n_item", F.inline(_windows(F.col("canonical"), F.col("kept"), size)))
         for size in range(1, window + 1)]
@@ -104,7 +137,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
     """Documents that hold benchmark items, also with other numbers, units or names.
 
     Texts become templates: numbers, units and names are typed placeholders. All windows of
-    ``window`` template tokens of all documents are hash-joined with those of the items. Hits of a
+    ``window`` template tokens of all documents are hash-joined with those of the items; the slots of
+    the documents that meet one are then compared, window by window. Hits of a
     document and an item are grouped by their offset; a group counts if it covers ``min_tokens``
     tokens (or the whole of a shorter item) and its slots are consistent: a value of the item
     always stands for the same value of the document, and the other way round.
@@ -114,13 +148,18 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
     Rows repeated with id and text give one row. A NULL id stays NULL; NULL and empty texts and
     texts shorter than a window have no hits beyond short items. Other columns are ignored.
     """
-    items = staged(benchmark_windows(benchmark, window), "benchmark-windows")
+    listed = benchmark_items(benchmark, window)
+    items = staged(item_windows(listed, window), "benchmark-windows")
     size = items.agg(F.count("*"), F.sum(F.coalesce(F.length(F.concat_ws("", "islots")), F.lit(0)))).first()
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # window at most
     if not sizes:
         sizes = [window]
     small = size[0] <= BROADCAST_ROWS and (size[1] or 0) <= BROADCAST_SLOTS
-    texts = _tokenised(documents, F.col("doc_id"), F.xxhash64("text").alias("key"))
+    met = suspects(documents, listed, sizes)
+    rows = documents.select("doc_id", "text").join(
+        F.broadcast(met) if is_small(met) else met,
+        F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.xxhash64("text") == F.col("at_key")), "left_semi")
+    texts = _tokenised(rows, F.col("doc_id"), F.xxhash64("text").alias("key"))
     shown = texts.select("doc_id", "key", F.inline(F.flatten(F.array(*[
         _windows(F.col("canonical"), F.col("kept"), s) for s in sizes]))))
     other = items.withColumnRenamed("size", "isize").withColumnRenamed("hash", "ihash")
@@ -144,3 +183,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
         F.forall(same, lambda p: p["theirs"] == p["ours"]).alias("exact"))).alias("best")) \
         .select("doc_id", "item_id", "best.n_tokens", (-F.col("best.minus") - 1).cast("long").alias("first_token"),
                 F.col("best.n_slots").cast("long").alias("n_slots"), "best.exact", "key")
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_tokens: int = 12) -> DataFrame:
+    """The documents that hold no benchmark item, as they are: all columns stay, whatever their
+    names. NULL and empty texts stay; of repeated rows all stay or all go. No documents, no rows."""
+    found = leaks(documents, benchmark, window=window, min_tokens=min_tokens)
+    leaked = staged(found.select(F.col("doc_id").alias("_at"), F.col("key").alias("_of")).distinct(), "leaks")
+    rows = carried(documents, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
+    return rows.join(leaked, F.col("_id").eqNullSafe(F.col("_at")) & (F.col("_key") == F.col("_of")), "left_anti").select("_row.*")

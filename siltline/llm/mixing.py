@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .columns import WORD, whole
+from .columns import WORD, carried, whole
 
 BINS = 10  # 2 ** BINS slices of a source's draws; one slice of a source is sorted in one task
 DRAW_BITS = 52
@@ -137,8 +139,12 @@ def mix(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float =
 def mixed(documents: DataFrame, weigh, *, max_epochs: float = 3.0, share: float = 1.0,
           seed: int = 0) -> DataFrame:
     """The documents that enter the mix, whole rows with ``size, source_size, target, repeats,
-    taken``; columns of these names are replaced."""
+    taken``; columns of these names are replaced, all others stay. No document enters more often
+    than ``max_epochs`` rounded up, empty ones included."""
     small = _sized(documents.select("doc_id", "source", "text"), seed).drop("text")
     recipe = plan(staged(small, "mix-sizes"), weigh, max_epochs=max_epochs, share=share)
-    named = documents.drop("source_size", "target", "repeats", "taken")
-    return dealt(_sized(named, seed), recipe).filter("repeats > 0").drop("draw")
+    added = ("size", "source_size", "target", "repeats", "taken")
+    rows = carried(documents, F.col("doc_id"), F.col("source"), F.col("text"), without=added)
+    limit = F.lit(math.ceil(max_epochs)).cast("long")
+    return dealt(_sized(rows, seed).drop("text"), recipe).withColumn("repeats", F.least("repeats", limit)) \
+        .filter("repeats > 0").select("_row.*", *added)

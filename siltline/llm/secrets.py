@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .columns import matches, sampled
+from .columns import carried, matches, sampled
 
 KEYWORDS = r"passwd|password|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
 LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']?[ \t]*+(?::=|=>?|:)[ \t]*+[\"']?"
@@ -155,21 +155,33 @@ def secrets(documents: DataFrame, labelled: DataFrame | None = None, threshold:
 
 def redact(documents: DataFrame, labelled: DataFrame | None = None, *, mark: str = "[secret]",
            threshold: float = 0.5) -> DataFrame:
-    """The documents with every secret replaced by ``mark`` and ``n_chars`` counted anew, where
-    there is such a column. Texts without proposals pass by unmoved; only the others are joined."""
+    """The documents with every secret replaced by ``mark`` where it was found, and ``n_chars``
+    counted anew, where there is such a column and the text has changed.
+
+    Findings that overlap get one mark. All rows and columns stay, whatever the names; NULL and empty
+    texts are as they were, rows repeated with id and text change alike. Texts without proposals,
+    however long, pass by unmoved; only the others are joined. No documents, no rows.
+    """
     found = secrets(documents, labelled, threshold)
-    lists = found.groupBy(F.col("doc_id").alias("at"), F.col("key").alias("of")) \
-        .agg(F.array_distinct(F.collect_list("value")).alias("values"))
-    suspect = F.coalesce(F.col("text").rlike(PROPOSALS), F.lit(False))
-    joined = documents.filter(suspect).join(
-        lists, F.col("doc_id").eqNullSafe(F.col("at")) & (F.xxhash64("text") == F.col("of")), "left")
-    longest_first = F.reverse(F.array_sort(F.transform(
-        F.coalesce("values", F.array().cast("array<string>")),
-        lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))))
-    clean = F.aggregate(longest_first, F.col("text"), lambda t, v: F.replace(t, v["v"], F.lit(mark)))
+    lists = found.groupBy(F.col("doc_id").alias("_at"), F.col("key").alias("_of")) \
+        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    text = F.col("text")
+    suspect = F.coalesce(text.rlike(PROPOSALS), F.lit(False))
+    rows = carried(documents.filter(suspect), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), text.alias("_text"))
+    joined = rows.join(lists, F.col("_id").eqNullSafe(F.col("_at")) & (F.col("_key") == F.col("_of")), "left")
+
+    def marked(done: Column, span: Column) -> Column:
+        fresh = span["start"] >= done["at"]  # else it overlaps the one before
+        between = F.substr(F.col("_text"), done["at"] + 1, F.greatest(span["start"] - done["at"], F.lit(0)))
+        return F.struct(F.greatest(done["at"], span["end"]).cast("int").alias("at"),
+                        F.when(fresh, F.concat(done["out"], between, F.lit(mark))).otherwise(done["out"]).alias("out"))
+
+    done = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), marked)
+    clean = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(
+        F.concat(done["out"], F.substr(F.col("_text"), done["at"] + 1, F.length("_text"))))
     changed = {"text": clean}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("values").isNull(), F.col("n_chars")).otherwise(F.length(clean)).cast(kind)
-    redacted = joined.withColumns(changed).select(*documents.columns)
+        changed["n_chars"] = F.when(F.col("_spans").isNull(), F.col("_row.n_chars")).otherwise(F.length(clean)).cast(kind)
+    redacted = joined.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in documents.columns])
     return documents.filter(~suspect).unionByName(redacted)

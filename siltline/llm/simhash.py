@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
+from .columns import carried
 from .components import components
 
 SEED = 42
@@ -43,16 +44,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id, key, fp``: key is a hash of the text, fp the fingerprint as a signed long."""
     kept = documents.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    out = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], "<u8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(found.view("<i8"))],
-                schema=out)
+                [batch.column(0), batch.column(1), pa.array(found.view("<i8"))], names=["doc_id", "key", "fp"])
 
-    return kept.mapInArrow(each, "doc_id long, key long, fp long")
+    return kept.mapInArrow(each, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, key long, fp long")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -135,7 +133,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, max_distance: int =
 
 def keep_one(documents: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest id
-    (NULLs last) stays, of repeated rows one."""
+    (NULLs last) stays, of repeated rows one. Whole texts of any length count; all columns stay,
+    whatever their names."""
     kept = staged(
         near_duplicates(documents, shingle, max_distance).groupBy("root").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("one"),
@@ -143,11 +142,11 @@ def keep_one(documents: DataFrame, shingle: int = 3, max_distance: int = 2) -> D
         ).select(F.col("one.doc_id").alias("kept_id"), F.col("one.key").alias("kept_key"), "n"),
         "kept")
 
-    def those(which: DataFrame) -> DataFrame:
-        return documents.join(which, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                              & (F.xxhash64("text") == F.col("kept_key")), "left_semi")
+    def those(which: DataFrame, *beside: Column) -> DataFrame:
+        rows = carried(documents, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), *beside)
+        return rows.join(which, F.col("_id").eqNullSafe(F.col("kept_id")) & (F.col("_key") == F.col("kept_key")), "left_semi")
 
     # only a component of several rows can hold a row twice
-    alone = those(kept.filter("n = 1"))
-    several = those(kept.filter("n > 1")).dropDuplicates(["doc_id", "text"])
+    alone = those(kept.filter("n = 1")).select("_row.*")
+    several = those(kept.filter("n > 1"), F.col("text").alias("_text")).dropDuplicates(["_id", "_text"]).select("_row.*")
     return alone.unionByName(several)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .columns import fold, sampled
+from .columns import carried, fold, sampled
 
 WORD = re.compile(r"[^\W_]+")
 SHORT = 30  # words up to this length are hashed together, so many at a time:
@@ -265,7 +265,11 @@ def toxicity(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.5,
 
 def without_toxic(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.5,
                   settings: Settings = Settings()) -> DataFrame:
-    """The documents that are not rejected, as they are."""
+    """The documents that are not rejected, as they are: all columns stay, whatever their names.
+
+    NULL and empty texts score like texts without subwords, long ones by all of their words; of
+    repeated rows all stay or all go. No documents, no rows.
+    """
     model = fit(documents, labels, settings=settings)
-    return documents.withColumn("_score", score(F.col("text"), model, settings)) \
-        .filter(F.col("_score") < threshold).drop("_score")
+    return carried(documents, score(F.col("text"), model, settings).alias("_score")) \
+        .filter(F.col("_score") < threshold).select("_row.*")
