@@ -7,7 +7,6 @@ returns documents; the last returns the mix.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from siltline.llm import decontaminate, mixing, secrets, simhash, toxicity
 from siltline.llm.workload import weights_in_turn
@@ -26,10 +25,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = staged(found.select(F.col("doc_id").alias("at"), F.col("key").alias("of")).distinct(), "leaks")
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("at"))
-                     & (F.xxhash64("text") == F.col("of")), "left_anti")
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
