@@ -78,11 +78,14 @@ def _tokenised(frame: DataFrame, *columns: Column) -> DataFrame:
     return frame.select(*columns, canonical.alias("canonical"), kept.alias("kept"))
 
 
-def _templates(canonical: Column, size: int) -> Column:
-    """``size, plain`` for every run of ``size`` tokens: the hash of the template alone. Tokens are
-    hashed once each, then the runs of hashes."""
-    hashes = F.transform(canonical, lambda t: F.xxhash64(t))
-    starts = F.when(F.size(canonical) >= size, F.sequence(F.lit(1), F.size(canonical) - (size - 1)))
+def _hashes(canonical: Column) -> Column:
+    """Every token's hash. To be a column of its own before :func:`_templates` cuts it into runs."""
+    return F.transform(canonical, lambda t: F.xxhash64(t))
+
+
+def _templates(hashes: Column, size: int) -> Column:
+    """``size, plain`` for every run of ``size`` tokens: the hash of the template alone."""
+    starts = F.when(F.size(hashes) >= size, F.sequence(F.lit(1), F.size(hashes) - (size - 1)))
     return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.struct(
         F.lit(size).alias("size"), F.xxhash64(F.slice(hashes, i, size)).alias("plain")))
 
@@ -103,10 +106,11 @@ def suspects(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFr
     """``at_id, at_key`` of the documents that hold a run of template tokens of an item, whatever the
     slots: all windows of all documents are hashed and semi-joined with those of the items."""
     asked = staged(reduce(DataFrame.union, [
-        items.filter(F.col("size") == size).select(F.inline(_templates(F.col("canonical"), size))) for size in sizes])
+        items.filter(F.col("size") == size).select(_hashes(F.col("canonical")).alias("hashes"))
+        .select(F.inline(_templates(F.col("hashes"), size))) for size in sizes])
         .select(F.col("size").alias("isize"), F.col("plain").alias("iplain")).distinct(), "templates")
-    texts = documents.select(F.col("doc_id").alias("at_id"), F.xxhash64("text").alias("at_key"), tokens(F.col("text")).alias("canonical"))
-    shown = texts.select("at_id", "at_key", F.inline(F.flatten(F.array(*[_templates(F.col("canonical"), s) for s in sizes]))))
+    texts = documents.select(F.col("doc_id").alias("at_id"), F.xxhash64("text").alias("at_key"), _hashes(tokens(F.col("text"))).alias("hashes"))
+    shown = texts.select("at_id", "at_key", F.inline(F.flatten(F.array(*[_templates(F.col("hashes"), s) for s in sizes]))))
     met = shown.join(F.broadcast(asked) if is_small(asked) else asked,
                      (F.col("plain") == F.col("iplain")) & (F.col("size") == F.col("isize")), "left_semi")
     return staged(met.select("at_id", "at_key").distinct(), "suspects")
