@@ -1,43 +1,41 @@
-"""Language-model scores from a log-frequency Bloom filter of quantised n-gram counts."""
+"""Language-model scores from a log-frequency Bloom filter of quantised word n-gram counts."""
 
 from __future__ import annotations
 
-from collections import Counter
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 from .columns import fold
 
-ORDER = 5
-START, END = 257, 256  # codes beside the 256 bytes
-SHORT = 40  # tokens up to so many bytes are hashed as one matrix
-COUNT, TOTAL, KINDS, WHOLE = 1, 2, 3, 4  # what a key of the filter counts
-FLUSH = 300_000  # distinct tokens a task holds
-BUFFER = 4_000_000
-GROUP_BYTES = 16 << 20  # text of a group that is scored together
-FILTER_BYTES = 64 << 20  # a filter up to this size is broadcast, a larger one is split into blocks
-BLOCK_BYTES = 1 << 20
-PART_TOKENS = 20_000  # tokens whose keys are sent to the blocks together
+WORD_BITS = 63  # of a word's hash
+SPARE_BITS = 13  # bits of an n-gram's hash beyond those that number all bytes of the input
+CHUNK_BYTES = 8 << 20  # text that is scored together; one longer text is a chunk of its own
+BLOCK_KEYS = 2_000_000  # places of n-grams for each block of the filter
+STRIDE = 200_000  # words hashed at a time
+EDGE = 256  # the code beside the 256 bytes: before and after a word
+CODES = 257
 FACTOR, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+VALUE = np.where(BLANK, 0, np.random.default_rng(7).integers(1, 1 << 62, 256)).astype(np.uint64)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``base``: of the quantisation; ``hashes``: bits set for each level of a key."""
+    """``base``: of the quantisation; ``hashes``: bits set for each level of a key; ``prior``: places
+    of a context that the shorter context is worth (held-out texts of the given tables got likelier from
+    0.5 to 30)."""
 
     base: float = 1.5
     hashes: int = 4
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+    prior: float = 30.0
 
 
 def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
@@ -46,338 +44,379 @@ def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
     return h * FACTOR
 
 
-def ngrams(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order: the word's index, the n-gram's and its context's hash, for every byte and
-    the end of every word, in the order of the bytes."""
-    groups = [[i for i, w in enumerate(words) if len(w) <= SHORT], *([i] for i, w in enumerate(words) if len(w) > SHORT)]
-    for ids in groups:
-        if not ids:
-            continue
-        size = np.array([len(words[i]) for i in ids])
-        width = int(size.max())
-        codes = np.zeros((len(ids), width + ORDER), np.uint64)
-        codes[:, :ORDER - 1] = START
-        flat = b"".join(words[i].ljust(width, b"\0") for i in ids)
-        codes[:, ORDER - 1:-1] = np.frombuffer(flat, np.uint8).reshape(len(ids), width)
-        codes[np.arange(len(ids)), ORDER - 1 + size] = END
-        row, col = np.nonzero(np.arange(width + 1) <= size[:, None])
-        which = np.array(ids)[row]
-        for order in range(1, ORDER + 1):
-            context = np.full(len(row), order, np.uint64)
-            for back in range(order - 1, 0, -1):
-                context = context * FACTOR + codes[row, col + ORDER - 1 - back] + np.uint64(7)
-            yield order, which, _mixed(context * FACTOR + codes[row, col + ORDER - 1] + np.uint64(7), order), \
-                _mixed(context, 64 + order)
-
-
-def word_hash(words: list[bytes]) -> np.ndarray:
-    """A hash of each whole word."""
-    out = np.zeros(len(words), np.uint64)
-    for order, which, gram, _ in ngrams(words):
-        if order == ORDER:
-            # position-dependent sum over a word's longest n-grams
-            first = np.searchsorted(which, which) if len(which) > 1 and which[0] != which[-1] else 0
-            place = (np.arange(len(which)) - first + 1).astype(np.uint64)
-            np.add.at(out, which, _mixed(gram + place * SPREAD, 99))
+START, END = _mixed(np.array([1, 2], np.uint64), 77)
+
+
+def spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words. The data begins and ends with a blank."""
+    edges = np.flatnonzero(np.diff(BLANK[np.frombuffer(data, np.uint8)])) + 1
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial in its bytes, mixed."""
+    raw, out = np.frombuffer(data, np.uint8), np.empty(len(starts), np.uint64)
+    for low in range(0, len(starts), STRIDE):
+        s, e = starts[low:low + STRIDE], ends[low:low + STRIDE]
+        part, first = raw[s[0]:e[-1]], s - s[0]
+        reach = np.diff(np.append(first, len(part)))
+        place = np.arange(len(part)) - np.repeat(first, reach)  # blanks after a word have no value
+        powers = np.cumprod(np.full(int(reach.max()) + 1, FACTOR))
+        out[low:low + STRIDE] = np.add.reduceat(VALUE[part] * powers[place], first)
+    return _mixed(out, 11)
+
+
+def _steps(data: bytes) -> np.ndarray:
+    """For each byte but the last: its code and the next one's, as one number."""
+    raw = np.frombuffer(data, np.uint8)
+    code = np.where(BLANK[raw], EDGE, raw.astype(np.int64))
+    return code[:-1] * CODES + code[1:]
+
+
+def byte_pairs(data: bytes) -> np.ndarray:
+    """How often each code follows each in the words; blanks after blanks don't count."""
+    out = np.zeros(CODES * CODES, np.int64)
+    for low in range(0, len(data), 1 << 20):
+        out += np.bincount(_steps(data[low:low + (1 << 20) + 1]), minlength=len(out))
+    out[EDGE * CODES + EDGE] = 0
+    return out
+
+
+def spelling(pairs: np.ndarray) -> np.ndarray:
+    """log10 of the chance of each code after each, every one counted once more than seen."""
+    seen = pairs.reshape(CODES, CODES) + 1.0
+    return np.log10(seen / seen.sum(axis=1, keepdims=True)).ravel()
+
+
+def spelled(data: bytes, starts: np.ndarray, ends: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """log10 of each word's chance by its bytes."""
+    out = np.empty(len(starts))
+    for low in range(0, len(starts), STRIDE):
+        s, e = starts[low:low + STRIDE], ends[low:low + STRIDE]
+        begin = s[0] - 1
+        upto = np.concatenate([[0.0], np.cumsum(chances[_steps(data[begin:e[-1] + 1])])])
+        out[low:low + STRIDE] = upto[e - begin] - upto[s - 1 - begin]
     return out
 
 
 class Filter:
-    """Bits that hold, for a key of count c, the keys of all levels up to 1 + log c."""
+    """Bits that hold, for a key of count c, the keys of all levels up to 1 + log c. Their number is
+    a power of two."""
 
     def __init__(self, bits: np.ndarray, settings: Settings) -> None:
         self.bits, self.settings = bits, settings
-        levels = np.arange(1, 200)
-        low = np.ceil(settings.base ** (levels - 1.0) - 1e-9)
-        high = np.maximum(np.ceil(settings.base ** levels.astype(float) - 1e-9) - 1, low)
-        self.worth = np.concatenate([[0.0], (low + high) / 2])
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, settings: Settings) -> Filter:
+        tall = cls.level(counts, settings.base)
+        wanted = int(tall.sum() * settings.hashes / np.log(2)) + 8
+        flags = np.zeros(1 << (wanted - 1).bit_length(), bool)
+        for at in range(1, int(tall.max(initial=0)) + 1):
+            for place in cls.places(keys[tall >= at], at, len(flags), settings.hashes):
+                flags[place.astype(np.int64)] = True
+        return cls(np.packbits(flags, bitorder="little"), settings)
 
     @staticmethod
     def level(count: np.ndarray, base: float) -> np.ndarray:
         return (1 + np.floor(np.log(np.maximum(count, 1)) / np.log(base) + 1e-9)).astype(np.int64)
 
+    @staticmethod
+    def worth(level: np.ndarray, base: float) -> np.ndarray:
+        """The middle of the counts of each level; 0 for level 0."""
+        at = np.arange(1, int(level.max(initial=0)) + 1)
+        low = np.ceil(base ** (at - 1.0) - 1e-9)
+        high = np.maximum(np.ceil(base ** at.astype(float) - 1e-9) - 1, low)
+        return np.concatenate([[0.0], (low + high) / 2])[level]
+
     @staticmethod
     def places(keys: np.ndarray, level: int, size: int, hashes: int) -> Iterator[np.ndarray]:
-        h = _mixed(keys, 1000 + level)
-        step = _mixed(keys, 5000 + level) | np.uint64(1)
+        h, step = _mixed(keys, 1000 + level), _mixed(keys, 5000 + level) | np.uint64(1)
         for i in range(hashes):
-            yield (h + np.uint64(i) * step) % np.uint64(size)
+            yield ((h + np.uint64(i) * step) >> np.uint64(7)) & np.uint64(size - 1)
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts by probing level after level until one is missing."""
-        level = np.zeros(len(keys), np.int64)
-        alive, size = np.arange(len(keys)), len(self.bits) * 8
-        at = 1
-        while len(alive) and at < len(self.worth):
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels by probing one after the other until one is missing."""
+        level = np.zeros(len(keys), np.uint8)
+        alive, size, at = np.arange(len(keys)), len(self.bits) * 8, 1
+        while len(alive) and at < 256:
             held = np.ones(len(alive), bool)
             for place in self.places(keys[alive], at, size, self.settings.hashes):
                 held &= (self.bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
             alive = alive[held]
             level[alive] = at
             at += 1
-        return self.worth[level]
+        return level
 
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return self.worth(self.levels(keys), self.settings.base)
 
-class Answers:
-    """Counts of keys that were looked up elsewhere."""
 
-    def __init__(self, keys: np.ndarray, worth: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys, self.worth = keys[order], worth[order]
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of the narrowest width that holds them, compressed."""
+    width = next(w for w in (1, 2, 4, 8) if int(values.max(initial=0)) >> (8 * w) == 0)
+    planes = np.ascontiguousarray(values, f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return zstandard.compress(bytes([width]) + planes, 1)
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        return self.worth[np.searchsorted(self.keys, keys)]
-
-
-def needed(words: list[bytes]) -> np.ndarray:
-    """All keys that ``log_probabilities`` looks up for these words, once each."""
-    keys = [_mixed(pd.unique(word_hash(words)), WHOLE)]
-    for _, _, gram, context in ngrams(words):
-        gram, context = pd.unique(gram), pd.unique(context)
-        keys += [_mixed(gram, COUNT), _mixed(context, TOTAL), _mixed(context, KINDS)]
-    return pd.unique(np.concatenate(keys))
-
-
-def log_probabilities(words: list[bytes], held: Filter | Answers, train_tokens: int, train_types: int, alphabet: int) -> np.ndarray:
-    """log10 of each word's probability: Witten-Bell smoothing of its own count with the
-    probability of its bytes, which is smoothed the same way from order to order."""
-    logs = np.zeros(len(words))
-    steps = list(ngrams(words))
-    for i in range(0, len(steps), ORDER):
-        chance = np.full(len(steps[i][1]), 1.0 / alphabet)
-        for order, which, gram, context in steps[i:i + ORDER]:
-            code, keys = pd.factorize(gram)
-            count = held.counts(_mixed(keys, COUNT))[code]
-            code, keys = pd.factorize(context)
-            total = held.counts(_mixed(keys, TOTAL))[code]
-            kinds = np.maximum(held.counts(_mixed(keys, KINDS))[code], 1.0)  # a total without kinds is a false hit
-            count = np.minimum(count, total)
-            chance = np.where(total > 0, (count + kinds * chance) / np.maximum(total + kinds, 1.0), chance)
-        np.add.at(logs, which, np.log10(chance))
-    spelled = 10.0 ** np.maximum(logs, -280)
-    own = held.counts(_mixed(word_hash(words), WHOLE))
-    mixed = (own + train_types * spelled) / max(1.0, train_tokens + train_types)
-    # a word of hundreds of bytes: its spelling alone, in logarithms
-    rare = logs + np.log10(max(train_types, 1) / max(1.0, train_tokens + train_types))
-    return np.where((own > 0) | (logs > -280), np.log10(np.maximum(mixed, 1e-300)), rare)
-
-
-def _group() -> Column:
-    return F.xxhash64(F.input_file_name(), F.input_file_block_start())
-
-
-def _counted(dealt: DataFrame) -> DataFrame:
-    """``group, token, n``: the training tokens of each group, and with n = 0 its other tokens."""
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Counter] = {}
 
-        def told() -> Iterator[pa.RecordBatch]:
-            for group, counter in found.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([group] * len(counter), pa.int64()), pa.array(list(counter), pa.binary()),
-                     pa.array(list(counter.values()), pa.int64())], names=["group", "token", "n"])
-            found.clear()
+def _unpacked(blob: bytes) -> np.ndarray:
+    raw = zstandard.decompress(blob)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel().astype(np.uint64)
 
-        for b in batches:
-            for group, held_out, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                counter = found.setdefault(group, Counter())
-                words = tokens(text.as_py())
-                if held_out:
-                    for w in words:
-                        counter[w] += 0
-                else:
-                    counter.update(words)
-                if sum(map(len, found.values())) > FLUSH:
-                    yield from told()
-        yield from told()
-
-    return dealt.select("group", "held_out", "text").mapInArrow(each, "group long, token binary, n long")
-
-
-def _gram_counts(vocabulary: DataFrame) -> DataFrame:
-    """``order, gram, context, c`` over all training tokens, summed by task first; order 0 has whole
-    words."""
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        waiting = 0
 
-        def pressed(parts: list) -> tuple:
-            gram, context, count = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            code, keys = pd.factorize(gram)
-            first = np.zeros(len(keys), np.uint64)
-            first[code] = context
-            return keys, first, np.bincount(code, count, len(keys))
+def _rising(values: np.ndarray) -> bytes:
+    return _packed(np.diff(values, prepend=np.uint64(0)))
 
-        for b in batches:
-            words, count = b.column(0).to_pylist(), b.column(1).to_numpy().astype(float)
-            for order, which, gram, context in ngrams(words):
-                held.setdefault(order, []).append((gram, context, count[which]))
-                waiting += len(gram)
-            held.setdefault(0, []).append((word_hash(words), np.zeros(len(words), np.uint64), count))
-            if waiting > BUFFER:
-                held, waiting = {o: [pressed(p)] for o, p in held.items()}, 0
-        for order, parts in held.items():
-            gram, context, count = pressed(parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(gram), order, np.int32)), pa.array(gram.view(np.int64)),
-                 pa.array(context.view(np.int64)), pa.array(count)], names=["order", "gram", "context", "c"])
-
-    return vocabulary.filter("c > 0").select("token", "c").mapInArrow(
-        each, "order int, gram long, context long, c double")
-
-
-def filter_keys(vocabulary: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, int, int]:
-    """``key, c`` of every n-gram, context and word of ``token, c``, the bytes of a filter that holds
-    them, and the number of different codes. Nothing is pruned; context totals and kinds are those of
-    all n-grams."""
-    summed = staged(_gram_counts(vocabulary).groupBy("order", "gram").agg(
-        F.min("context").alias("context"), F.sum("c").alias("c")), "grams")
-    alphabet = summed.filter("order = 1").count() + 1
-    contexts = summed.filter("order > 0").groupBy("context").agg(F.sum("c").alias("total"), F.count("*").cast("double").alias("kinds"))
-    plain = summed.select(F.when(F.col("order") == 0, WHOLE).otherwise(COUNT).alias("kind"), F.col("gram").alias("key"), "c").union(
-        contexts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col("context").alias("key"), F.col(c).alias("c"))
-                                            for k, c in ((TOTAL, "total"), (KINDS, "kinds"))])).alias("r")).select("r.*"))
-
-    def salted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kind, key = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
-            out = np.zeros(len(key), np.uint64)
-            for k in (COUNT, TOTAL, KINDS, WHOLE):
-                out[kind == k] = _mixed(key[kind == k], k)
-            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), b.column(2)], names=["key", "c"])
 
-    keys = staged(plain.mapInArrow(salted, "key long, c double"), "keys")
-    level = (F.floor(F.log(F.greatest("c", F.lit(1.0))) / float(np.log(settings.base)) + 1e-9) + 1)
-    levels = keys.agg(F.sum(level)).first()[0] or 0
-    return keys, max(1 << 7, int(levels * settings.hashes / np.log(2)) >> 3), alphabet
+def _risen(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(blob), dtype=np.uint64)
 
 
-def _set(bits: np.ndarray, keys: np.ndarray, counts: np.ndarray, settings: Settings) -> None:
-    tall = Filter.level(counts, settings.base)
-    for at in range(1, int(tall.max(initial=0)) + 1):
-        for place in Filter.places(keys[tall >= at], at, len(bits) * 8, settings.hashes):
-            np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+@dataclass(frozen=True)
+class Places:
+    """The places of a chunk's texts, an end after the words of each, with their hashes.
 
+    ``words`` and ``pairs`` have one entry for each place, ``triples`` one for each place that isn't
+    the first of its text; ``first`` and ``last`` are the places texts begin and end with.
+    """
 
-def build(keys: DataFrame, n_bytes: int, settings: Settings = Settings()) -> np.ndarray:
-    """The bits of one filter of ``key, c``. Eight tasks at most set bits."""
-    size = 1 << (n_bytes - 1).bit_length()
+    words: np.ndarray
+    pairs: np.ndarray
+    triples: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, data: bytes, sizes: np.ndarray, bits: int) -> Places:
+        starts, ends = spans(data)
+        cuts = np.searchsorted(starts, np.cumsum(np.concatenate([[1], sizes + 1])))
+        text = np.arange(len(sizes))
+        first, last = cuts[:-1] + text, cuts[1:] + text
+        words = np.empty(len(starts) + len(sizes), np.uint64)
+        inner = np.ones(len(words), bool)
+        inner[last] = False
+        words[inner], words[last] = word_hashes(data, starts, ends), END
+        before = np.roll(words, 1)
+        before[first] = START
+        pairs = _mixed(before * FACTOR + words, 2)
+        later = np.ones(len(words), bool)
+        later[first] = False
+        triples = _mixed(np.roll(pairs, 1) * FACTOR + words, 3)[later]
+        drop = np.uint64(64 - bits)
+        return cls(words >> np.uint64(64 - WORD_BITS), pairs >> drop, triples >> drop, first, last, starts, ends)
+
+    def training(self, held_out: np.ndarray) -> np.ndarray:
+        return np.repeat(~held_out, self.last - self.first + 1).astype(np.uint64)
+
+    def later(self, values: np.ndarray) -> np.ndarray:
+        return np.delete(values, self.first)
+
+
+def _distinct(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising distinct keys and how many of each have weight 1. Keys have 63 bits at most."""
+    tagged = np.sort(keys << np.uint64(1) | weight)
+    keys = tagged >> np.uint64(1)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(tagged & np.uint64(1), first)
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the rising distinct ones."""
+    order = np.argsort(keys)
+    rising = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.append(False, rising[1:] != rising[:-1]))
+    return out
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(size, np.uint8)
-        for b in batches:
-            _set(out, b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy(), settings)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()])], names=["bits"])
 
-    merged = np.zeros(size, np.uint8)
-    for row in keys.repartition(8).mapInArrow(bits, "bits binary").toLocalIterator():  # eight rows of a bounded size
-        merged |= np.frombuffer(row.bits, np.uint8)
-    return merged
+def _bounds(bits: int, n_blocks: int) -> np.ndarray:
+    return np.array([(b << bits) // n_blocks for b in range(1, n_blocks)], np.uint64)
+
 
+def log_probabilities(at: Places, spelt: np.ndarray, word_counts: np.ndarray, pair_counts: np.ndarray,
+                      triple_counts: np.ndarray, train_tokens: int, train_types: int, prior: float) -> np.ndarray:
+    """log10 of the probability of each place after the two before it.
 
-def _score_by_blocks(vocabulary: DataFrame, keys: DataFrame, n_bytes: int, model: tuple[int, int, int],
-                     settings: Settings) -> DataFrame:
-    """``known, c, log`` like a broadcast filter gives, from blocks of bounded size: keys and what is
-    asked of them meet by block, the answers go back to the tokens that asked."""
-    n_blocks = 1 + 2 * n_bytes // BLOCK_BYTES
-    n_parts = 1 + vocabulary.count() // PART_TOKENS
-    parts = vocabulary.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(n_parts)))
+    A word's own chance is its count mixed with its spelling, the end being the empty word. A longer
+    context adds its counts to ``prior`` places of the shorter one; a context that never occurs
+    changes nothing. An n-gram counts at most as often as its context.
+    """
+    chance = _mixture(word_counts, train_types + 1.0, spelt) - np.log10(train_tokens + train_types + 1.0)
+    total = np.roll(word_counts, 1)
+    total[at.first] = word_counts[at.last]  # as many texts begin as end
+    chance = _mixture(np.minimum(pair_counts, total), prior, chance) - np.log10(total + prior)
+    longer = np.ones(len(chance), bool)
+    longer[at.first] = False
+    total = np.roll(pair_counts, 1)[longer]
+    chance[longer] = _mixture(np.minimum(triple_counts, total), prior, chance[longer]) - np.log10(total + prior)
+    return chance
+
+
+def _mixture(count: np.ndarray, weight: float, logs: np.ndarray) -> np.ndarray:
+    """log10 of ``count + weight * 10 ** logs``, without loss where the power is too small a number."""
+    plain = np.log10(weight) + logs
+    return np.where(count > 0, np.log10(np.maximum(count, 1e-300) + 10.0 ** np.maximum(plain, -300)), plain)
+
+
+def _chunks(documents: DataFrame, held_out: int) -> DataFrame:
+    """One row for each 8 MB of text of a task: ids, folds, the lower-case texts, byte pairs.
+
+    Written once, so the number a chunk draws is the same wherever it is read.
+    """
+    kind = documents.schema["doc_id"].dataType.simpleString()
 
-    def block(salted: np.ndarray) -> np.ndarray:
-        return (_mixed(salted, 77) % np.uint64(n_blocks)).astype(np.int64)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, folds, texts, size = [], [], [], 0
+
+        def chunk() -> pa.RecordBatch:
+            learnt = b" " + b" ".join(t for t, h in zip(texts, folds) if not h) + b" "
+            sizes = [len(t) for t in texts]
+            data = zstandard.compress(b" " + b" ".join(texts) + b" ", 3)
+            n_train = len(spans(learnt)[0]) + folds.count(False)
+            names = ["chunk", "ids", "held_out", "sizes", "data", "bytes", "n_train", "pairs"]
+            return pa.RecordBatch.from_arrays([
+                pa.array([secrets.randbits(63)], pa.int64()), pa.ListArray.from_arrays([0, len(texts)], pa.concat_arrays(ids)),
+                pa.array([folds], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int64())),
+                pa.array([data], pa.binary()), pa.array([sum(sizes) + len(sizes)], pa.int64()),
+                pa.array([n_train], pa.int64()), pa.array([_packed(byte_pairs(learnt))], pa.binary())], names=names)
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block(b.column(0).to_numpy().view(np.uint64))), *b.columns], names=["block", "key", "c"])
+            for i in range(b.num_rows):
+                text = (b.column(2)[i].as_py() or "").encode().lower()
+                if texts and size + len(text) > CHUNK_BYTES:
+                    yield chunk()
+                    ids, folds, texts, size = [], [], [], 0
+                ids.append(b.column(0).slice(i, 1))
+                folds.append(b.column(1)[i].as_py())
+                texts.append(text)
+                size += len(text) + 1
+        if texts:
+            yield chunk()
+
+    rows = documents.select("doc_id", (fold(F.col("doc_id")) == held_out).alias("held_out"), "text")
+    return staged(rows.mapInArrow(
+        each, f"chunk long, ids array<{kind}>, held_out array<boolean>, sizes array<long>, data binary, bytes long, "
+              "n_train long, pairs binary"), "chunks")
+
+
+def _pair_counts(chunks: DataFrame) -> np.ndarray:
+    """Byte pairs of all training words: at most 257 * 257 rows, summed by task first."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CODES * CODES, np.uint64)
+        for b in batches:
+            for blob in b.column(0):
+                total += _unpacked(blob.as_py())
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].view(np.int64))], names=["pair", "n"])
+
+    out = np.zeros(CODES * CODES, np.int64)
+    for row in chunks.select("pairs").mapInArrow(each, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[row.pair] = row.n
+    return out
 
-    def asked(words: pa.Table) -> pa.Table:
-        salted = needed(words.column("token").to_pylist())
-        part = np.full(len(salted), words.column("part")[0].as_py())
-        return pa.table({"block": block(salted), "part": part, "key": salted.view(np.int64)})
 
-    def answered(questions: pa.Table, entries: pa.Table) -> pa.Table:
-        bits = np.zeros(BLOCK_BYTES, np.uint8)
-        _set(bits, entries.column("key").to_numpy().view(np.uint64), entries.column("c").to_numpy(), settings)
-        code, salted = pd.factorize(questions.column("key").to_numpy())
-        worth = Filter(bits, settings).counts(salted.view(np.uint64))[code]
-        return pa.table({"part": questions.column("part"), "key": questions.column("key"), "worth": worth})
+def _asked(chunks: DataFrame, bits: int, n_blocks: int) -> DataFrame:
+    """``block, chunk, words, n_words, grams, n_grams``: the distinct hashes of a chunk that belong to a
+    block, rising, with their training counts (0 where only held-out texts have them)."""
+    word_bounds, gram_bounds = _bounds(WORD_BITS, n_blocks), _bounds(bits, n_blocks)
 
-    def score(words: pa.Table, answers: pa.Table) -> pa.Table:
-        held = Answers(answers.column("key").to_numpy().view(np.uint64), answers.column("worth").to_numpy())
-        logs = log_probabilities(words.column("token").to_pylist(), held, *model)
-        return pa.table({"known": words.column("token"), "c": words.column("c"), "log": pa.array(logs.astype(np.float32))})
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                held = np.array(b.column("held_out")[i].as_py(), bool)
+                at = Places.of(zstandard.decompress(b.column("data")[i].as_py()), np.array(b.column("sizes")[i].as_py()), bits)
+                train = at.training(held)
+                words, n_words = _distinct(at.words, train)
+                grams, n_grams = _distinct(np.concatenate([at.pairs, at.triples]), np.concatenate([train, at.later(train)]))
+                wcut = [0, *np.searchsorted(words, word_bounds), len(words)]
+                gcut = [0, *np.searchsorted(grams, gram_bounds), len(grams)]
+                some = [k for k in range(n_blocks) if wcut[k] < wcut[k + 1] or gcut[k] < gcut[k + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array([b.column("chunk")[i].as_py()] * len(some), pa.int64()),
+                     pa.array([_rising(words[wcut[k]:wcut[k + 1]]) for k in some], pa.binary()),
+                     pa.array([_packed(n_words[wcut[k]:wcut[k + 1]]) for k in some], pa.binary()),
+                     pa.array([_rising(grams[gcut[k]:gcut[k + 1]]) for k in some], pa.binary()),
+                     pa.array([_packed(n_grams[gcut[k]:gcut[k + 1]]) for k in some], pa.binary())],
+                    names=["block", "chunk", "words", "n_words", "grams", "n_grams"])
+
+    return chunks.select("chunk", "held_out", "sizes", "data").mapInArrow(
+        each, "block long, chunk long, words binary, n_words binary, grams binary, n_grams binary")
+
+
+def _answers(asked: DataFrame, settings: Settings) -> DataFrame:
+    """``chunk, block, counts, levels, kinds``: exact counts of the words and the levels that the block's
+    filter holds for the n-grams, in the order they were asked; kinds, once a block, its training words."""
+    def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, back = np.unique(np.concatenate(keys), return_inverse=True)
+        return found, back, np.bincount(back, np.concatenate(counts).astype(float), len(found))
+
+    def answer(rows: pa.Table) -> pa.Table:
+        blobs = {c: rows.column(c).to_pylist() for c in ("words", "n_words", "grams", "n_grams")}
+        words, grams = [_risen(x) for x in blobs["words"]], [_risen(x) for x in blobs["grams"]]
+        _, word_at, total = summed(words, [_unpacked(x) for x in blobs["n_words"]])
+        counts = np.split(total.astype(np.uint64)[word_at], np.cumsum([len(w) for w in words])[:-1])
+        found, gram_at, seen = summed(grams, [_unpacked(x) for x in blobs["n_grams"]])
+        held = Filter.of(found[seen > 0], seen[seen > 0], settings)
+        levels = np.split(held.levels(found)[gram_at], np.cumsum([len(g) for g in grams])[:-1])
+        return pa.table({
+            "chunk": rows.column("chunk"), "block": rows.column("block"),
+            "counts": pa.array([_packed(c) for c in counts], pa.binary()),
+            "levels": pa.array([_packed(x) for x in levels], pa.binary()),
+            "kinds": pa.array([int((total > 0).sum())] + [0] * (len(rows) - 1), pa.int64())})
 
-    questions = parts.groupBy("part").applyInArrow(asked, "block long, part long, key long")
-    entries = keys.mapInArrow(placed, "block long, key long, c double")
-    answers = questions.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(
-        answered, "part long, key long, worth double")
-    return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, "known binary, c long, log float")
+    return staged(asked.groupBy("block").applyInArrow(
+        answer, "chunk long, block long, counts binary, levels binary, kinds long"), "answers")
 
 
 def scores(documents: DataFrame, *, held_out: int = 1, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
-    Tokens are counted exactly over all training rows (those whose fold is not ``held_out``): by the
-    part of a file they stand in first, then over all. The filter holds every n-gram of these; it is
-    broadcast up to ``FILTER_BYTES``, above that it is split into blocks which the keys are sent to.
-    Each different token is scored once, and counts and scores go back to the groups whose texts
-    hold the token. No token is sent once per occurrence.
-
-    NULL and empty texts have the end token only. Repeated rows are counted and scored each; a NULL
-    id counts as empty text for its fold; other columns are ignored. No documents, no rows.
+    The model has the words, pairs and triples of words of all training rows (those whose fold is not
+    ``held_out``), from a start before each text to an end after it. Each chunk of texts sends its
+    distinct hashes, with their counts, to the blocks of hashes they belong to. A block adds them up,
+    builds the log-frequency filter of its pairs and triples from the training counts, probes it for
+    all that was asked and answers each chunk in its own order. The filter grows with the input, so
+    it is never in one place. Word counts, on which the base score stands, are summed by 63-bit
+    hashes and not quantised.
+
+    NULL and empty texts have the end only. Long texts are taken whole, a text above 8 MB by itself.
+    Repeated rows are counted and scored each; a NULL id counts as empty text for its fold; other
+    columns are ignored. No documents, no rows.
     """
-    spark = documents.sparkSession
-    rows = documents.select("doc_id", "text")
-    if not rows.filter(F.input_file_name() == "").limit(1).isEmpty():
-        rows = staged(rows, "documents")  # not read from files: the groups need them
-    rows = rows.select("doc_id", (fold(F.col("doc_id")) == held_out).alias("held_out"), "text", _group().alias("part"))
-    largest = rows.groupBy("part").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
-    pieces = 1 + largest // GROUP_BYTES
-    dealt = rows.withColumn("group", F.xxhash64("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pieces)))).drop("part")
-
-    local = staged(_counted(dealt).groupBy("group", "token").agg(F.sum("n").alias("n")), "tokens")
-    vocabulary = staged(local.groupBy("token").agg(F.sum("n").alias("c")), "vocabulary")
-    totals = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    ends = documents.filter(fold(F.col("doc_id")) != held_out).count()
-    train_tokens, train_types = (totals.n or 0) + ends, totals.v + (ends > 0)
-    keys, n_bytes, alphabet = filter_keys(vocabulary, settings)
-    model = train_tokens, train_types, alphabet
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Filter(sent.value, settings)
-        for b in batches:
-            words = b.column(0).to_pylist()
-            logs = log_probabilities(words, held, *model)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(logs.astype(np.float32))], names=["token", "c", "log"])
-
-    if n_bytes <= FILTER_BYTES:
-        sent = spark.sparkContext.broadcast(build(keys, n_bytes, settings))
-        known = vocabulary.mapInArrow(score, "known binary, c long, log float")
-    else:
-        known = _score_by_blocks(vocabulary, keys, n_bytes, model, settings)
-    back = local.select("group", "token").join(known, F.col("token") == F.col("known")).select("group", "token", "c", "log")
-
+    chunks = _chunks(documents, held_out)
+    sums = chunks.agg(F.sum("bytes").alias("bytes"), F.sum("n_train").alias("n")).first()
+    n_bytes, train_tokens = sums.bytes or 0, sums.n or 0
+    bits = min(WORD_BITS, max(32, n_bytes.bit_length() + SPARE_BITS))
+    answers = _answers(_asked(chunks, bits, 1 + n_bytes // (3 * BLOCK_KEYS)), settings)
+    train_types = answers.agg(F.sum("kinds").alias("n")).first().n or 0
+    chances = spelling(_pair_counts(chunks))
     floor = train_tokens + 0.5 * (train_types + 1)
-    end_base = float(np.log10((ends + 0.5) / floor))
-    end_log = float(np.log10((ends + 0.5) / max(1.0, train_tokens + train_types)))
     kind = documents.schema["doc_id"].dataType.simpleString()
 
-    def told(texts: pa.Table, values: pa.Table) -> pa.Table:
-        index = {w: i for i, w in enumerate(values.column("token").to_pylist())}
-        c = values.column("c").to_numpy()
-        base, log = np.log10((c + 0.5) / floor), values.column("log").to_numpy().astype(np.float64)
-        out = []
-        for text in texts.column("text"):
-            words = tokens(text.as_py())
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            out.append((len(words) + 1, int((c[at] > 0).sum()) + (ends > 0), base[at].sum() + end_base, log[at].sum() + end_log))
-        n, seen, plain, model = zip(*out) if out else ((), (), (), ())
+    def told(texts: pa.Table, found: pa.Table) -> pa.Table:
+        data, sizes = zstandard.decompress(texts.column("data")[0].as_py()), np.array(texts.column("sizes")[0].as_py())
+        found = found.sort_by("block")
+        counts = np.concatenate([_unpacked(x.as_py()) for x in found.column("counts")]).astype(float)
+        levels = np.concatenate([_unpacked(x.as_py()) for x in found.column("levels")]).astype(np.int64)
+        at = Places.of(data, sizes, bits)
+        count = counts[_ranks(at.words)]
+        grams = Filter.worth(levels, settings.base)[_ranks(np.concatenate([at.pairs, at.triples]))]
+        spelt = np.full(len(count), chances[EDGE * CODES + EDGE])
+        inner = np.ones(len(count), bool)
+        inner[at.last] = False
+        spelt[inner] = spelled(data, at.starts, at.ends, chances)
+        logs = log_probabilities(at, spelt, count, grams[:len(count)], grams[len(count):], train_tokens, train_types, settings.prior)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
-            "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array([train_tokens] * len(n), pa.int64()),
-            "base_score": pa.array(plain, pa.float64()), "score": pa.array(model, pa.float64())})
-
-    return dealt.groupBy("group").cogroup(back.groupBy("group")).applyInArrow(
+            "doc_id": texts.column("ids").combine_chunks().flatten(),
+            "held_out": texts.column("held_out").combine_chunks().flatten(),
+            "n_tokens": pa.array(at.last - at.first + 1),
+            "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), at.first)),
+            "train_tokens": pa.array(np.full(len(sizes), train_tokens)),
+            "base_score": pa.array(np.add.reduceat(np.log10((count + 0.5) / floor), at.first)),
+            "score": pa.array(np.add.reduceat(logs, at.first))})
+
+    rows = chunks.select("chunk", "ids", "held_out", "sizes", "data")
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         told, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
