@@ -15,9 +15,22 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+IBAN = (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}(?![a-z])){2,7}+"
+        r"(?:\x20?[A-Z0-9]{1,3}+(?![A-Za-z0-9]))?+(?![A-Za-z0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
+# The number of characters of an IBAN by country.
+IBAN_SIZES = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
+
 
 def digits(found: Column) -> Column:
     return F.regexp_replace(found, "[^0-9]", "")
@@ -45,6 +58,18 @@ def mod97(code: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), add) == 1
 
 
+def _own_size(m: Column) -> Column:
+    """The match of an IBAN without the capital words behind it: cut to the country's number of characters,
+    empty if it has fewer or more of them in one run. Other countries' are left as they are."""
+    sizes = F.create_map(*[F.lit(x) for pair in IBAN_SIZES.items() for x in pair])
+    size = F.try_element_at(sizes, F.left(m["found"], F.lit(2)))
+    pattern = F.concat(F.lit(r"^(?:\x20?[A-Z0-9]){"), size.cast("string"), F.lit("}(?![A-Z0-9])"))
+    kept = F.when(size.isNull(), m["found"]).otherwise(F.coalesce(F.regexp_substr(m["found"], pattern), F.lit("")))
+    return F.struct(m["start"].alias("start"), (m["start"] + F.length(kept)).alias("end"), kept.alias("found"),
+                    m["before"].alias("before"),
+                    F.concat(F.substr(m["found"], F.length(kept) + 1), m["after"]).alias("after"))
+
+
 def _octets(found: Column) -> Column:
     return F.forall(F.split(found, r"\."), lambda part: F.length(F.ltrim(part, F.lit("0"))) <= 3) & F.forall(
         F.split(found, r"\."), lambda part: F.try_to_number(
@@ -106,7 +131,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
 
     Places are code points, the end is exclusive. Matches of a kind don't overlap; one that fails
     its check is dropped and not tried again. Everything happens within a row: nothing is
-    shuffled. NULL and empty texts have none, repeated rows each their own; other columns are ignored.
+    shuffled. Texts of any length are searched whole. NULL and empty texts have none, repeated rows each
+    their own; a NULL id stays; other columns are ignored. No documents, no rows.
     """
     step = documents.select("doc_id", whole(F.col("text")).alias("text"))
     for kind in KINDS:
@@ -115,7 +141,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
 
 
 def _scored(kind: Kind) -> Column:
-    good = F.filter("_" + kind.name, lambda m: _confirmed(kind.name, m["found"]))
+    every = F.transform("_" + kind.name, _own_size) if kind.name == "iban" else F.col("_" + kind.name)
+    good = F.filter(every, lambda m: _confirmed(kind.name, m["found"]))
 
     def told(m: Column) -> Column:
         near = F.lower(F.concat_ws(" ", F.right(m["before"], F.lit(NEAR)), F.left(m["after"], F.lit(NEAR))))
@@ -124,5 +151,5 @@ def _scored(kind: Kind) -> Column:
         return F.struct(F.lit(kind.name).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
                         F.round(score, 1).alias("score"), F.lit(kind.base).alias("base"))
 
-    every = F.transform(good, told)
-    return every if kind.base else F.filter(every, lambda m: m["score"] >= kind.least)
+    scored = F.transform(good, told)
+    return scored if kind.base else F.filter(scored, lambda m: m["score"] >= kind.least)

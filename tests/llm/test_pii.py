@@ -69,6 +69,18 @@ def test_added_kinds_and_context(spark):
     assert rows[4][0].score > 0.9 and rows[5][0].score < 0.5
 
 
+def test_account_codes_before_capital_words(spark):
+    code = "BE68 5390 0754 7034"
+    texts = [f"account {code}{tail}" for tail in ("", " EUR", " TOTAL", " Total", " TOTAl", " PAID IN FULL", ", EUR", "\nEUR")]
+    wrong = [f"account {code[:-1]}5 EUR", "account BE68539007547034EUR", "account BE68 5390 0754", "account BE68 5390 0754 703"]
+    other = ["account NO93 8601 1117 947 NOK", "konto DE89370400440532013000 EUR"]
+    rows = {r.doc_id: [(m.kind, m.start, m.end) for m in r.found if m.kind == "iban"] for r in pii.personal_data(
+        spark.createDataFrame(list(enumerate(texts + wrong + other)), "doc_id long, text string")).collect()}
+    assert all(rows[i] == [("iban", 8, 27)] for i in range(len(texts)))
+    assert all(rows[len(texts) + i] == [] for i in range(len(wrong)))
+    assert rows[len(rows) - 2] == [("iban", 8, 26)] and rows[len(rows) - 1] == [("iban", 6, 28)]
+
+
 def test_long_texts_stay_near_linear(spark):
     long = [(1, "a" * 1_000_000), (2, "9" * 1_000_000), (3, "+1" * 300_000), (4, "AB12 " * 100_000)]
     rows = pii.personal_data(spark.createDataFrame(long, "doc_id long, text string")).select(F.size("found")).collect()
