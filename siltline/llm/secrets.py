@@ -16,9 +16,11 @@ LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']?[ \t]*+(?::=|=>?|:)[ \t]
 USER = r"://[^\s/:@\"']*+:"
 PREFIX = r"A[KS]IA[0-9A-Z]{16}|gh[opsru]_|github_pat_|glpat-|xox[abprs]-|[rs]k_live_|AIza"
 RUN = r"(?<![A-Za-z0-9+/_-])(?=" + PREFIX + r"|[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
+# all up to the closing quote, or up to a separator
+VALUE = r"(?:(?<=\")[^\s\"]{6,}+(?=\")|(?<=')[^\s']{6,}+(?=')|[^\s\"',;=:]{6,}+)"
 # a value assigned to a name that holds a keyword, a password in a URL, or a long run that holds a
 # digit or starts as providers' keys do
-PROPOSALS = LEAD + r"[^\s\"',;=:]{6,}+|" + USER + r"[^\s/@\"']{6,}+(?=@)|" + RUN
+PROPOSALS = LEAD + VALUE + r"|" + USER + r"[^\s/@\"']{6,}+(?=@)|" + RUN
 HARMLESS = r"commit|sha1|sha256|sha512|md5|checksum|digest|revision|uuid|guid|hash|etag|version|isbn|image|example"
 DICTIONARY = ("about|access|account|admin|api|app|article|auth|base|build|case|change|class|client|code|common|config|"
               "content|control|count|create|data|date|default|delete|demo|doc|dummy|error|event|example|fake|field|file|"
