@@ -17,7 +17,7 @@ from .components import components
 
 SEED = 42
 STRIDE = 1 << 16  # shingles whose bits are counted at a time
-LONG_LIST = 32  # fingerprints in one posting list from which links are found by flipped bits
+LONG_LIST = 32  # fingerprints in one posting list whose pairs are counted; longer ones are narrowed
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -57,52 +57,90 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def masks(max_distance: int) -> list[int]:
-    """Positions a posting looks at, as masks.
+def _mask(positions: tuple[int, ...]) -> int:
+    """All bits of some byte positions, as a signed long."""
+    mask = sum(0xFF << (8 * p) for p in positions)
+    return mask - (1 << 64) * (mask >> 63)
 
-    Two fingerprints at most d bits apart share at least 8 - d positional bytes. Split into four
-    groups of two positions, d differing bytes leave 4 - d groups alone, so every such pair shares
-    all bytes of one choice of 4 - d groups. One posting per choice replaces one per byte, whose
-    lists would hold 1/256 of all fingerprints each.
+
+def _rest(positions: tuple[int, ...]) -> list[int]:
+    return [p for p in range(8) if p not in positions]
+
+
+# Lists of single positions would hold 1/256 of all fingerprints each, so a posting holds four. In this
+# choice of fours any three positions lie together in exactly one: fingerprints that differ in 1, 2, 3
+# bytes meet in 7, 3, 1 lists, in more bytes in one at most. The lists two share thus tell their bytes.
+FOURS = [c for c in combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
+LISTS_SHARED = {1: 7, 2: 3}
+
+
+def _narrowed(max_distance: int) -> list[tuple[int, ...]]:
+    """Choices of the 8 - d positions that fingerprints d bytes apart share."""
+    return list(combinations(range(8), 8 - max_distance))
+
+
+def _crowded(postings: DataFrame) -> DataFrame:
+    """``choice, bytes, fp, count``: the postings of lists with two fingerprints or more."""
+    lists = postings.groupBy("choice", "bytes").count().filter("count > 1") \
+        .select(F.col("choice").alias("c"), F.col("bytes").alias("y"), "count")
+    return staged(postings.join(lists, (F.col("choice") == F.col("c")) & (F.col("bytes") == F.col("y")))
+                  .select("choice", "bytes", "fp", "count"), "postings")
+
+
+def _within(lists: DataFrame, worth: int) -> DataFrame:
+    """``a, b, n``: the pairs of every short list, each with what meeting in it is worth."""
+    short = lists.filter(F.col("count") <= LONG_LIST).groupBy("choice", "bytes") \
+        .agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    return short.select("fps", F.explode("fps").alias("a")) \
+        .select("a", F.explode("fps").alias("b")).filter("a < b").withColumn("n", F.lit(worth))
+
+
+def tallied(fps: DataFrame, max_distance: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of distinct fingerprints that share 8 - d positional bytes or more, and the
+    postings ``choice, bytes, fp`` of lists that are still long after narrowing.
+
+    Lists of up to 32 fingerprints give their pairs, which are counted over all lists by partial
+    sums; pairs that reach the count are kept. Longer lists are narrowed: their members are listed
+    anew under each choice of 8 - d positions that holds the four, where meeting is the full count.
     """
-    groups = [0xFFFF << (16 * g) for g in range(4)]
-    return [sum(c) - (1 << 64) * (sum(c) >> 63) for c in combinations(groups, 4 - max_distance)]
+    least = LISTS_SHARED[max_distance]
+    fours = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_mask(c))).alias("bytes"))
+                      for i, c in enumerate(FOURS)])
+    lists = _crowded(fps.select("fp", F.inline(fours)))
+    narrow = _narrowed(max_distance)
+    holding = F.array(*[F.array(*[F.lit(i) for i, wide in enumerate(narrow) if set(c) <= set(wide)]) for c in FOURS])
+    masks = F.array(*[F.lit(_mask(c)) for c in narrow])
+    again = lists.filter(F.col("count") > LONG_LIST) \
+        .select("fp", F.explode(F.get(holding, F.col("choice"))).alias("choice")).distinct() \
+        .select("choice", F.col("fp").bitwiseAND(F.get(masks, F.col("choice"))).alias("bytes"), "fp")
+    lists_again = _crowded(again)
+    counted = _within(lists, 1).union(_within(lists_again, least)).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return counted.filter(F.col("n") >= least).select("a", "b"), lists_again.filter(F.col("count") > LONG_LIST)
 
 
 def link_fingerprints(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     """Links ``a, b`` that join distinct fingerprints ``fp`` as all pairs within the distance would.
 
-    Lists of up to 32 fingerprints: every pair is tallied (shared positional bytes), kept from
-    8 - d bytes on and verified by its differing bits. Fingerprints of longer lists emit themselves
-    with each bit flipped; those that meet in one variant are at most two bits apart and hang on
-    its smallest (for d = 1: on the variant itself). A variant has at most 65 members, so a third
-    of all fingerprints in one list costs no more a row than any other.
+    Pairs with enough shared positional bytes are verified by their differing bits. Where more than
+    32 fingerprints share the same 8 - d bytes, their number of pairs has no bound: each emits
+    itself with each bit of its other bytes flipped; those that meet in one variant are at most two
+    bits apart and hang on its smallest (for d = 1: on the variant itself). That is 17 variants at
+    most a posting, so a third of all fingerprints in one list costs no more a row than any other.
     """
     if max_distance not in (0, 1, 2):
         raise ValueError("max_distance is 0, 1 or 2")
     if max_distance == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("a <> b")
-    chosen = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes"))
-                       for i, m in enumerate(masks(max_distance))])
-    postings = fps.select("fp", F.inline(chosen))
-    lists = postings.groupBy("choice", "bytes").count().filter("count > 1") \
-        .select(F.col("choice").alias("c"), F.col("bytes").alias("y"), "count")
-    met = staged(postings.join(lists, (F.col("choice") == F.col("c")) & (F.col("bytes") == F.col("y")))
-                 .select("choice", "bytes", "fp", "count"), "postings")
+    pairs, long = tallied(fps, max_distance)
+    light = pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
 
-    short = met.filter(F.col("count") <= LONG_LIST).groupBy("choice", "bytes") \
-        .agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    pairs = short.select("fps", F.explode("fps").alias("a")) \
-        .select("a", F.explode("fps").alias("b")).filter("a < b")
-    apart = F.col("a").bitwiseXOR(F.col("b"))
-    shared = sum((F.shiftright(apart, 8 * p).bitwiseAND(F.lit(255)) == 0).cast("int") for p in range(8))
-    light = pairs.filter((shared >= 8 - max_distance) & (F.bit_count(apart) <= max_distance))
-
-    flips = F.array(F.lit(0).cast("long"),
-                    *[F.lit((1 << i) - (1 << 64) * (i == 63)).cast("long") for i in range(64)])
-    variants = met.filter(F.col("count") > LONG_LIST).select("fp").distinct() \
-        .select("fp", F.explode(flips).alias("flip")) \
-        .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
+    def flips(positions: tuple[int, ...]) -> Column:
+        bits = [8 * p + i for p in _rest(positions) for i in range(8)]
+        return F.array(*[F.lit(m).cast("long") for m in [0, *((1 << i) - (1 << 64) * (i == 63) for i in bits)]])
+
+    others = F.array(*[flips(c) for c in _narrowed(max_distance)])
+    variants = long.select("fp", F.explode(F.get(others, F.col("choice"))).alias("flip")) \
+        .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant")).distinct()
     head = F.min("fp") if max_distance == 2 else F.min(F.when(F.col("fp") == F.col("variant"), F.col("fp")))
     meeting = variants.groupBy("variant").agg(F.collect_list("fp").alias("fps"), head.alias("a"))
     heavy = meeting.filter("size(fps) > 1 and a is not null") \

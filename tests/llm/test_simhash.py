@@ -82,6 +82,37 @@ def test_links_short_and_long_lists(spark, distance):
         assert (mine[a] == mine[b]) == (want[a] == want[b])
 
 
+@pytest.mark.parametrize("distance", [1, 2])
+@pytest.mark.parametrize("long_list", [2, 32])
+def test_shared_bytes_are_counted(spark, monkeypatch, distance, long_list):
+    """The counted pairs are those with enough shared bytes, whatever their bits: without the count,
+    pairs that share four or five bytes would be among them."""
+    monkeypatch.setattr(simhash, "LONG_LIST", long_list)
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(4)]
+    fps = set(base)
+    for b in base:
+        for changed in (1, 1, 2, 2, 2, 3, 3, 4):
+            fps.add(sum((b >> 8 * p & 255 ^ (rng.randrange(1, 256) if p in chosen else 0)) << 8 * p
+                        for chosen in [rng.sample(range(8), changed)] for p in range(8)))
+    fps.update(base[0] ^ last for last in (1, 77, 200, 255))  # a list that stays long
+    signed = {f - (1 << 64) * (f >> 63): f for f in fps}
+    pairs, long = simhash.tallied(spark.createDataFrame([(s,) for s in signed], "fp long"), distance)
+    left = {}
+    for r in long.collect():
+        left.setdefault((r.choice, r.bytes), set()).add(signed[r.fp])
+    found = {frozenset((signed[r.a], signed[r.b])) for r in pairs.collect()}
+    found |= {frozenset(p) for members in left.values() for p in itertools.combinations(members, 2)}
+
+    def apart(a, b):
+        return sum((a ^ b) >> 8 * p & 255 != 0 for p in range(8))
+
+    every = list(itertools.combinations(fps, 2))
+    assert found == {frozenset(p) for p in every if apart(*p) <= distance}
+    assert any(apart(*p) == 3 for p in every)
+    assert bool(left) == (long_list == 2)
+
+
 def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
