@@ -3,7 +3,9 @@ local solutions, merged ranks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +14,12 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 
-PIVOTS = 64
+MAX_PIVOTS = 2048  # bounds the table of distances between pivots; there are as many as the root of the rows
+SAMPLED = 4  # rows looked at for each pivot
+WIDER = 1.25  # cells of queries are solved together if none meets more than so many times the rows it needs
 GROUP_QUERIES = 2000  # queries solved together
 BLOCK_ROWS = 20_000  # rows a group is compared with at a time
+BROADCAST_NEEDS = 500_000  # lines of 40 bytes
 EXACT = float(1 << 53)
 
 
@@ -90,32 +95,92 @@ def _placed(rows: DataFrame, cells: Cells, width: int) -> DataFrame:
                                  "qcell int, qdistance double")
 
 
-def _groups(counts: dict[int, int], pivots: np.ndarray, size: int) -> list[list[int]]:
-    """Near cells of queries together, up to ``size`` queries; a larger cell is a group by itself."""
-    left, out = set(counts), []
+@dataclass(frozen=True)
+class Plan:
+    """Which rows go to which group of cells of queries.
+
+    ``groups``: cells of queries; ``low, high`` (cells of queries x cells of rows): distances to the
+    pivot between which a row may be among a query's k nearest, ``low > high`` where none can;
+    ``sent``: rows per group, at most. ``compared`` and ``all_pairs`` count pairs of query and row.
+    """
+
+    groups: list[list[int]]
+    asked: list[int]
+    low: np.ndarray
+    high: np.ndarray
+    sent: list[int]
+    compared: int
+    all_pairs: int
+
+
+def join_plan(cells: Cells, queries: dict[int, tuple[int, float]], rows: dict[int, tuple[int, float, float]],
+              nearest: dict[int, list[float]], k: int) -> Plan:
+    """From summaries of the cells: ``queries`` number and largest distance to the pivot, ``rows``
+    number, smallest and largest distance, ``nearest`` the k + 1 smallest distances, by cell.
+
+    The k + 1 nearest rows to the pivots bound how far the k-th neighbour of a cell's queries can be
+    (one of them may be the query itself). Cells of queries that need nearly the same rows are
+    solved together, those that need different ones are not, however near.
+    """
+    apart = _apart(cells.pivots)
+    slack = 1e-6 * (1 + np.sqrt(cells.longest))
+    n_cells = len(cells.pivots)
+    counts, least, most = np.zeros(n_cells, np.int64), np.full(n_cells, np.inf), np.full(n_cells, -np.inf)
+    for c, (n, near, far) in rows.items():
+        counts[c], least[c], most[c] = n, near, far
+    low, high = np.full((n_cells, n_cells), np.inf), np.full((n_cells, n_cells), -np.inf)
+    owner = np.repeat(list(nearest), [len(d) for d in nearest.values()])
+    at = np.concatenate([np.asarray(d, float) for d in nearest.values()])
+    for c, (_, far) in queries.items():
+        upper = far + apart[c, owner] + at
+        reach = np.partition(upper, k)[k] if len(upper) > k else np.inf
+        # a row at distance d from its pivot is at least | apart - d | - far from every query of the cell
+        low[c] = np.maximum(least, apart[c] - far - reach - slack)
+        high[c] = np.minimum(most, apart[c] + far + reach + slack)
+    needs = low <= high
+    left, groups = sorted(queries, key=lambda c: (-queries[c][0], c)), []
     while left:
-        seed = max(left, key=lambda c: (counts[c], -c))
-        near = sorted(left, key=lambda c: (c != seed, float(((pivots[c] - pivots[seed]) ** 2).sum()), c))
-        group, held = [], 0
-        for c in near:
-            if group and held + counts[c] > size:
-                break
-            group.append(c)
-            held += counts[c]
-        out.append(group)
-        left -= set(group)
-    return out
+        seed, group = left[0], [left[0]]
+        union, held, fewest = needs[seed].copy(), queries[seed][0], counts[needs[seed]].sum()
+        for c in sorted(left[1:], key=lambda c: (apart[seed, c], c)):
+            both, fewer = union | needs[c], min(fewest, counts[needs[c]].sum())
+            if held + queries[c][0] <= GROUP_QUERIES and counts[both].sum() <= WIDER * fewer:
+                group.append(c)
+                union, held, fewest = both, held + queries[c][0], fewer
+        groups.append(group)
+        left = [c for c in left if c not in set(group)]
+    asked = [sum(queries[c][0] for c in g) for g in groups]
+    sent = [int(counts[needs[g].any(axis=0)].sum()) for g in groups]
+    return Plan(groups, asked, low, high, sent, sum(a * b for a, b in zip(asked, sent)), sum(asked) * int(counts.sum()))
+
+
+def _spread(points: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` of the points, each the farthest from those before it."""
+    floats = points.astype(np.float64)
+    chosen, near = [0], np.full(len(points), np.inf)
+    while len(chosen) < min(n, len(points)):
+        near = np.minimum(near, ((floats - floats[chosen[-1]]) ** 2).sum(axis=1))
+        chosen.append(int(near.argmax()))
+    return points[chosen]
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, *, pivots: int = PIVOTS) -> DataFrame:
+def _apart(points: np.ndarray) -> np.ndarray:
+    """Distances between points, without a table of their differences."""
+    squares = (points * points).sum(1)
+    return np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * points @ points.T, 0.0))
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, *, pivots: int | None = None,
+          report: Callable[[Plan], None] | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of highest inner product with each query.
 
-    ``vectors`` has ``vec_id, vector`` (longs). Pivots are a few rows chosen by hash. Every query and
-    row belongs to the cell of its nearest pivot. From the distances of the k + 1 rows nearest to
-    each pivot and the width of a cell of queries follows a bound that the k-th neighbour of any
-    query of the cell keeps; a row goes to a group of queries only if its distance to its pivot
-    lets it come that near. Groups are split by their number of queries and rows into blocks,
-    so a crowded cell is many tasks; each solves its part and the parts' ranks are merged.
+    ``vectors`` has ``vec_id, vector`` (longs). Pivots are far apart rows of a sample by hash, as many
+    as the root of the number of rows. Every query and row belongs to the cell of its nearest pivot. From the
+    distances of the k + 1 rows nearest to each pivot and the width of a cell of queries follows a
+    bound that the k-th neighbour of any query of the cell keeps; a row goes to a group of such
+    cells only if its distance to its pivot lets it come that near, and is sent once to a group.
+    Groups are split by their number of queries and of rows into blocks, so a crowded cell is many
+    tasks; each solves its part and the parts' ranks are merged. ``report`` is given the plan.
 
     A query's own id is no candidate. Of repeated ids the smallest vector counts, NULL ids and
     vectors take no part, shorter vectors are filled with zeros, scores beyond a long stop at its
@@ -133,49 +198,45 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, *, pivots: int = PI
         if width is None:
             return spark.createDataFrame([], told)
         width = 1  # empty vectors: every product is 0
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("vector").collect()
-    cells = Cells(np.array([r.vector + [0] * (width - len(r.vector)) for r in chosen], np.int64), longest)
+    total = rows.count()
+    pivots = pivots or min(MAX_PIVOTS, math.isqrt(total) + 1)
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLED * pivots).select("vector").collect()
+    points = np.array([r.vector + [0] * (width - len(r.vector)) for r in sample], np.int64)
+    cells = Cells(_spread(points, pivots), longest)
     placed = staged(_placed(rows, cells, width), "cells")
 
     # summaries: a few numbers per cell
-    of_queries = {r.qcell: r for r in placed.filter("query").groupBy("qcell").agg(
+    of_queries = {r.qcell: (r.n, r.far) for r in placed.filter("query").groupBy("qcell").agg(
         F.max("qdistance").alias("far"), F.count("*").alias("n")).collect()}
     if not of_queries:
         return spark.createDataFrame([], told)
-    nearest = Window.partitionBy("cell").orderBy("distance")
-    near = placed.select("cell", "distance").withColumn("r", F.row_number().over(nearest)) \
-        .filter(F.col("r") <= k + 1).groupBy("cell").agg(F.collect_list("distance").alias("d")).collect()
-    total = placed.count()
-    apart = np.sqrt(np.maximum(((cells.pivots[:, None, :] - cells.pivots[None, :, :]) ** 2).sum(-1), 0.0))
-    at_rows = cells.pivots[:, :-1]
-    as_query = np.hstack([at_rows, np.zeros((len(at_rows), 1))])
-    # queries lie in the plane where the last component is 0, so their distances to pivots do too
-    reach = {}
-    for c, q in of_queries.items():
-        upper = np.sort(np.concatenate([q.far + apart[c, r.cell] + np.array(r.d) for r in near]))
-        reach[c] = upper[k] if len(upper) > k else np.inf
-    groups = _groups({c: q.n for c, q in of_queries.items()}, as_query, GROUP_QUERIES)
-    blocks = max(1, -(-total // BLOCK_ROWS))
-    slack = 1e-6 * (1 + np.sqrt(longest))
+    ordered = Window.partitionBy("cell").orderBy("distance")
+    nearest = {r.cell: r.d for r in placed.select("cell", "distance").withColumn("r", F.row_number().over(ordered))
+               .filter(F.col("r") <= k + 1).groupBy("cell").agg(F.collect_list("distance").alias("d")).collect()}
+    of_rows = {r.cell: (r.n, r.near, r.far) for r in placed.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("distance").alias("near"), F.max("distance").alias("far")).collect()}
+    plan = join_plan(cells, of_queries, of_rows, nearest, k)
+    if report:
+        report(plan)
+
     member, needs = [], []
-    for g, group in enumerate(groups):
-        n = sum(of_queries[c].n for c in group)
-        member += [(c, g, max(1, -(-n // GROUP_QUERIES))) for c in group]
-        for cell in range(len(cells.pivots)):
-            # a row of this cell at distance d from its pivot can matter to a query of cell c only if
-            # | apart - d | <= far + reach
-            spans = [(apart[c, cell] - of_queries[c].far - reach[c], apart[c, cell] + of_queries[c].far + reach[c])
-                     for c in group]
-            needs.append((cell, g, max(1, -(-n // GROUP_QUERIES)), float(max(0.0, min(s[0] for s in spans) - slack)),
-                          float(max(s[1] for s in spans) + slack)))
-    asked = spark.createDataFrame(member, "c int, g int, parts int")
-    wanted = spark.createDataFrame(needs, "c int, g int, parts int, low double, high double")
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    data = placed.join(F.broadcast(wanted), (F.col("cell") == F.col("c")) & F.col("distance").between(F.col("low"), F.col("high"))) \
-        .select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block.alias("block"), "vec_id", "vector")
+    for g, group in enumerate(plan.groups):
+        split = (max(1, -(-plan.asked[g] // GROUP_QUERIES)), max(1, -(-plan.sent[g] // BLOCK_ROWS)))
+        member += [(c, g, *split) for c in group]
+        low, high = plan.low[group], plan.high[group]
+        needed = low <= high
+        low, high = np.where(needed, low, np.inf).min(axis=0), np.where(needed, high, -np.inf).max(axis=0)
+        needs += [(int(cell), g, *split, float(low[cell]), float(high[cell])) for cell in np.nonzero(needed.any(axis=0))[0]]
+    asked = spark.createDataFrame(member, "c int, g int, parts int, blocks int")
+    wanted = spark.createDataFrame(needs, "c int, g int, parts int, blocks int, low double, high double")
+    # as many lines as cells that can hold neighbours, per group: broadcast up to a size
+    wanted = F.broadcast(wanted) if len(needs) <= BROADCAST_NEEDS else wanted
+    data = placed.join(wanted, (F.col("cell") == F.col("c")) & F.col("distance").between(F.col("low"), F.col("high"))) \
+        .select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector")
     queries = placed.filter("query").join(F.broadcast(asked), F.col("qcell") == F.col("c")) \
         .select("g", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
-                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                 F.col("vec_id").alias("vec_id"), F.col("vector").alias("vector"))
 
     def solve(asking: pa.Table, given: pa.Table) -> pa.Table:

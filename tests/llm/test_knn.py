@@ -39,6 +39,22 @@ def test_against_brute_force(spark, monkeypatch, shape):
     assert found(spark, rows, 7, pivots=9) == plain(rows, lambda i: i % 20 == 0, 7)
 
 
+def test_bounds_leave_most_pairs_out(spark, monkeypatch):
+    """On clustered vectors of one length fewer than a fifth of all pairs are compared, the result is whole."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 1, (24, 16))
+    points = centres[rng.integers(0, 24, 1500)] + rng.normal(0, .01, (1500, 16))
+    points *= 8 / np.linalg.norm(points, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    plans = []
+    assert found(spark, rows, 7, report=plans.append) == plain(rows, lambda i: i % 20 == 0, 7)
+    plan, = plans
+    assert plan.all_pairs == 75 * 1500 and plan.compared < plan.all_pairs / 5
+    assert len(plan.groups) > 1 and sum(plan.asked) == 75
+    monkeypatch.setattr(knn, "BROADCAST_NEEDS", 0)  # the plan as a table that shuffles
+    assert found(spark, rows[:400], 3, pivots=10) == plain(rows[:400], lambda i: i % 20 == 0, 3)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [None, 1.0]), (5, [3.0]),
