@@ -192,19 +192,20 @@ def relationships_where(
 
 def sequential_values(
     df: DataFrame, column: str, interval: int = 1, part: str | None = None,
-    by: Sequence[str] = (), **options,
+    by: Sequence[str] = (), slice_bytes: int | None = None, **options,
 ) -> FrameRule:
     """Values that are not the previous one plus ``interval``, with the number of such rows.
 
     Equal rows are counted first: one of them follows the previous value, the others follow their
-    own value.
+    own value. With ``slice_bytes`` groups are not counted; slices of that size are cut through them.
     """
     df = _limited(df, options)
     rows = df.where(as_column(column).isNotNull()).groupBy(
         *by, as_column(column).alias("value")
     ).agg(F.count("*").alias("_n"))
     found = with_neighbour(
-        rows, by, ["value"], "value", "previous", small_groups=groups_are_small(df, by)
+        rows, by, ["value"], "value", "previous",
+        small_groups=slice_bytes is None and groups_are_small(df, by), slice_bytes=slice_bytes,
     )
 
     def out_of_step(previous: Column) -> Column:
@@ -235,11 +236,12 @@ GAPS = {"not_allowed": "=", "allowed": "<=", "required": "<"}
 
 def mutually_exclusive_ranges(
     df: DataFrame, lower: str, upper: str, by: Sequence[str] = (), gaps: str = "allowed",
-    zero_length: bool = False, **options,
+    zero_length: bool = False, slice_bytes: int | None = None, **options,
 ) -> FrameRule:
     """Ranges that are empty or meet the next one, with the number of such rows.
 
-    ``lower`` and ``upper`` are expressions. A range with a NULL bound is a violation.
+    ``lower`` and ``upper`` are expressions. A range with a NULL bound is a violation. ``slice_bytes``
+    as in :func:`sequential_values`.
     """
     if gaps not in GAPS:
         raise ValueError(f"gaps must be one of {sorted(GAPS)}, not {gaps!r}")
@@ -252,7 +254,8 @@ def mutually_exclusive_ranges(
     )
     following = with_neighbour(
         bounded, by, ["lower_bound", "_open", "upper_bound"], "lower_bound", "next_lower_bound",
-        following=True, small_groups=groups_are_small(df, by),
+        following=True, small_groups=slice_bytes is None and groups_are_small(df, by),
+        slice_bytes=slice_bytes,
     ).drop("_open")
     # Of equal rows, all but the last are followed by their own bound.
     each = F.array(

@@ -325,6 +325,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return dq.sequential_values(read_table(spark, folder, "lineitem"), "l_shipdate", 1, "day").frame
 
 
+@work.add("dq_sequential_values_sliced", """
+SELECT l_suppkey, value, previous, count(*) AS n_rows FROM (
+  SELECT l_suppkey, l_partkey AS value, lag(l_partkey) OVER (PARTITION BY l_suppkey ORDER BY l_partkey) AS previous
+  FROM lineitem)
+WHERE NOT (value = previous + 100) GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    items = read_table(spark, folder, "lineitem")  # cut through the groups, whatever their size
+    return dq.sequential_values(items, "l_partkey", 100, by=["l_suppkey"], slice_bytes=1 << 16).frame
+
+
 @work.add("dq_unique_combination", """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n_records
 FROM lineitem GROUP BY ALL HAVING count(*) > 1""")

@@ -16,6 +16,7 @@ def path(request, monkeypatch):
     """Both plans: sliced by ranges, and a window per counted group."""
     monkeypatch.setattr(neighbours.groups_are_small, "__defaults__",
                         (0 if request.param == "sliced" else 10**9,))
+    monkeypatch.setattr(neighbours, "SLICE_BYTES", 600)  # a few rows
     return request.param
 
 

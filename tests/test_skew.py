@@ -24,15 +24,14 @@ def skewed(n, seed):
 def test_neighbour_across_slices(spark, n, parts, following):
     data = sorted({(g, v) for g, v, _ in skewed(n, n)}, key=str)
     df = spark.createDataFrame(data, "g INT, v INT").repartition(3)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
     aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        out = with_neighbour(df, ["g"], ["v"], "v", "near", following)
+        size = 32 * len(data)  # two columns a row
+        out = with_neighbour(df, ["g"], ["v"], "v", "near", following, slice_bytes=size // parts)
+        assert "_edge" in out._jdf.queryExecution().optimizedPlan().toString()
         got = {(r.g, r.v): r.near for r in out.collect()}
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
     want = {}
     for g in {g for g, _ in data}:
@@ -45,9 +44,13 @@ def test_neighbour_across_slices(spark, n, parts, following):
 
 def test_neighbour_ungrouped(spark):
     df = spark.createDataFrame([(v,) for v in range(0, 999, 3)], "v INT").repartition(5)
-    out = with_neighbour(df, [], ["v"], "v", "previous")
-    assert out.where("v <> previous + 3").count() == 0
-    assert out.where("previous IS NULL").count() == 1
+    for slice_bytes in (None, 1000, 16):  # one slice, some, one for each row
+        out = with_neighbour(df, [], ["v"], "v", "previous", slice_bytes=slice_bytes)
+        assert ("_edge" in out._jdf.queryExecution().optimizedPlan().toString()) == (slice_bytes is not None)
+        assert out.where("v <> previous + 3").count() == 0
+        assert out.where("previous IS NULL").count() == 1
+    none = with_neighbour(df.limit(0), [], ["v"], "v", "previous", slice_bytes=1)
+    assert none.count() == 0
 
 
 def test_lookup_salts_heavy_keys(spark, rows):
