@@ -117,7 +117,8 @@ def suspects(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFr
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
-    """``item_id, n_item, size, ipos, hash, islots``; items shorter than a window are one window.
+    """``item_id, n_item, size, ipos, hash, islots, own``; items shorter than a window are one window.
+    ``own``: no item of another template has this window.
 
     Windows with more placeholders than words and those of fewer than five tokens say little as
     templates; they are hashed with their values, so that only verbatim copies meet them. NULL texts
@@ -130,11 +131,16 @@ def benchmark_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
     """The same of :func:`benchmark_items`."""
+    # without its first token, which differs between an item's two forms
+    template = F.xxhash64(F.slice("canonical", 2, F.size("canonical")))
     parts = [items.filter(F.col("size") == size).select(
-        "item_id", "n_item", F.inline(_windows(F.col("canonical"), F.col("kept"), size)))
+        "item_id", "n_item", template.alias("template"), F.inline(_windows(F.col("canonical"), F.col("kept"), size)))
         for size in range(1, window + 1)]
-    return reduce(DataFrame.union, parts) \
-        .select("item_id", "n_item", "size", F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"))
+    each = reduce(DataFrame.union, parts)
+    owned = each.groupBy(F.col("size").alias("osize"), F.col("hash").alias("ohash")) \
+        .agg((F.min("template") == F.max("template")).alias("own"))
+    return each.join(owned, (F.col("size") == F.col("osize")) & (F.col("hash") == F.col("ohash"))) \
+        .select("item_id", "n_item", "size", F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"), "own")
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_tokens: int = 12) -> DataFrame:
@@ -145,7 +151,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
     the documents that meet one are then compared, window by window. Hits of a
     document and an item are grouped by their offset; a group counts if it covers ``min_tokens``
     tokens (or the whole of a shorter item) and its slots are consistent: a value of the item
-    always stands for the same value of the document, and the other way round.
+    always stands for the same value of the document, and the other way round. Words that items of
+    different templates share, such as a common question, are no leak of any of them: a group holds
+    a window of its item's own, or the whole item.
 
     Result, one row per document and item: ``doc_id, item_id, n_tokens`` (covered), ``first_token``
     (from 0), ``n_slots``, ``exact`` (all slots keep their values), ``key`` (hash of the text).
@@ -169,10 +177,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
     other = items.withColumnRenamed("size", "isize").withColumnRenamed("hash", "ihash")
     hits = shown.join(F.broadcast(other) if small else other,
                       (F.col("hash") == F.col("ihash")) & (F.col("size") == F.col("isize"))) \
-        .select("doc_id", "key", "item_id", "n_item", "size", "pos", (F.col("pos") - F.col("ipos")).alias("offset"),
+        .select("doc_id", "key", "item_id", "n_item", "size", "pos", "own", (F.col("pos") - F.col("ipos")).alias("offset"),
                 F.arrays_zip(F.col("islots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"))
     runs = hits.groupBy("doc_id", "key", "item_id", "n_item", "size", "offset").agg(
-        F.sort_array(F.collect_set("pos")).alias("at"), F.min("pos").alias("start"),
+        F.sort_array(F.collect_set("pos")).alias("at"), F.min("pos").alias("start"), F.max("own").alias("own"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     # tokens hit: a window adds what the next one doesn't
     covered = F.aggregate(F.transform("at", lambda p, i: F.least(
@@ -181,6 +189,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, *, window: int = 8, min_to
     distinct = [F.size(F.array_distinct(same[side])) for side in ("theirs", "ours")]
     agreed = runs.filter(
         (covered >= F.least(F.lit(min_tokens), F.col("n_item")))
+        & (F.col("own") | (covered == F.col("n_item")))
         & (distinct[0] == F.size(same)) & (distinct[1] == F.size(same)))
     return agreed.groupBy("doc_id", "key", "item_id").agg(F.max(F.struct(
         covered.cast("long").alias("n_tokens"), (-F.col("start")).alias("minus"), F.size(same).alias("n_slots"),

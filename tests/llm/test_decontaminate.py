@@ -52,6 +52,16 @@ def test_verbatim_copies_of_slots_and_short_items(spark):
     assert all(r.exact for r in hits.values()) and hits[1, 1].n_tokens == 11
 
 
+def test_a_shared_stem_is_no_leak(spark):
+    stem = "Which of the following statements about the passage above is correct in every case: "
+    items = [(1, stem + "whales"), (2, stem + "otters"), (3, stem + "otters"), (4, stem), (5, ITEM), (6, OTHER)]
+    docs = [(1, "x " + stem + "foxes, he said."), (2, stem + "whales"), (3, "a " + stem + "otters."), (4, ITEM), (5, OTHER[:90])]
+    hits = set(found(spark, docs, items[:3] + items[4:]))
+    # items of one template hold the same windows, which are still their own
+    assert hits == {(2, 1), (3, 2), (3, 3), (4, 5), (4, 6), (5, 5), (5, 6)}
+    assert set(found(spark, docs[:1], items)) == {(1, 4)}
+
+
 def test_joined_without_broadcast(spark, monkeypatch):
     from siltline.llm import decontaminate
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
