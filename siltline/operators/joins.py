@@ -7,7 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, DateType, MapType, NumericType, StringType, StructType,
+    TimestampNTZType, TimestampType,
+)
 
 # A table of at most this many rows and bytes may be broadcast.
 BROADCAST_ROWS = 200_000
@@ -15,6 +18,10 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 # A key counts as heavy from this share of the rows, so there are at most 1 / share of them.
 HEAVY_SHARE = 0.005
 SALTS = 64
+# Keys a sketch of frequent keys tracks for each that can be heavy; its counts are then off by at most
+# 0.1 % of the rows.
+TRACKED = 20
+SKETCHED = (NumericType, StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -40,11 +47,20 @@ def is_small(
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
-    """Values of ``key`` that hold at least ``share`` of the rows: at most 1 / share values."""
+    """Values of ``key`` that hold at least ``share`` of the rows: at most 1 / share values.
+
+    One pass, in which each task ships a sketch of its frequent keys and not its keys. The sketch
+    loses no heavy key; where there are very many keys it can take one for heavy that is just below.
+    """
+    most = math.ceil(1 / share)
+    if isinstance(df.schema[key].dataType, SKETCHED):
+        top = F.expr(f"approx_top_k(`{key}`, {most}, {max(TRACKED * most, 4000)})")
+        seen = df.agg(top.alias("top"), F.count("*").alias("total")).first()
+        return [row["item"] for row in seen.top if row["count"] >= max(seen.total * share, 1)]
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     total = df.agg(F.count("*").alias("total")).scalar()
     heavy = counts.where(F.col("n") >= F.greatest(total * F.lit(share), F.lit(1)))
-    return [row[0] for row in heavy.select(key).limit(math.ceil(1 / share)).collect()]
+    return [row[0] for row in heavy.select(key).limit(most).collect()]
 
 
 def _in_values(column: Column, values: list) -> Column:

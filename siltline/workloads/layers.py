@@ -159,9 +159,11 @@ FACT_SQL = f"""{SILVER_SQL}, {CUSTOMERS_SQL}, {PRODUCTS_SQL}, fact AS (
 
 
 def fact(spark: SparkSession, folder: str, transactions: DataFrame | None = None) -> DataFrame:
-    """The cleaned dimensions are tables, as in the whole job: they are counted and then joined."""
+    """The cleaned tables are written, as in the whole job: they are counted and then joined."""
+    if transactions is None:
+        transactions = staged(silver_transactions(spark, folder), "transactions")
     return gold.fact_transactions(
-        silver_transactions(spark, folder) if transactions is None else transactions,
+        transactions,
         staged(silver_customers(spark, folder), "customers"),
         staged(silver_products(spark, folder), "products"),
     )

@@ -1,6 +1,7 @@
 """Operators under heavy keys, against brute force in plain Python."""
 
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from siltline.operators import joins
 from siltline.operators.latest import latest_per_key
 from siltline.operators.neighbours import with_neighbour
+from siltline.plans import gold
+from siltline.workloads import layers
 
 
 def skewed(n, seed):
@@ -100,3 +103,48 @@ def test_latest_puts_nulls_last(spark, rows):
     df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (2, None, "c")], "k INT, o INT, x STRING")
     assert rows(latest_per_key(df, ["k"], ["o"])) == [(1, 5, "b"), (2, None, "c")]
     assert rows(latest_per_key(df, ["k"], [F.asc_nulls_first("o")]))[0] == (1, None, "a")
+
+
+def counted(spark, df):
+    """The frame, and a count of the rows that are computed of it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    first = df.columns[0]
+    kind = df.schema[first].dataType
+    return df.withColumn(first, F.udf(count, kind).asNondeterministic()(first)), seen
+
+
+def test_heavy_keys_in_one_pass(spark):
+    """Its rows are computed once, and tasks ship no keys."""
+    df, seen = counted(spark, spark.createDataFrame(skewed(600, 5), "k INT, v INT, id INT"))
+    assert set(joins.heavy_keys(df, "k", 0.3)) == {0}
+    assert seen.value == 600
+    assert joins.heavy_keys(df.limit(0), "k") == []
+    many = spark.range(200_000).select(
+        F.when(F.col("id") % 50 == 0, 7).when(F.col("id") % 60 == 1, None).otherwise(F.col("id") + 100).alias("k"))
+    assert set(joins.heavy_keys(many, "k")) == {7, None}
+    assert joins.heavy_keys(many.select(F.col("k").cast("string").cast("binary").alias("k")), "k", 0.015) != []
+
+
+def test_fact_computes_its_transactions_once(spark, rows, monkeypatch):
+    """Also where the dimensions are too large to broadcast and heavy keys are looked for."""
+    lines = spark.createDataFrame(
+        [(i, 5 if i % 2 else i, i % 7 or None, 1, "1.5", "NEW") for i in range(300)],
+        "transaction_id BIGINT, customer_id INT, product_id INT, quantity INT, amount STRING, status STRING",
+    ).withColumns({"amount": F.col("amount").cast("decimal(10,2)"), "net_amount": F.lit(1).cast("decimal(10,2)"),
+                   "transaction_date": F.lit("2024-01-01").cast("timestamp")})
+    transactions, seen = counted(spark, lines)
+    customers = spark.createDataFrame([(i, f"n{i}", "x", "y") for i in range(0, 300, 3)],
+                                      "customer_id INT, full_name STRING, country STRING, city STRING")
+    products = spark.createDataFrame([(i, f"p{i}", "x", "y") for i in range(1, 5)],
+                                     "product_id INT, product_name STRING, category STRING, brand STRING")
+    for name, frame in (("transactions", transactions), ("customers", customers), ("products", products)):
+        monkeypatch.setattr(layers, f"silver_{name}", lambda spark, folder, frame=frame: frame)
+    small = rows(gold.fact_transactions(lines, customers, products))
+    monkeypatch.setattr(gold, "lookup", partial(joins.lookup, max_rows=1))
+    assert rows(layers.fact(spark, "none")) == small
+    assert seen.value == 300
