@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..operators.joins import is_small
 from ..sources.keyed_table import SIGN, VERSION, KeyedTable
@@ -148,6 +148,13 @@ class Metric:
         return state.withColumns(sums).drop(*[f"_n_{n}" for n in self.sums]) if sums else state
 
 
+    def adds_up(self, state: StructType, commits: int) -> bool:
+        """Whether the signed rows of so many commits give the deltas as they are, without their net.
+        A row that came and went cancels out in exact sums; for smallest and largest values the rows
+        must be those before and after, as they are in one commit."""
+        exact = not any(isinstance(state[n].dataType, (FloatType, DoubleType)) for n in self.sums)
+        return exact and (commits == 1 or not (self.lows or self.highs))
+
 def maintain_metric(source: KeyedTable, state: KeyedTable, metric: Metric) -> int:
     """Bring a metric's state (keyed by the metric's keys) up to date with its source.
 
@@ -164,7 +171,9 @@ def maintain_metric(source: KeyedTable, state: KeyedTable, metric: Metric) -> in
     signed = source.changes(seen)
     if signed is None:
         return state.replace(_keyed(metric.totals(source.read()), metric), marks=marks)
-    delta = staged(_keyed(metric.deltas(net_rows(signed, source.keys)), metric), "delta")
+    if not metric.adds_up(state.schema, commits=version - seen):
+        signed = net_rows(signed, source.keys)
+    delta = staged(_keyed(metric.deltas(signed), metric), "delta")
     buckets = [r[0] for r in delta.select(state.bucket_of()).distinct().collect()]
     held = state.located(buckets=buckets).select(*[F.col(n).alias(f"_old_{n}") for n in state.names])
     both = delta.join(held, F.col(KEY) == F.col(f"_old_{KEY}"), "left")
