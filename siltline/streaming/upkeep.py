@@ -190,8 +190,12 @@ def maintain_metric(source: KeyedTable, state: KeyedTable, metric: Metric) -> in
     result = changed.where("NOT _lost OR n_rows = 0")
     again = changed.where("_lost AND n_rows > 0")
     if not again.isEmpty():
-        fresh = _keyed(metric.totals(source.read().join(
-            _broadcast_if_small(again.select(F.col(KEY).alias("_again"))), _key_of(metric) == F.col("_again"), "left_semi")), metric)
+        groups = again.select(F.col(KEY).alias("_again"))
+        if is_small(groups):
+            groups = F.broadcast(groups)
+            fresh = _keyed(metric.totals(source.read().join(groups, _key_of(metric) == F.col("_again"), "left_semi")), metric)
+        else:  # tasks add up their rows before anything is shuffled
+            fresh = _keyed(metric.totals(source.read()), metric).join(groups, F.col(KEY) == F.col("_again"), "left_semi")
         result = result.drop("_lost").unionByName(fresh)
     return state.merge(result.withColumn("is_delete", F.col("n_rows") == 0).select(*state.names, "is_delete"), marks)
 
@@ -199,11 +203,6 @@ def maintain_metric(source: KeyedTable, state: KeyedTable, metric: Metric) -> in
 KEY = "_key"  # the group as one text, NULL keys included
 
 
-def _broadcast_if_small(df: DataFrame) -> DataFrame:
-    df = staged(df, "again")
-    return F.broadcast(df) if is_small(df) else df
-
-
 def _key_of(metric: Metric) -> Column:
     return F.to_json(F.struct(*[F.expr(e).cast("string").alias(k) for k, e in metric.keys.items()]))
 
