@@ -443,7 +443,7 @@ def transaction_events(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """All raw transactions as a stream of change events, through log, merge and fact."""
     landing, root = new_folder(spark, "events"), new_folder(spark, "stream")
-    transaction_events(spark, folder).write.text(landing)
+    transaction_events(spark, folder).write.option("compression", "gzip").text(landing)
     layout = StreamLayout(root, slot="date_trunc('YEAR', transaction_date)")
     done = run_streams(
         spark, read_event_files(spark, landing), TRANSACTION_FILE_FEED, layout,
