@@ -53,8 +53,9 @@ def merge_into(
 
     touched = set(seen.slots)
     if table.slots():
-        # The key range reaches the parquet scan and skips row groups without changed keys.
-        near = table.read().where(F.col(key).between(seen.low, seen.high))
+        # The key range reaches the parquet scan and skips row groups without changed keys. Slots with
+        # new rows are read anyway.
+        near = table.read(table.slots().keys() - touched).where(F.col(key).between(seen.low, seen.high))
         held = near.join(changed, list(keys), "left_semi")
         touched |= {
             r.slot for r in held.select(table.slot_of().alias("slot")).distinct().collect()

@@ -16,6 +16,7 @@ from siltline.streaming.bronze import append_log
 from siltline.streaming.gold import merge_fact
 from siltline.streaming.merge import SilverMerge, merge_events, merge_into
 from siltline.streaming.runs import RunWatch, TooManyRejected, finish, start
+from siltline.workloads import layers
 
 from .test_changes import event
 
@@ -332,3 +333,39 @@ def test_watched_run_ends_between_batches(spark, tmp_path):
     assert not first.isActive and 0 < done < 6
     finish(query(), watch=RunWatch())
     assert {i for i, _ in seen} == set(range(6)) and len(seen) <= 7  # at most the one that was cut short comes again
+
+
+def test_events_land_compressed(spark, monkeypatch):
+    """The landed events are the largest thing the streaming query writes."""
+    events = spark.createDataFrame([(f'{{"op": "c", "n": {i}}}',) for i in range(50)], "value STRING")
+    folders = []
+
+    def landed(spark, folder):
+        folders.append(folder)
+        raise InterruptedError
+
+    monkeypatch.setattr(layers, "transaction_events", lambda spark, folder: events)
+    monkeypatch.setattr(layers, "read_event_files", landed)
+    with pytest.raises(InterruptedError):
+        layers.work.queries["medallion_stream"](spark, "none")
+    found = spark.read.text(folders[0])
+    assert all(f.endswith(".gz") for f in found.inputFiles())
+    assert sorted(found.collect()) == sorted(events.collect())
+
+
+def test_merge_looks_for_old_rows_in_other_slots_only(spark, tmp_path, monkeypatch):
+    table = LayerTable(spark, str(tmp_path / "t"), "id BIGINT, at DATE, v INT", "at")
+    days = spark.range(30).select("id", F.expr("date_add(DATE '2024-01-01', CAST(id % 3 AS INT))").alias("at"), F.lit(1).alias("v"))
+    table.replace(days)
+    reads, read = [], LayerTable.read
+
+    def watched(self, slots=None):
+        reads.append(slots if slots is None else set(slots))
+        return read(self, slots)
+
+    monkeypatch.setattr(LayerTable, "read", watched)
+    moved = spark.createDataFrame([(0, 9, False), (4, 9, False)], "id BIGINT, v INT, is_delete BOOLEAN")
+    merge_into(table, moved.withColumn("at", F.expr("DATE '2024-01-03'")), ["id"])
+    assert reads[0] == {"2024-01-01", "2024-01-02"}
+    rows = {r.id: (str(r.at), r.v) for r in read(table).collect()}
+    assert len(rows) == 30 and rows[0] == rows[4] == ("2024-01-03", 9) and rows[1] == ("2024-01-02", 1)
