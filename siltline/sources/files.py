@@ -46,6 +46,16 @@ def removed(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def moved(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in another's place, by the file system's own rename."""
+    fs, old = file_system(spark, source)
+    _, new = file_system(spark, target)
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def age_seconds(spark: SparkSession, path: str) -> float:
     """Seconds since a file or folder was changed."""
     fs, hadoop_path = file_system(spark, path)

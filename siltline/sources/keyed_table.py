@@ -2,11 +2,11 @@
 
 Rows lie in parquet partitions by slot (a date) and by a hash bucket of the key. A merge reads the
 buckets of its keys only, through partition filters, and rewrites the (slot, bucket) partitions that
-hold an old or a new row of a changed key by dynamic partition overwrite. Each commit also keeps what
-it changed as signed rows, from which facts and metrics are kept up to date.
+hold an old or a new row of a changed key. Each commit also keeps what it changed as signed rows, from
+which facts and metrics are kept up to date.
 
-A commit is prepared beside the table and then decided by one small file; publishing it can be
-repeated, so a driver that is lost half way is made good by the next writer. One writer per table at
+A commit is prepared beside the table and then decided by one small file; publishing it renames the
+written partitions into place, as Spark's own commit of a dynamic overwrite does, and can be repeated, so a driver that is lost half way is made good by the next writer. One writer per table at
 a time. Readers that opened the table before a commit must open it again.
 """
 
@@ -21,13 +21,22 @@ from pyspark.sql.types import StructType
 
 from ..operators.changes import added_rows, kept_rows, merge_in_sequence
 from ..operators.joins import is_small
-from .files import matching_paths, publish_text, read_text, removed
+from .files import matching_paths, moved, publish_text, read_text, removed
 from .staging import staged
 
-SLOT, BUCKET, VERSION, SIGN = "_slot", "_bucket", "_version", "_sign"
+SLOT, BUCKET, VERSION, SIGN, MET = "_slot", "_bucket", "_version", "_sign", "_met"
 WHOLE, NO_DATE = "whole", "none"
 Pair = tuple[str, int]
 Check = Callable[[DataFrame], object]
+# Changed keys alone, without their rows, are broadcast up to this number and so many bytes.
+KEY_ROWS, KEY_BYTES = 2_000_000, 32 * 1024 * 1024
+
+
+def _in_pairs(located: DataFrame, pairs: Iterable[Pair]) -> DataFrame:
+    """Rows of the given partitions."""
+    pairs = list(pairs)
+    rows = located.where(F.col(SLOT).isin(sorted({s for s, _ in pairs})) & F.col(BUCKET).isin(sorted({b for _, b in pairs})))
+    return rows.where(F.concat_ws("/", SLOT, BUCKET).isin([f"{s}/{b}" for s, b in pairs]))
 
 
 class KeyedTable:
@@ -98,9 +107,7 @@ class KeyedTable:
         if buckets is not None:
             rows = rows.where(F.col(BUCKET).isin(list(buckets)))
         if pairs is not None:
-            pairs = list(pairs)
-            rows = rows.where(F.col(SLOT).isin(sorted({s for s, _ in pairs})) & F.col(BUCKET).isin(sorted({b for _, b in pairs})))
-            rows = rows.where(F.concat_ws("/", SLOT, BUCKET).isin([f"{s}/{b}" for s, b in pairs]))
+            rows = _in_pairs(rows, pairs)
         return rows
 
     def read(self, slots: Iterable[str] | None = None) -> DataFrame:
@@ -119,7 +126,10 @@ class KeyedTable:
 
     def partitions(self) -> set[Pair]:
         """(slot, bucket) of all partitions that hold rows."""
-        found = matching_paths(self.spark, f"{self.root}/data/{SLOT}=*/{BUCKET}=*")
+        return self._partitions("data")
+
+    def _partitions(self, below: str) -> set[Pair]:
+        found = matching_paths(self.spark, f"{self.root}/{below}/{SLOT}=*/{BUCKET}=*")
         return {(p.split(f"{SLOT}=")[1].split("/")[0], int(p.split(f"{BUCKET}=")[1])) for p in found}
 
     def changes(self, since: int) -> DataFrame | None:
@@ -159,12 +169,19 @@ class KeyedTable:
         if seen.n == 0 and not marks:
             return self.version()
         changed = changes.select(*self.keys)
-        if is_small(changed):
-            changed = F.broadcast(changed)
+        in_range = F.coalesce(F.col(key).between(seen.low, seen.high), F.lit(False))
         near = self.located(buckets=seen.buckets).where(F.col(key).between(seen.low, seen.high))
-        places = near.select(*self.keys, SLOT, BUCKET).join(changed, self.keys, "left_semi").select(SLOT, BUCKET).distinct()
-        held = [(r[SLOT], r[BUCKET]) for r in places.collect()]
-        old = self.located(pairs=held).join(changed, self.keys, "left_semi").select(self.names)
+        small = is_small(changed, KEY_ROWS, KEY_BYTES)
+        if small:
+            changed = F.broadcast(changed)
+            places = near.select(*self.keys, SLOT, BUCKET).join(changed, self.keys, "left_semi").select(SLOT, BUCKET).distinct()
+            held = [(r[SLOT], r[BUCKET]) for r in places.collect()]
+            old = self.located(pairs=held).join(changed, self.keys, "left_semi").select(self.names)
+        else:
+            # The join shuffles, so it is done once, for the rows that go and for those that stay.
+            found = changed.dropDuplicates().withColumn(MET, F.lit(True))
+            near = staged(near.join(found, self.keys, "left").select(*self.names, SLOT, BUCKET, MET), "near")
+            old = near.where(MET).select(self.names)
         new = merge_in_sequence(old, changes, self.keys, sequence) if sequence else added_rows(changes, self.names)
 
         base = self.version()
@@ -173,7 +190,12 @@ class KeyedTable:
         signed.write.mode("overwrite").parquet(folder)
         signed = self.spark.read.schema(signed.schema).parquet(folder)
         touched = {(r[SLOT], r[BUCKET]) for r in signed.select(SLOT, BUCKET).distinct().collect()}
-        kept = kept_rows(self.located(pairs=touched), changed, self.keys)
+        kept = self.located(pairs=touched)
+        if small:
+            kept = kept_rows(kept, changed, self.keys)
+        else:
+            stay = _in_pairs(near.where(F.col(MET).isNull()).drop(MET), touched)
+            kept = kept.where(~in_range).unionByName(stay)
         came = signed.where(f"{SIGN} = 1").drop(SIGN)
         return self._decide(kept.unionByName(self._together(came)), touched, marks)
 
@@ -204,7 +226,7 @@ class KeyedTable:
         located.write.partitionBy(SLOT, BUCKET).mode("overwrite").parquet(rows)
         if check is not None:
             check(self._read(rows).select(self.names))
-        full = {(r[SLOT], r[BUCKET]) for r in self._read(rows).select(SLOT, BUCKET).distinct().collect()}
+        full = self._partitions("pending/rows")
         publish_text(self.spark, f"{self.root}/pending/commit", json.dumps({
             "version": base + 1, "reset": reset, "emptied": sorted(touched - full),
             "marks": self.marks() | dict(marks or {})}))
@@ -221,8 +243,9 @@ class KeyedTable:
     def _publish(self) -> None:
         """Every step can be repeated; the last but one makes the commit known."""
         commit = json.loads(read_text(self.spark, f"{self.root}/pending/commit"))
-        rows = self._read(f"{self.root}/pending/rows")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SLOT, BUCKET).parquet(f"{self.root}/data")
+        for slot, bucket in sorted(self._partitions("pending/rows")):
+            place = f"{SLOT}={slot}/{BUCKET}={bucket}"
+            moved(self.spark, f"{self.root}/pending/rows/{place}", f"{self.root}/data/{place}")
         for slot, bucket in commit["emptied"]:
             removed(self.spark, f"{self.root}/data/{SLOT}={slot}/{BUCKET}={bucket}")
         name = f"{self.root}/versions/{commit['version']:012d}"

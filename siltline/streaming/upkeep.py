@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..operators.joins import is_small
-from ..sources.keyed_table import SIGN, VERSION, KeyedTable
+from ..sources.keyed_table import KEY_BYTES, KEY_ROWS, SIGN, VERSION, KeyedTable
 from ..sources.staging import staged
 
 
@@ -53,8 +53,8 @@ class Dimension:
         return net.where(reduce(lambda a, b: a | b, differs, gone)).select(self.key)
 
 
-def _restricted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return rows.join(F.broadcast(keys) if is_small(keys) else keys, key, "left_semi")
+def _restricted(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    return rows.join(F.broadcast(keys) if is_small(keys, KEY_ROWS, KEY_BYTES) else keys, key, how)
 
 
 def maintain_fact(
@@ -80,8 +80,8 @@ def maintain_fact(
         if propagate_deletes or wide.version() == 0:
             return wide.replace(built, marks=marks)
         return wide.merge(built.withColumn("is_delete", F.lit(False)), marks)
-    net = staged(net_changes(signed, facts.keys), "net")
-    rows = [net.where("after IS NOT NULL").select("after.*")]
+    net = staged(net_changes(signed, facts.keys).drop("before"), "net")
+    rows, earlier = [], []
     for dimension, keys in zip(dimensions, moved):
         keys = staged(keys, "moved")
         if keys.isEmpty():
@@ -89,9 +89,15 @@ def maintain_fact(
         near = _restricted(facts.located().select(dimension.key, "_slot", "_bucket"), keys, dimension.key)
         pairs = [(r[0], r[1]) for r in near.select("_slot", "_bucket").distinct().collect()]
         theirs = _restricted(facts.located(pairs=pairs), keys, dimension.key).select(facts.names)
-        rows.append(theirs.join(net.select(*facts.keys), facts.keys, "left_anti").select(facts.names))
-    # a fact can hang on changed rows of several dimensions; it is built once
-    affected = reduce(DataFrame.unionByName, rows).dropDuplicates(facts.keys)
+        # a fact can hang on changed rows of several dimensions; it is built once
+        for other, known in earlier:
+            theirs = _restricted(theirs, known, other, "left_anti").select(facts.names)
+        earlier.append((dimension.key, keys))
+        rows.append(theirs)
+    affected = net.where("after IS NOT NULL").select("after.*")
+    if rows:
+        others = reduce(DataFrame.unionByName, rows)
+        affected = affected.unionByName(others.join(net.select(*facts.keys), facts.keys, "left_anti").select(facts.names))
     changes = build(staged(affected, "affected")).withColumn("is_delete", F.lit(False))
     if propagate_deletes:
         gone = net.where("after IS NULL").select(*facts.keys).withColumn("is_delete", F.lit(True))
@@ -142,12 +148,6 @@ class Metric:
         """Columns of the state; sums are as wide as a sum may get."""
         return self.totals(spark.createDataFrame([], rows)).schema
 
-    def presented(self, state: DataFrame) -> DataFrame:
-        """The totals, sums without any value as NULL."""
-        sums = {n: F.when(F.col(f"_n_{n}") > 0, F.col(n)) for n in self.sums}
-        return state.withColumns(sums).drop(*[f"_n_{n}" for n in self.sums]) if sums else state
-
-
     def adds_up(self, state: StructType, commits: int) -> bool:
         """Whether the signed rows of so many commits give the deltas as they are, without their net.
         A row that came and went cancels out in exact sums; for smallest and largest values the rows
@@ -155,6 +155,12 @@ class Metric:
         exact = not any(isinstance(state[n].dataType, (FloatType, DoubleType)) for n in self.sums)
         return exact and (commits == 1 or not (self.lows or self.highs))
 
+    def presented(self, state: DataFrame) -> DataFrame:
+        """The totals, sums without any value as NULL."""
+        sums = {n: F.when(F.col(f"_n_{n}") > 0, F.col(n)) for n in self.sums}
+        return state.withColumns(sums).drop(*[f"_n_{n}" for n in self.sums]) if sums else state
+
+
 def maintain_metric(source: KeyedTable, state: KeyedTable, metric: Metric) -> int:
     """Bring a metric's state (keyed by the metric's keys) up to date with its source.
 

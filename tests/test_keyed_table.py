@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline import quality as dq
@@ -226,3 +227,95 @@ def test_fact_by_changes_of_both_sides(spark, tmp_path, propagate):
     source.merge(transactions(spark, draw, 15))
     source.expire(keep=0)
     upkeep()
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_merges_with_many_changed_keys(spark, tmp_path, monkeypatch, small):
+    """Where the changed keys are too many to broadcast, against a dictionary; commits are published
+    by renaming what was written, without a further Spark job."""
+    jobs, publish, context = [], KeyedTable._publish, spark.sparkContext
+
+    def watched(self):
+        context.setJobGroup("publish", "publish")
+        publish(self)
+        context.setJobGroup("other", "other")
+        jobs.extend(context.statusTracker().getJobIdsForGroup("publish"))
+
+    monkeypatch.setattr(KeyedTable, "_publish", watched)
+    monkeypatch.setattr("siltline.sources.keyed_table.is_small", lambda *a: small)
+    table = table_at(spark, tmp_path / "t")
+    table.replace(rows(spark, *[(i, f"2024-01-0{1 + i % 3}", i, False) for i in range(20)], (None, "2024-01-01", 9, False)).drop("is_delete"))
+    held = state(table)
+    table.merge(rows(spark, (4, "2024-01-05", 40, False), (5, None, None, True), (6, None, 60, False), (30, "2024-01-01", 1, False), (31, None, None, True)))
+    held |= {4: ("2024-01-05", 40), 6: (None, 60), 30: ("2024-01-01", 1)}
+    del held[5]
+    assert state(table) == held and table.read().count() == 21
+    signed = sorted((r.id, r._sign, r.v) for r in table.changes(1).collect())
+    assert signed == [(4, -1, 4), (4, 1, 40), (5, -1, 5), (6, -1, 6), (6, 1, 60), (30, 1, 1)]
+    assert jobs == []
+
+
+def test_fact_of_two_changed_dimensions_is_built_once(spark, tmp_path, monkeypatch):
+    source = KeyedTable(spark, str(tmp_path / "s"), "id BIGINT, a INT, b INT", ["id"], buckets=2)
+    wide = KeyedTable(spark, str(tmp_path / "g"), "id BIGINT, a INT, b INT", ["id"], buckets=2)
+    sides = [Dimension(KeyedTable(spark, str(tmp_path / k), f"{k} INT, n STRING", [k], buckets=1), k, ["n"]) for k in "ab"]
+    lines = [(1, 1, 1), (2, 1, 2), (3, 2, 1), (4, None, 1), (5, 2, 2), (6, 1, 1)]
+    source.replace(spark.createDataFrame(lines, source.schema))
+    for side in sides:
+        sync(side.table, spark.createDataFrame([(1, "x"), (2, "y")], side.table.schema))
+    built = []
+
+    def build(df):
+        built.append(sorted(r.id for r in df.collect()))
+        return df
+
+    maintain_fact(source, wide, sides, build)
+    for side in sides:
+        sync(side.table, spark.createDataFrame([(1, "other"), (2, "y")], side.table.schema))
+    source.merge(spark.createDataFrame([(6, 1, 2, False)], "id BIGINT, a INT, b INT, is_delete BOOLEAN"))
+    monkeypatch.setattr(DataFrame, "dropDuplicates", None)  # no shuffle of whole rows to find repeats
+    maintain_fact(source, wide, sides, build)
+    assert built == [[1, 2, 3, 4, 5, 6], [1, 2, 3, 4, 6]]
+    assert sorted((r.id, r.a, r.b) for r in wide.read().where("id = 6").collect()) == [(6, 1, 2)]
+
+
+def metric_source(spark, path):
+    draw = random.Random(11)
+    source = KeyedTable(spark, str(path), SILVER_SCHEMA, ["transaction_id"], "transaction_date", 2)
+    source.merge(transactions(spark, draw, 30))
+    return source, draw
+
+
+def test_sums_of_one_commit_need_no_net_changes(spark, tmp_path, monkeypatch):
+    source, draw = metric_source(spark, tmp_path / "s")
+    kept = KeptMetric(source, str(tmp_path / "p"), gold.PRODUCT, gold.PRODUCT_COLUMNS, 2)
+    ends = KeptMetric(source, str(tmp_path / "c"), gold.CUSTOMER, gold.CUSTOMER_COLUMNS, 2)
+    kept.refresh(), ends.refresh()
+    monkeypatch.setattr("siltline.streaming.upkeep.net_rows", None)
+    source.merge(transactions(spark, draw, 25))
+    ends.refresh()
+    source.merge(transactions(spark, draw, 25))
+    kept.refresh()  # two commits
+    now = source.read()
+    want = now.groupBy("product_id").agg(F.sum("quantity"), F.count("*"), F.sum("net_amount"))
+    same(kept.read(), want.toDF(*kept.read().columns))
+    state_ = gold.CUSTOMER.state_schema(source.schema, spark)
+    assert gold.CUSTOMER.adds_up(state_, 1) and not gold.CUSTOMER.adds_up(state_, 2)
+
+
+def test_many_lost_ends_are_found_by_group(spark, tmp_path, monkeypatch):
+    """The rows are added up by the tasks that read them, not first joined by a text of their group."""
+    source, draw = metric_source(spark, tmp_path / "s")
+    kept = KeptMetric(source, str(tmp_path / "c"), gold.CUSTOMER, gold.CUSTOMER_COLUMNS, 2)
+    kept.refresh()
+    source.merge(transactions(spark, draw, 25))
+    firsts = source.read().groupBy("customer_id").agg(F.min("transaction_date").alias("transaction_date"))
+    gone = source.read().join(firsts, ["customer_id", "transaction_date"]).select(source.names)
+    source.merge(gone.withColumn("is_delete", F.lit(True)))
+    monkeypatch.setattr("siltline.streaming.upkeep.is_small", lambda *a: False)
+    monkeypatch.setattr("siltline.streaming.upkeep._key_of", None)
+    kept.refresh()
+    want = source.read().groupBy("customer_id").agg(
+        F.min("transaction_date"), F.max("transaction_date"), F.count("*"), F.sum("net_amount"),
+        F.round(F.try_divide(F.sum("net_amount"), F.count("*")), 2))
+    same(kept.read(), want.toDF(*kept.read().columns))
