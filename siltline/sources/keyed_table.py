@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.changes import added_rows, kept_rows, merge_in_sequence
+from ..operators.changes import kept_rows, merge_in_sequence
 from ..operators.joins import is_small
 from .files import matching_paths, moved, publish_text, read_text, removed
 from .staging import staged
@@ -30,6 +30,9 @@ Pair = tuple[str, int]
 Check = Callable[[DataFrame], object]
 # Changed keys alone, without their rows, are broadcast up to this number and so many bytes.
 KEY_ROWS, KEY_BYTES = 2_000_000, 32 * 1024 * 1024
+# A merge into at most so many partitions is written by the tasks that read the rows: as many files of
+# Spark's least reckoned size as one task reads, so their number stays bounded from merge to merge.
+FEW_PARTITIONS = 32
 
 
 def _in_pairs(located: DataFrame, pairs: Iterable[Pair]) -> DataFrame:
@@ -63,8 +66,8 @@ class KeyedTable:
         typed = [F.col(f"`{k}`").cast(self.schema[k].dataType) for k in self.keys]
         return F.pmod(F.xxhash64(*typed), F.lit(self.buckets)).cast("int")
 
-    def _placed(self, rows: DataFrame) -> DataFrame:
-        typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields])
+    def _placed(self, rows: DataFrame, *more: str) -> DataFrame:
+        typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields], *more)
         return typed.withColumns({SLOT: self.slot_of(), BUCKET: self.bucket_of()})
 
     # -- commits ----------------------------------------------------------------------------
@@ -143,7 +146,7 @@ class KeyedTable:
         if not versions:
             return self.spark.createDataFrame([], kind)
         rows = self.spark.read.schema(kind).parquet(f"{self.root}/changes")
-        return rows.where(F.col(VERSION).between(versions[0], versions[-1]))
+        return rows.where(F.col(VERSION).between(versions[0], versions[-1]) & (F.col(SIGN) != 0))
 
     # -- writing ----------------------------------------------------------------------------
 
@@ -161,13 +164,21 @@ class KeyedTable:
         table's row has no effect; the table then keeps those columns and ``is_delete``.
         """
         self.recover()
-        if not written:
+        base = self.version()
+        folder = f"{self.root}/changes/{VERSION}={base + 1}"
+        if not sequence:  # written once, as what the commit keeps of them; a key to delete has sign 0
+            marked = changes.withColumn(SIGN, F.when(F.col("is_delete"), 0).when(~F.col("is_delete"), 1).otherwise(0))
+            marked = self._placed(marked, SIGN)
+            marked.write.mode("overwrite").parquet(folder)
+            changes = self.spark.read.schema(marked.schema).parquet(folder).withColumn("is_delete", F.col(SIGN) == 0)
+        elif not written:
             changes = staged(changes, "changes")
         key = self.keys[0]
         seen = changes.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
                            F.collect_set(self.bucket_of()).alias("buckets")).first()
         if seen.n == 0 and not marks:
-            return self.version()
+            removed(self.spark, folder)
+            return base
         changed = changes.select(*self.keys)
         in_range = F.coalesce(F.col(key).between(seen.low, seen.high), F.lit(False))
         near = self.located(buckets=seen.buckets).where(F.col(key).between(seen.low, seen.high))
@@ -182,13 +193,12 @@ class KeyedTable:
             found = changed.dropDuplicates().withColumn(MET, F.lit(True))
             near = staged(near.join(found, self.keys, "left").select(*self.names, SLOT, BUCKET, MET), "near")
             old = near.where(MET).select(self.names)
-        new = merge_in_sequence(old, changes, self.keys, sequence) if sequence else added_rows(changes, self.names)
-
-        base = self.version()
-        folder = f"{self.root}/changes/{VERSION}={base + 1}"
-        signed = self._placed(old).withColumn(SIGN, F.lit(-1)).unionByName(self._placed(new).withColumn(SIGN, F.lit(1)))
-        signed.write.mode("overwrite").parquet(folder)
-        signed = self.spark.read.schema(signed.schema).parquet(folder)
+        signed = self._placed(old.withColumn(SIGN, F.lit(-1)), SIGN)
+        if sequence:
+            new = merge_in_sequence(old, changes, self.keys, sequence)
+            signed = signed.unionByName(self._placed(new.withColumn(SIGN, F.lit(1)), SIGN))
+        signed.write.mode("overwrite" if sequence else "append").parquet(folder)
+        signed = self.spark.read.schema(signed.schema).parquet(folder).where(f"{SIGN} <> 0")
         touched = {(r[SLOT], r[BUCKET]) for r in signed.select(SLOT, BUCKET).distinct().collect()}
         kept = self.located(pairs=touched)
         if small:
@@ -197,7 +207,10 @@ class KeyedTable:
             stay = _in_pairs(near.where(F.col(MET).isNull()).drop(MET), touched)
             kept = kept.where(~in_range).unionByName(stay)
         came = signed.where(f"{SIGN} = 1").drop(SIGN)
-        return self._decide(kept.unionByName(self._together(came)), touched, marks)
+        # Where there are few partitions, each task may have files in all of them without a shuffle.
+        if len(touched) > FEW_PARTITIONS:
+            came = self._together(came)
+        return self._decide(kept.unionByName(came), touched, marks)
 
     def replace(self, rows: DataFrame, check: Check | None = None, marks: Mapping[str, int] | None = None) -> int:
         """Make ``rows`` the whole content. ``check`` gets the written rows before they are published;

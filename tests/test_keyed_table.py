@@ -319,3 +319,26 @@ def test_many_lost_ends_are_found_by_group(spark, tmp_path, monkeypatch):
         F.min("transaction_date"), F.max("transaction_date"), F.count("*"), F.sum("net_amount"),
         F.round(F.try_divide(F.sum("net_amount"), F.count("*")), 2))
     same(kept.read(), want.toDF(*kept.read().columns))
+
+
+def test_merge_writes_its_changes_once(spark, tmp_path, monkeypatch):
+    """What a commit keeps of its changes is what they are merged from; few partitions need no shuffle."""
+    plans, decide = [], KeyedTable._decide
+
+    def watched(self, located, *args, **kwargs):
+        plans.append(located._jdf.queryExecution().executedPlan().toString())
+        return decide(self, located, *args, **kwargs)
+
+    monkeypatch.setattr("siltline.sources.keyed_table.staged", None)
+    table = table_at(spark, tmp_path / "t")
+    table.replace(rows(spark, *[(i, f"2024-01-0{1 + i % 3}", i, False) for i in range(20)]).drop("is_delete"))
+    monkeypatch.setattr(KeyedTable, "_decide", watched)
+    table.merge(rows(spark, (4, "2024-01-05", 40, False), (5, None, None, True), (6, None, 60, None), (31, None, None, True)))
+    assert "hashpartitioning" not in plans[0] and "REBALANCE" not in plans[0]
+    assert sorted((r.id, r._sign, r.v) for r in table.changes(1).collect()) == [(4, -1, 4), (4, 1, 40), (5, -1, 5), (6, -1, 6)]
+    assert state(table) == {i: (f"2024-01-0{1 + i % 3}", i) for i in range(20) if i not in (5, 6)} | {4: ("2024-01-05", 40)}
+    monkeypatch.setattr("siltline.sources.keyed_table.FEW_PARTITIONS", 0)
+    table.merge(rows(spark, (4, "2024-01-01", 41, False)))
+    assert "hashpartitioning" in plans[1] and state(table)[4] == ("2024-01-01", 41)
+    assert table.merge(rows(spark, (7, None, None, True)).where("false")) == 3
+    assert table.changes(3).count() == 0
