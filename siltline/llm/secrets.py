@@ -38,9 +38,11 @@ def proposals(documents: DataFrame) -> DataFrame:
     """``doc_id, key, path, start, end, value, lead, before, after``, a row per proposed string.
 
     ``key`` is a hash of the text; rows repeated with id and text are told once."""
-    found = matches(documents.select("doc_id", "text", F.col("source").cast("string").alias("path"))
-                    .withColumn("key", F.xxhash64("text")), PROPOSALS, "spans")
-    found = found.filter(F.size("spans") > 0).select("doc_id", "key", "path", F.inline("spans"))
+    texts = documents.select("doc_id", "text", F.col("source").cast("string").alias("path"))
+    found = matches(texts.filter(F.col("text").rlike(PROPOSALS)).withColumn("key", F.xxhash64("text")), PROPOSALS, "spans")
+    # no filter on the spans, not even the one that Spark adds to an inner inline: it would be pushed
+    # to the scan, with a copy of all searches for every use of their results
+    found = found.select("doc_id", "key", "path", F.inline_outer("spans"))
     lead = F.regexp_extract("found", f"^(?:{LEAD}|{USER})", 0)
     return found.select(
         "doc_id", "key", "path", (F.col("start") + F.length(lead)).alias("start"), "end",
