@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_letters, digits
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,10 +14,13 @@ from ..sources.staging import staged
 from .columns import carried, matches, sampled
 
 KEYWORDS = r"passwd|password|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth"
-LEAD = r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']?[ \t]*+(?::=|=>?|:)[ \t]*+[\"']?"
+# Every place of every text is tried. Classes of single characters are one lookup each, ranges are several.
+BEGINS = r"(?=[PpSsTtAaCc][AaEeOoPpCcRrUu][SsCcKkIiEeTt])"  # as all keywords do
+LEAD = BEGINS + r"(?i:" + KEYWORDS + r")[A-Za-z0-9_]{0,20}+[\"']?[ \t]*+(?::=|=>?|:)[ \t]*+[\"']?"
 USER = r"://[^\s/:@\"']*+:"
 PREFIX = r"A[KS]IA[0-9A-Z]{16}|gh[opsru]_|github_pat_|glpat-|xox[abprs]-|[rs]k_live_|AIza"
-RUN = r"(?<![A-Za-z0-9+/_-])(?=" + PREFIX + r"|[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
+IN_RUN = f"[{ascii_letters}{digits}+/_-]"
+RUN = f"(?<!{IN_RUN})(?={IN_RUN}{{16}})(?={PREFIX}|[{ascii_letters}+/_-]*+[{digits}]){IN_RUN}{{16,}}+"
 # all up to the closing quote, or up to a separator
 VALUE = r"(?:(?<=\")[^\s\"]{6,}+(?=\")|(?<=')[^\s']{6,}+(?=')|[^\s\"',;=:]{6,}+)"
 # a value assigned to a name that holds a keyword, a password in a URL, or a long run that holds a
